@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logframe.functions.fields import find_field
-from logframe.functions.text import query_words, tokens
+from logframe.functions.text import has_any_word, has_words_in_a_row, query_words
 from logframe.functions.times import parse_window, time_column, time_literal
 
 Condition = Column | str | None
@@ -59,9 +59,8 @@ def phrase(df: DataFrame, path: str, text: str, analyzed: bool = False) -> Colum
     """Exact value of a keyword field, or with ``analyzed`` the words of ``text`` in a row."""
     if not analyzed:
         return term(df, path, text)
-    wanted = " " + " ".join(query_words(text)) + " "
-    padded = lambda c: F.concat(F.lit(" "), F.array_join(tokens(c), " "), F.lit(" "))
-    return _test(df, path, lambda c: padded(c).contains(wanted))
+    words = query_words(text)
+    return _test(df, path, lambda c: has_words_in_a_row(c, words))
 
 
 def between(df: DataFrame, path: str, low=None, high=None) -> Column:
@@ -122,11 +121,11 @@ def match_text(df: DataFrame, paths: str | list[str], words, mode: str = "any")
     if not texts:
         return F.lit(False)
     # concat_ws skips missing fields instead of losing the row.
-    seen = tokens(texts[0] if len(texts) == 1 else F.concat_ws(" ", *texts))
-    wanted = F.array(*[F.lit(w) for w in dict.fromkeys(query_words(words))])
+    text = texts[0] if len(texts) == 1 else F.concat_ws(" ", *texts)
+    asked = list(dict.fromkeys(query_words(words)))
     if mode == "any":
-        return F.arrays_overlap(seen, wanted)
-    return F.size(F.array_except(wanted, seen)) == 0
+        return has_any_word(text, asked)
+    return all_of(*[has_any_word(text, [word]) for word in asked])
 
 
 def exists(df: DataFrame, path: str) -> Column:
@@ -140,7 +139,7 @@ def exists(df: DataFrame, path: str) -> Column:
 
 
 def all_of(*predicates: Column) -> Column:
-    return functools.reduce(operator.and_, predicates, match_all()) if len(predicates) != 1 else predicates[0]
+    return functools.reduce(operator.and_, predicates) if predicates else match_all()
 
 
 def any_of(*predicates: Column) -> Column:

@@ -115,3 +115,11 @@ def bucket_start(seconds: Column, width: Column | int) -> Column:
     """Largest multiple of ``width`` not after ``seconds``."""
     width = F.lit(width) if isinstance(width, int) else width
     return seconds - F.pmod(seconds, width.cast("bigint"))
+
+
+def utc_day(column: Column, dtype: T.DataType) -> Column:
+    """The UTC date of a timestamp, whatever the session's time zone."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return column.cast("date")
+    day = F.floor(epoch_seconds(column, dtype) / UNIT_SECONDS["d"])
+    return F.date_from_unix_date(day.cast("int"))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from logframe.functions.fields import field as column_at
 from logframe.functions.fields import field_type, is_array
 from logframe.functions.guards import top_size
-from logframe.functions.predicates import Condition, matching
+from logframe.functions.predicates import Condition, any_of, matching
 from logframe.operators.rank import ordered_page, top_per_group
 
 
@@ -62,8 +62,11 @@ def keyed_counts(
         )
     label = F.element_at(F.array(*[F.lit(ident) for ident in fields]), F.col("_field"))
     key = F.coalesce(*[F.col(name).cast("string") for name in names])
-    counts = counts.select(label.alias("id"), key.alias("key"), *measures, *names)
-    return counts.filter(F.col("key").isNotNull()), names
+    # Asked of the typed columns, so that the check, which moves below the
+    # aggregation, makes no text of every row's values.
+    present = any_of(*[F.col(name).isNotNull() for name in names])
+    counts = counts.filter(present)
+    return counts.select(label.alias("id"), key.alias("key"), *measures, *names), names
 
 
 def _grouped_field(fields: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,7 @@ from logframe.functions.predicates import Condition, matching
 from logframe.operators.rank import ordered_page
 
 _FOUND = "array<struct<field:string,type:string>>"
-_OPEN = "array<struct<path:string,value:variant>>"
+_OPEN = "array<struct<path:string,value:variant,type:string>>"
 
 
 def discover_fields(
@@ -90,39 +92,44 @@ def _json_leaves(rows: DataFrame, path: str) -> Column:
     else:
         text, value = column, F.try_parse_json(column)
     braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
-    root = F.struct(F.lit(path).alias("path"), value.alias("value"))
-    is_object = lambda e: F.startswith(F.schema_of_variant(e["value"]), F.lit("OBJECT<"))
-    as_leaf = lambda e: F.struct(e["path"].alias("field"), _json_type(e["value"]).alias("type"))
-    members = lambda e: F.map_entries(F.try_variant_get(e["value"], "$", "map<string,variant>"))
+    is_object = lambda entry: F.startswith(entry["type"], F.lit("object<"))
+    members = lambda value: F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+
+    def member(parent: Column) -> Callable[[Column], Column]:
+        return lambda m: _entry(F.concat(parent["path"], F.lit("."), m["key"]), m["value"])
+
+    def sorted_out(entries: Column, found: Column) -> Column:
+        """Objects to open next, and everything else added to what was found."""
+        leaf = lambda e: F.struct(e["path"].alias("field"), e["type"])
+        more = F.transform(F.filter(entries, lambda e: ~is_object(e)), leaf)
+        return F.struct(
+            F.filter(entries, is_object).cast(_OPEN).alias("open"),
+            F.concat(found, more).cast(_FOUND).alias("found"),
+        )
 
     def opened(state: Column, _: Column) -> Column:
         children = F.flatten(
             F.transform(
-                state["open"],
-                lambda e: F.transform(
-                    members(e),
-                    lambda m: F.struct(
-                        F.concat(e["path"], F.lit("."), m["key"]).alias("path"),
-                        m["value"].alias("value"),
-                    ),
-                ),
+                state["open"], lambda e: F.transform(members(e["value"]), member(e))
             )
         )
-        more = F.transform(F.filter(children, lambda e: ~is_object(e)), as_leaf)
-        step = F.struct(
-            F.filter(children, is_object).cast(_OPEN).alias("open"),
-            F.concat(state["found"], more).cast(_FOUND).alias("found"),
-        )
-        return F.when(F.size(state["open"]) == 0, state).otherwise(step)
+        # The one-element array gives the children a name, so they are made once.
+        step = F.transform(F.array(children), lambda c: sorted_out(c, state["found"]))
+        return F.when(F.size(state["open"]) == 0, state).otherwise(F.get(step, F.lit(0)))
 
-    at_root = F.array(root).cast(_OPEN)
-    start = F.struct(
-        F.filter(at_root, is_object).alias("open"),
-        F.transform(F.filter(at_root, lambda e: ~is_object(e)), as_leaf).cast(_FOUND).alias("found"),
-    )
+    nothing = F.array().cast(_FOUND)
     levels = F.sequence(F.lit(1), F.greatest(braces, F.lit(1)))
-    found = F.aggregate(levels, start, opened)["found"]
-    return F.when(value.isNotNull(), found).otherwise(F.array().cast(_FOUND))
+
+    def all_below(root: Column) -> Column:
+        return F.aggregate(levels, sorted_out(F.array(root), nothing), opened)["found"]
+
+    # Again an array only to have a name: the text is parsed once.
+    found = F.transform(F.array(_entry(F.lit(path), value)), all_below)
+    return F.when(value.isNotNull(), F.get(found, F.lit(0))).otherwise(nothing)
+
+
+def _entry(path: Column, value: Column) -> Column:
+    return F.struct(path.alias("path"), value.alias("value"), _json_type(value).alias("type"))
 
 
 def _json_type(value: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logframe.functions.fields import field
 from logframe.functions.predicates import Condition, all_of, condition
-from logframe.functions.text import query_words, tokens
+from logframe.functions.text import has_any_word, mentions_any, occurrences, query_words, word_count
 
 # The published BM25 parameters.
 K1 = 1.2
@@ -40,23 +40,24 @@ def text_score(df: DataFrame, text_field: str, words, key: str) -> DataFrame:
 
     Works row by row: one pass sums up the one-row corpus figures (texts, mean
     length, texts per word), which a scalar subquery puts into the pass that
-    scores. The words of the texts are never shuffled.
+    scores. The words of the texts are never shuffled, and the second pass
+    looks closely only at texts that contain an asked word somewhere.
     """
     asked = list(dict.fromkeys(query_words(words)))
-    words_of = df.select(field(df, key).alias(key), tokens(field(df, text_field)).alias("_tokens"))
-    occurrences = lambda w: F.size("_tokens") - F.size(F.array_remove("_tokens", w))
-    counted = words_of.select(
-        key,
-        F.size("_tokens").alias("_length"),
-        F.array(*[occurrences(w) for w in asked]).alias("_tf"),
-    ).filter("_length > 0")
-    corpus = counted.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("texts"),
-            F.avg("_length").alias("mean_length"),
-            F.array(*[F.count_if(F.col("_tf")[n] > 0) for n in range(len(asked))]).alias("df"),
+    text = field(df, text_field)
+    # Texts without any word take no part in the figures.
+    length = F.when(F.col("_length") > 0, F.col("_length"))
+    corpus = (
+        df.select(text.alias("_text"), word_count(text).alias("_length"))
+        .agg(
+            F.struct(
+                F.count(length).alias("texts"),
+                F.avg(length).alias("mean_length"),
+                F.array(*[F.count_if(has_any_word(F.col("_text"), [w])) for w in asked]).alias("df"),
+            )
         )
-    ).scalar()
+        .scalar()
+    )
     hits = F.array(
         *[
             F.struct(
@@ -67,7 +68,12 @@ def text_score(df: DataFrame, text_field: str, words, key: str) -> DataFrame:
             for n, w in enumerate(asked)
         ]
     )
-    scored = counted.select(key, "_length", F.inline(hits)).filter("tf > 0")
+    candidates = df.filter(mentions_any(text, asked)).select(
+        field(df, key).alias(key),
+        word_count(text).alias("_length"),
+        F.array(*[occurrences(text, w) for w in asked]).alias("_tf"),
+    )
+    scored = candidates.select(key, "_length", F.inline(hits)).filter("tf > 0")
     return scored.select(key, "word", "tf", "df", _bm25(corpus).alias("score"))
 
 

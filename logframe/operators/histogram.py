@@ -35,15 +35,16 @@ def _seconds(label: str) -> int:
 
 def _event_seconds(rows: DataFrame, ts_field: str) -> tuple[DataFrame, T.DataType]:
     column, dtype = time_column(rows, ts_field)
-    seconds = rows.select(epoch_seconds(column, dtype).alias("second"))
-    return seconds.filter(F.col("second").isNotNull()), dtype
+    timed = rows.filter(column.isNotNull())
+    return timed.select(epoch_seconds(column, dtype).alias("second")), dtype
 
 
-def _filled(events: DataFrame, grid: DataFrame) -> DataFrame:
+def _filled(events: DataFrame, grid: DataFrame, *also: Column) -> DataFrame:
     """Events per bucket; the grid adds a zero for each bucket, so no join is needed."""
-    ones = events.select("bucket", F.lit(1).cast("bigint").alias("n"))
-    zeros = grid.select("bucket", F.lit(0).cast("bigint").alias("n"))
-    return ones.unionAll(zeros).groupBy("bucket").agg(F.sum("n").alias("doc_count"))
+    ones = events.withColumn("n", F.lit(1).cast("bigint"))
+    zeros = grid.withColumn("n", F.lit(0).cast("bigint"))
+    both = ones.unionByName(zeros)
+    return both.groupBy("bucket").agg(F.sum("n").alias("doc_count"), *also)
 
 
 def histogram(
@@ -72,16 +73,20 @@ def histogram(
     return ordered.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))
 
 
-def _auto_width(low: Column, high: Column) -> tuple[Column, Column]:
-    """The narrowest width that needs at most 50 buckets, in seconds and by name."""
-    width = F.lit(_seconds(AUTO_WIDTHS[-1]))
-    label = F.lit(AUTO_WIDTHS[-1])
-    for name in reversed(AUTO_WIDTHS[:-1]):
-        step = _seconds(name)
-        needed = (bucket_start(high, step) - bucket_start(low, step)) / step + 1
-        width = F.when(needed <= AUTO_BUCKETS, step).otherwise(width)
-        label = F.when(needed <= AUTO_BUCKETS, name).otherwise(label)
-    return width.cast("bigint"), label
+def _auto_step(low: Column, high: Column) -> Column:
+    """The narrowest width, with its name, that needs at most 50 buckets."""
+    ladder = F.array(
+        *[
+            F.struct(F.lit(_seconds(name)).cast("bigint").alias("width"), F.lit(name).alias("label"))
+            for name in AUTO_WIDTHS
+        ]
+    )
+
+    def fits(step: Column) -> Column:
+        span = bucket_start(high, step["width"]) - bucket_start(low, step["width"])
+        return span / step["width"] + 1 <= AUTO_BUCKETS
+
+    return F.coalesce(F.get(F.filter(ladder, fits), F.lit(0)), F.element_at(ladder, -1))
 
 
 def auto_histogram(
@@ -99,22 +104,31 @@ def auto_histogram(
     the time and filter columns, whose one-row result is put into the plan.
     """
     events, dtype = _event_seconds(matching(df, where, from_ts, to_ts, ts_field), ts_field)
-    width, label = _auto_width(F.col("low"), F.col("high"))
     span = events.agg(F.min("second").alias("low"), F.max("second").alias("high"))
-    plan = span.select(
-        F.struct(
-            bucket_start(F.col("low"), width).alias("first"),
-            bucket_start(F.col("high"), width).alias("last"),
-            width.alias("width"),
-            label.alias("label"),
+    plan = span.select("*", _auto_step(F.col("low"), F.col("high")).alias("step")).select(
+        F.struct("low", "high", "step.width", "step.label")
+    )
+    # Two uses of the subquery; Spark runs it once.
+    width = plan.scalar()["width"]
+    events = events.select(
+        bucket_start(F.col("second"), width).alias("bucket"), F.lit(None).alias("label")
+    )
+    grid = (
+        df.sparkSession.range(0, 1, 1, 1)
+        .select(plan.scalar().alias("plan"))
+        .select("plan.*")
+        .select(
+            F.explode(
+                F.sequence(
+                    bucket_start(F.col("low"), F.col("width")),
+                    bucket_start(F.col("high"), F.col("width")),
+                    F.col("width"),
+                )
+            ).alias("bucket"),
+            "label",
         )
-    ).scalar()
-    events = events.select(bucket_start(F.col("second"), plan["width"]).alias("bucket"))
-    steps = F.sequence(plan["first"], plan["last"], plan["width"])
-    grid = df.sparkSession.range(0, 1, 1, 1).select(F.explode(steps).alias("bucket"))
-    ordered = ordered_page(_filled(events, grid), [F.asc("bucket")], 0, AUTO_BUCKETS)
-    return ordered.select(
-        from_epoch_seconds(F.col("bucket"), dtype).alias("bucket"),
-        "doc_count",
-        plan["label"].alias("interval_used"),
     )
+    # Every bucket is in the grid, whose rows bring the name of the width along.
+    filled = _filled(events, grid, F.max("label").alias("interval_used"))
+    ordered = ordered_page(filled, [F.asc("bucket")], 0, AUTO_BUCKETS)
+    return ordered.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logframe.functions.fields import field, find_field
+from logframe.functions.fields import field, find_field, quoted
 from logframe.functions.guards import SEARCH_LIMIT_CAP, page_bounds
 from logframe.functions.predicates import Condition, matching
 from logframe.operators.rank import ordered_page
@@ -36,15 +36,20 @@ def search(
     if sort_dir not in ("asc", "desc"):
         raise ValueError(f"sort_dir must be asc or desc, not {sort_dir!r}")
     rows = matching(df, where, from_ts, to_ts, ts_field)
-    by = field(df, sort_field or ts_field)
-    order = [by.desc_nulls_last() if sort_dir == "desc" else by.asc_nulls_last()]
-    keys = [key] if isinstance(key, str) else key or []
-    order += [field(df, name).asc() for name in keys]
-    page = ordered_page(rows, order, offset, limit)
-    known = [path for path in source_fields or [] if find_field(df, path) is not None]
-    if not source_fields:
-        return page
-    return page.select(*[field(df, path).alias(path) for path in known])
+    if source_fields:
+        shown = [path for path in source_fields if find_field(df, path) is not None]
+        rows_shown = [field(df, path).alias(path) for path in shown]
+    else:
+        shown = df.columns
+        rows_shown = [F.col(quoted(name)) for name in shown]
+    ties = [key] if isinstance(key, str) else key or []
+    helpers = {"_by": field(df, sort_field or ts_field)}
+    helpers |= {f"_tie{n}": field(df, path) for n, path in enumerate(ties)}
+    # Only what is shown or sorted by is carried through the sort.
+    narrow = rows.select(*rows_shown, *[c.alias(name) for name, c in helpers.items()])
+    by = F.desc_nulls_last("_by") if sort_dir == "desc" else F.asc_nulls_last("_by")
+    order = [by, *[F.asc(name) for name in helpers if name != "_by"]]
+    return ordered_page(narrow, order, offset, limit).drop(*helpers)
 
 
 def count(

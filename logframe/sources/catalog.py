@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import calendar
 import fnmatch
+import functools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 
 from logframe.functions.fields import quoted, walk
 from logframe.functions.predicates import wildcard
-from logframe.functions.times import parse_time, time_column, time_literal
+from logframe.functions.times import parse_time, time_column, time_literal, utc_day
+from logframe.operators.rank import ordered_page
 
 INDEX = "_index"
 
@@ -121,20 +123,22 @@ def scan_daily(
     one, so whole row groups or partitions are skipped.
     """
     column, dtype = time_column(df, ts_field)
-    days = F.date_format(column, "yyyy.MM.dd")
+    days = F.replace(utc_day(column, dtype).cast("string"), F.lit("-"), F.lit("."))
     named = df.withColumn(INDEX, F.concat(F.lit(name + "-"), days))
     bounds = _day_bounds(name, pattern)
     if bounds is not None:
         first, last = bounds
         after = time_literal(dtype, parse_time(first))
-        # The day after the last one, excluded.
-        before = time_literal(dtype, parse_time(last)) + F.expr("interval '1' day")
-        named = named.filter((column >= after) & (column < before))
+        before = time_literal(dtype, parse_time(last + "T23:59:59.999999"))
+        named = named.filter((column >= after) & (column <= before))
         if day_column is not None:
             day = F.col(quoted(day_column))
             named = named.filter(
                 (day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date"))
             )
+        if re.fullmatch(r"[^*?\\]*\*", pattern):
+            # The days that start with some digits are just those in the range.
+            return named
     return named.filter(wildcard(named, INDEX, pattern))
 
 
@@ -144,64 +148,64 @@ def _day_bounds(name: str, pattern: str) -> tuple[str, str] | None:
     if not literal.startswith(name + "-"):
         return None
     digits = literal[len(name) + 1 :]
-    lowest = digits + "0001.01.01"[len(digits) :]
+    lowest = digits + "0000.00.00"[len(digits) :]
     highest = digits + "9999.99.99"[len(digits) :]
     if not all(re.fullmatch(DAY_SUFFIX, day) for day in (lowest, highest)):
         return None
-    first = [max(int(part), 1) for part in lowest.split(".")]
-    year, month, day = (int(part) for part in highest.split("."))
-    month = min(month, 12)
-    if first[1] > 12 or month < 1:
+    year, month, day = (max(int(part), 1) for part in lowest.split("."))
+    last_year, last_month, last_day = (int(part) for part in highest.split("."))
+    last_month = min(last_month, 12)
+    if month > 12 or day > calendar.monthrange(year, month)[1]:
         return None
-    day = min(day, calendar.monthrange(year, month)[1])
-    if day < 1 or first[2] > 31:
+    if min(last_year, last_month, last_day) < 1:
         return None
-    first[2] = min(first[2], calendar.monthrange(first[0], first[1])[1])
-    return "{:04d}-{:02d}-{:02d}".format(*first), f"{year:04d}-{month:02d}-{day:02d}"
+    last_day = min(last_day, calendar.monthrange(last_year, last_month)[1])
+    return f"{year:04d}-{month:02d}-{day:02d}", f"{last_year:04d}-{last_month:02d}-{last_day:02d}"
 
 
 def _file_totals(spark, root, pattern, fmt) -> DataFrame:
     """Rows, files, bytes and file times of each table, without reading a data column.
 
     The first row of a file stands for the file, so files are counted once
-    without grouping the rows by path.
+    without grouping the rows by path. One shuffle for all tables.
     """
-    total = None
-    for arm in _readers(spark, root, pattern, fmt):
-        first_row = F.col("_metadata.row_index") == 0
-        once = lambda name: F.when(first_row, F.col("_metadata." + name))
-        one = arm.groupBy(INDEX).agg(
-            F.count(F.lit(1)).alias("doc_count"),
-            F.count_if(first_row).alias("files"),
-            F.coalesce(F.sum(once("file_size")), F.lit(0)).alias("store_bytes"),
-            F.min(once("file_modification_time")).alias("oldest_file"),
-            F.max(once("file_modification_time")).alias("newest_file"),
+    paths = _table_paths(spark, root, pattern, fmt)
+    first_row = F.col("_metadata.row_index") == 0
+    once = lambda name: F.when(first_row, F.col("_metadata." + name)).alias(name)
+    # An empty schema: no column is read, and none has to be inferred.
+    parts = [
+        spark.read.schema(T.StructType())
+        .format(fmt)
+        .load(path)
+        .select(
+            F.lit(name).alias(INDEX),
+            F.lit(1).alias("row"),
+            once("file_size"),
+            once("file_modification_time"),
         )
-        total = one if total is None else total.unionByName(one)
+        for name, path in paths.items()
+    ]
     # A table without rows has no first row; its name is known from the listing.
-    names = spark.createDataFrame(
-        [(name,) for name in _table_paths(spark, root, pattern, fmt)], f"{INDEX} string"
-    )
-    none = names.select(
-        INDEX,
-        F.lit(0).cast("bigint").alias("doc_count"),
-        F.lit(0).cast("bigint").alias("files"),
-        F.lit(0).cast("bigint").alias("store_bytes"),
-        F.lit(None).cast("timestamp").alias("oldest_file"),
-        F.lit(None).cast("timestamp").alias("newest_file"),
+    known = spark.createDataFrame([(name,) for name in paths], f"{INDEX} string")
+    empty = known.withColumns(
+        {
+            "row": F.lit(0),
+            "file_size": F.lit(None).cast("bigint"),
+            "file_modification_time": F.lit(None).cast("timestamp"),
+        }
     )
-    return (
-        total.unionByName(none)
-        .groupBy(INDEX)
+    totals = (
+        functools.reduce(DataFrame.unionAll, parts, empty)
+        .groupBy(F.col(INDEX).alias("index"))
         .agg(
-            F.sum("doc_count").alias("doc_count"),
-            F.sum("files").alias("files"),
-            F.sum("store_bytes").alias("store_bytes"),
-            F.min("oldest_file").alias("oldest_file"),
-            F.max("newest_file").alias("newest_file"),
+            F.sum("row").alias("doc_count"),
+            F.count("file_size").alias("files"),
+            F.coalesce(F.sum("file_size"), F.lit(0)).alias("store_bytes"),
+            F.min("file_modification_time").alias("oldest_file"),
+            F.max("file_modification_time").alias("newest_file"),
         )
-        .withColumnRenamed(INDEX, "index")
     )
+    return ordered_page(totals, [F.asc("index")], 0, len(paths))
 
 
 def list_tables(
@@ -209,7 +213,7 @@ def list_tables(
 ) -> DataFrame:
     """Name, row count and stored bytes of each table, by name."""
     totals = _file_totals(spark, root, pattern, fmt)
-    return totals.select("index", "doc_count", "store_bytes").orderBy("index")
+    return totals.select("index", "doc_count", "store_bytes")
 
 
 def table_layout(
@@ -217,9 +221,7 @@ def table_layout(
 ) -> DataFrame:
     """How each table is split into files, and when they were written."""
     totals = _file_totals(spark, root, pattern, fmt)
-    return totals.select("index", "files", "store_bytes", "oldest_file", "newest_file").orderBy(
-        "index"
-    )
+    return totals.select("index", "files", "store_bytes", "oldest_file", "newest_file")
 
 
 def list_time_fields(

@@ -16,6 +16,8 @@ def spark():
         "local[8]",
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
+        # Plans are checked as text, so their filters must not be cut short.
+        spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     if session.conf.get("spark.checkpoint.dir", None) is None:
