@@ -63,12 +63,16 @@ def phrase(df: DataFrame, path: str, text: str, analyzed: bool = False) -> Colum
     return _test(df, path, lambda c: has_words_in_a_row(c, words))
 
 
-def between(df: DataFrame, path: str, low=None, high=None) -> Column:
-    """Inclusive range; ``None`` or ``"*"`` leaves an end open."""
+def between(df: DataFrame, path: str | Column, low=None, high=None) -> Column:
+    """Inclusive range; ``None`` or ``"*"`` leaves an end open.
+
+    A computed column, such as one from :func:`json_field`, may stand in for
+    the path; it is computed once, not once for each end.
+    """
     low = None if isinstance(low, str) and low == "*" else low
     high = None if isinstance(high, str) and high == "*" else high
     if low is None and high is None:
-        return exists(df, path)
+        return path.isNotNull() if isinstance(path, Column) else exists(df, path)
 
     def inside(column: Column) -> Column:
         checks = []
@@ -78,6 +82,8 @@ def between(df: DataFrame, path: str, low=None, high=None) -> Column:
             checks.append(column <= F.lit(high))
         return all_of(*checks)
 
+    if isinstance(path, Column):
+        return F.exists(F.array(path), inside)
     return _test(df, path, inside)
 
 

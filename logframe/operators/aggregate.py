@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,64 +40,55 @@ def terms(
 
 
 def keyed_counts(
-    rows: DataFrame, fields: dict[str, str], measures: dict[str, Column]
+    rows: DataFrame, fields: list[str], measures: dict[str, Column]
 ) -> tuple[DataFrame, list[str]]:
-    """Measures per value of several fields, read in one pass: ``(id, key, measures...)``.
+    """Measures per value of several fields from one pass: ``(_field, measures..., slots...)``.
 
-    ``fields`` maps an id to a field path; ``measures`` maps a column to an
-    aggregate over the rows. Values are grouped in their own types, one column
-    per field, and ``key`` is their text. The names of those columns are
-    returned too: within an id they put the keys in the order of their type.
+    ``_field`` is the field's place in the list, from 1. Values keep their own
+    type: fields of one type share a slot column, the other slots are NULL, so
+    the rows are grouped by few columns and no value is turned into text. The
+    names of the slots are returned too; in their order they sort the values
+    of a field.
     """
-    names = [f"_key{n}" for n in range(len(fields))]
-    aggregates = [m.alias(name) for name, m in measures.items()]
-    if any(is_array(rows, path) for path in fields.values()):
-        grouped = _unfolded(rows, list(fields.values()), names).groupBy("_field", *names)
-        counts = grouped.agg(*aggregates)
-    else:
-        keyed = rows.withColumns(
-            {name: column_at(rows, path) for name, path in zip(names, fields.values())}
-        )
-        sets = [[F.col(name)] for name in names]
-        counts = keyed.groupingSets(sets, *[F.col(name) for name in names]).agg(
-            _grouped_field(len(names)).alias("_field"), *aggregates
-        )
-    label = F.element_at(F.array(*[F.lit(ident) for ident in fields]), F.col("_field"))
-    key = F.coalesce(*[F.col(name).cast("string") for name in names])
-    # Asked of the typed columns, so that the check, which moves below the
-    # aggregation, makes no text of every row's values.
-    present = any_of(*[F.col(name).isNotNull() for name in names])
-    counts = counts.filter(present)
-    return counts.select(label.alias("id"), key.alias("key"), *measures, *names), names
-
-
-def _grouped_field(fields: int) -> Column:
-    """Number, from 1, of the one field a grouping set holds: its bit is the clear one."""
-    every = (1 << fields) - 1
-    number = F.lit(fields)
-    for n in range(1, fields):
-        number = F.when(F.grouping_id() == every - (1 << (fields - n)), n).otherwise(number)
-    return number
-
-
-def _unfolded(rows: DataFrame, paths: list[str], names: list[str]) -> DataFrame:
-    """A row per field and value, for array fields one per distinct element."""
-    types = [field_type(rows, path) for path in paths]
+    types = [field_type(rows, path) for path in fields]
     types = [t.elementType if isinstance(t, T.ArrayType) else t for t in types]
-    slots = ",".join(f"{name}:{t.simpleString()}" for name, t in zip(names, types))
-    entry = f"struct<_field:int,{slots}>"
+    slots = {t.simpleString(): f"_slot{n}" for n, t in enumerate(dict.fromkeys(types))}
+
+    def entry(number: int, value: Column) -> Column:
+        return F.struct(
+            F.lit(number + 1).alias("_field"),
+            *[
+                (value if kind == types[number].simpleString() else F.lit(None))
+                .cast(kind)
+                .alias(slot)
+                for kind, slot in slots.items()
+            ],
+        )
+
+    def unfolded(number: int, path: str) -> Column:
+        values = F.transform(F.array_distinct(column_at(rows, path)), partial(entry, number))
+        return F.coalesce(values, F.array().cast(f"array<{layout}>"))
+
+    layout = f"struct<_field:int,{','.join(f'{slot}:{kind}' for kind, slot in slots.items())}>"
+    numbered = list(enumerate(fields))
+    plain = [entry(n, column_at(rows, path)) for n, path in numbered if not is_array(rows, path)]
+    arrays = [unfolded(n, path) for n, path in numbered if is_array(rows, path)]
+    entries = F.array(*plain) if plain else F.array().cast(f"array<{layout}>")
+    if arrays:
+        entries = F.concat(entries, *arrays)
+    names = list(slots.values())
+    grouped = (
+        rows.select("*", F.inline(entries))
+        .filter(any_of(*[F.col(name).isNotNull() for name in names]))
+        .groupBy("_field", *names)
+    )
+    return grouped.agg(*[m.alias(name) for name, m in measures.items()]), names
 
-    def entries(number: int, path: str) -> Column:
-        column = column_at(rows, path)
-        values = F.array_distinct(column) if is_array(rows, path) else F.array(column)
-        others = lambda value: [
-            value if n == number else F.lit(None).cast(t) for n, t in enumerate(types)
-        ]
-        one = lambda value: F.struct(F.lit(number + 1), *others(value)).cast(entry)
-        return F.coalesce(F.transform(values, one), F.array().cast(f"array<{entry}>"))
 
-    every = F.concat(*[entries(number, path) for number, path in enumerate(paths)])
-    return rows.withColumn("_entry", F.explode(every)).select("*", "_entry.*")
+def labelled(ids: list[str], slots: list[str]) -> tuple[Column, Column]:
+    """The field's label and the value as text, for rows of :func:`keyed_counts`."""
+    label = F.element_at(F.array(*[F.lit(ident) for ident in ids]), F.col("_field"))
+    return label, F.coalesce(*[F.col(name).cast("string") for name in slots])
 
 
 def multi_terms(
@@ -117,19 +110,15 @@ def multi_terms(
     if len(sizes) < len(aggregations):
         raise ValueError("aggregation ids must differ")
     rows = matching(df, where, from_ts, to_ts, ts_field)
-    counts, keys = keyed_counts(
-        rows,
-        {a["id"]: a["field"] for a in aggregations},
-        {"doc_count": F.count(F.lit(1))},
+    counts, slots = keyed_counts(
+        rows, [a["field"] for a in aggregations], {"doc_count": F.count(F.lit(1))}
     )
     widest = max(sizes.values())
-    own_size = None
-    if min(sizes.values()) < widest:
-        own_size = F.lit(widest)
-        for ident, size in sizes.items():
-            own_size = F.when(F.col("id") == ident, size).otherwise(own_size)
-    order = [F.desc("doc_count"), *[F.asc(name) for name in keys]]
-    return top_per_group(counts, ["id"], order, widest, own_size).select("id", "key", "doc_count")
+    own_size = F.element_at(F.array(*[F.lit(n) for n in sizes.values()]), F.col("_field"))
+    order = [F.desc("doc_count"), *[F.asc(name) for name in slots]]
+    top = top_per_group(counts, ["_field"], order, widest, own_size)
+    label, key = labelled(list(sizes), slots)
+    return top.select(label.alias("id"), key.alias("key"), "doc_count")
 
 
 def extended_stats(

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from logframe.functions.guards import top_size
 from logframe.functions.predicates import Condition, condition, time_range
-from logframe.operators.aggregate import field_values, keyed_counts
-from logframe.operators.rank import SHALLOW_ROWS, top_per_group
+from logframe.operators.aggregate import field_values, keyed_counts, labelled
+from logframe.operators.rank import SHALLOW_ROWS, ordered_page, top_per_group
+
+SIDES = ("baseline", "selection")
 
 # The classes of a value, in the order they are reported.
 STATUSES = ("added", "removed", "changed", "unchanged")
@@ -34,9 +36,14 @@ def compare(
     """
     windows = _windows(df, ts_field, baseline_from, baseline_to, selection_from, selection_to)
     rows = _in_windows(df, where, windows)
-    values = field_values(rows, field, "_in_baseline", "_in_selection")
-    counts = values.groupBy("key").agg(*[m.alias(n) for n, m in _measures().items()])
-    return _classified(counts, ["key"], [], top_size(size), exact)
+    values = field_values(rows, field, *[F.col(f"_{side}") for side in SIDES])
+    counts = values.groupBy("key").agg(*[m.alias(side) for side, m in _measures().items()])
+    # Both tops are read from the same shuffle, which Spark reuses.
+    tops = [
+        ordered_page(counts.filter(F.col(side) > 0), [F.desc(side), F.asc("key")], 0, top_size(size))
+        for side in SIDES
+    ]
+    return _classified(_sided(tops), ["key"], size, exact)
 
 
 def compare_fields(
@@ -56,9 +63,17 @@ def compare_fields(
         raise ValueError("no fields given")
     windows = _windows(df, ts_field, baseline_from, baseline_to, selection_from, selection_to)
     rows = _in_windows(df, where, windows)
-    counts, keys = keyed_counts(rows, {path: path for path in fields}, _measures())
-    counts = counts.withColumnRenamed("id", "field")
-    return _classified(counts, keys, ["field"], top_size(size), exact, len(fields))
+    counts, slots = keyed_counts(rows, fields, _measures())
+    ties = [F.asc(name) for name in slots]
+    tops = [
+        top_per_group(
+            counts.filter(F.col(side) > 0), ["_field"], [F.desc(side), *ties], top_size(size)
+        )
+        for side in SIDES
+    ]
+    label, key = labelled(fields, slots)
+    top = _sided(tops).withColumns({"field": label, "key": key})
+    return _classified(top, ["field", "key"], size * len(fields), exact)
 
 
 def _windows(df, ts_field, *bounds) -> tuple[Column, Column]:
@@ -72,33 +87,28 @@ def _in_windows(df: DataFrame, where: Condition, windows: tuple[Column, Column])
     return (
         df.filter(baseline | selection)
         .filter(condition(where))
-        .withColumns({"_in_baseline": baseline, "_in_selection": selection})
+        .withColumns({f"_{side}": window for side, window in zip(SIDES, windows)})
     )
 
 
 def _measures() -> dict[str, Column]:
-    return {
-        "in_baseline": F.count_if(F.col("_in_baseline")),
-        "in_selection": F.count_if(F.col("_in_selection")),
-    }
+    return {side: F.count_if(F.col(f"_{side}")) for side in SIDES}
 
 
-def _classified(
-    counts: DataFrame, tie_order: list[str], group: list[str], size: int, exact: bool, groups=1
-) -> DataFrame:
-    # Each value once per window it occurs in, cut to the window's top values.
-    sides = F.array(
-        F.struct(F.lit("baseline").alias("side"), F.col("in_baseline").alias("n")),
-        F.struct(F.lit("selection").alias("side"), F.col("in_selection").alias("n")),
-    )
-    keyed = [*group, "key"]
-    sided = counts.select("*", F.inline(sides)).filter("n > 0")
-    order = [F.desc("n"), *[F.asc(name) for name in tie_order]]
-    top = top_per_group(sided, [*group, "side"], order, size)
+def _sided(tops: list[DataFrame]) -> DataFrame:
+    """Both top lists as one, each row marked with the list it is from."""
+    baseline, selection = [
+        top.withColumn("side", F.lit(side)) for top, side in zip(tops, SIDES)
+    ]
+    return baseline.unionByName(selection)
+
+
+def _classified(top: DataFrame, keys: list[str], size: int, exact: bool) -> DataFrame:
+    """One row per value of the two top lists of at most ``size`` rows each."""
     if exact:
-        true_count = lambda name: F.nullif(F.max("in_" + name), F.lit(0))
+        counted = lambda side: F.nullif(F.max(side), F.lit(0))
     else:
-        true_count = lambda name: F.max(F.when(F.col("side") == name, F.col("n")))
+        counted = lambda side: F.max(F.when(F.col("side") == side, F.col(side)))
     baseline, selection = F.col("baseline"), F.col("selection")
     delta = selection - baseline
     status = (
@@ -110,17 +120,17 @@ def _classified(
     # Half to even on tenths of a percent.
     percent = F.bround(1000.0 * delta / baseline, 0) / 10
     diff = (
-        top.groupBy(*keyed)
-        .agg(true_count("baseline").alias("baseline"), true_count("selection").alias("selection"))
+        top.groupBy(*keys)
+        .agg(*[counted(side).alias(side) for side in SIDES])
         .withColumn("status", status)
         .withColumn("delta", delta)
         .withColumn("pct_change", F.when(F.col("status") == "changed", percent))
-        .select(*keyed, "status", "baseline", "selection", "delta", "pct_change")
+        .select(*keys, "status", "baseline", "selection", "delta", "pct_change")
     )
     place = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("status"))
     most = F.abs(F.coalesce(F.col("delta"), baseline, selection)).desc()
-    ordered = diff.orderBy(*group, place, most, F.asc("key"))
-    # At most both tops of each field, so the bound drops nothing; it lets the
-    # order be made by a merge instead of a sampled sort.
-    bound = 2 * size * groups
-    return ordered.limit(bound) if bound <= SHALLOW_ROWS else ordered
+    *group, key = keys
+    ordered = diff.orderBy(*group, place, most, F.asc(key))
+    # The bound drops nothing; it lets the order be made by a merge instead of
+    # a sampled sort.
+    return ordered.limit(2 * size) if 2 * size <= SHALLOW_ROWS else ordered

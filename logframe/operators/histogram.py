@@ -74,19 +74,21 @@ def histogram(
 
 
 def _auto_step(low: Column, high: Column) -> Column:
-    """The narrowest width, with its name, that needs at most 50 buckets."""
-    ladder = F.array(
-        *[
-            F.struct(F.lit(_seconds(name)).cast("bigint").alias("width"), F.lit(name).alias("label"))
-            for name in AUTO_WIDTHS
-        ]
-    )
+    """Place on the ladder, from 1, of the narrowest width that needs at most 50 buckets.
+
+    Each width is at least twice the one before, so all wider ones fit too.
+    """
+
+    def fits(width: Column) -> Column:
+        span = bucket_start(high, width) - bucket_start(low, width)
+        return span / width + 1 <= AUTO_BUCKETS
 
-    def fits(step: Column) -> Column:
-        span = bucket_start(high, step["width"]) - bucket_start(low, step["width"])
-        return span / step["width"] + 1 <= AUTO_BUCKETS
+    wide_enough = F.size(F.filter(_ladder(), fits))
+    return F.lit(len(AUTO_WIDTHS) + 1) - F.greatest(wide_enough, F.lit(1))
 
-    return F.coalesce(F.get(F.filter(ladder, fits), F.lit(0)), F.element_at(ladder, -1))
+
+def _ladder() -> Column:
+    return F.array(*[F.lit(_seconds(name)).cast("bigint") for name in AUTO_WIDTHS])
 
 
 def auto_histogram(
@@ -105,13 +107,14 @@ def auto_histogram(
     """
     events, dtype = _event_seconds(matching(df, where, from_ts, to_ts, ts_field), ts_field)
     span = events.agg(F.min("second").alias("low"), F.max("second").alias("high"))
-    plan = span.select("*", _auto_step(F.col("low"), F.col("high")).alias("step")).select(
-        F.struct("low", "high", "step.width", "step.label")
+    step = _auto_step(F.col("low"), F.col("high"))
+    plan = span.withColumn("step", step).select(
+        F.struct("low", "high", "step", F.element_at(_ladder(), F.col("step")).alias("width"))
     )
     # Two uses of the subquery; Spark runs it once.
     width = plan.scalar()["width"]
     events = events.select(
-        bucket_start(F.col("second"), width).alias("bucket"), F.lit(None).alias("label")
+        bucket_start(F.col("second"), width).alias("bucket"), F.lit(None).cast("int").alias("step")
     )
     grid = (
         df.sparkSession.range(0, 1, 1, 1)
@@ -125,10 +128,15 @@ def auto_histogram(
                     F.col("width"),
                 )
             ).alias("bucket"),
-            "label",
+            "step",
         )
     )
-    # Every bucket is in the grid, whose rows bring the name of the width along.
-    filled = _filled(events, grid, F.max("label").alias("interval_used"))
+    # Every bucket is in the grid, whose rows bring the chosen step along.
+    filled = _filled(events, grid, F.max("step").alias("step"))
     ordered = ordered_page(filled, [F.asc("bucket")], 0, AUTO_BUCKETS)
-    return ordered.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))
+    names = F.array(*[F.lit(name) for name in AUTO_WIDTHS])
+    return ordered.select(
+        from_epoch_seconds(F.col("bucket"), dtype).alias("bucket"),
+        "doc_count",
+        F.element_at(names, F.col("step")).alias("interval_used"),
+    )

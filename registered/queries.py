@@ -138,7 +138,7 @@ def count_range(spark, root):
 def count_json_between(spark, root):
     events = table(spark, root, "events")
     k = lf.json_field(events, "props", "k", "int")
-    return lf.count(events, (k >= 12) & (k <= 40), *W1, "ts")
+    return lf.count(events, lf.between(events, k, 12, 40), *W1, "ts")
 
 
 def count_any_none(spark, root):

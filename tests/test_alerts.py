@@ -106,6 +106,9 @@ def test_json_field(spark):
         "doc string",
     )
     level = lf.json_field(docs, "doc", "rule.level", "int")
+    assert docs.filter(lf.between(docs, level, 12, 12)).count() == 2
+    assert docs.filter(lf.none_of(lf.between(docs, level, 13))).count() == 4
+    assert docs.filter(lf.between(docs, level)).count() == 2
     assert [r[0] for r in docs.select(level).collect()] == [12, 12, None, None]
     variant = docs.select(F.try_parse_json("doc").alias("doc"))
     assert [
@@ -468,5 +471,5 @@ def test_value_diversity(docs):
 
 
 def test_keyed_counts_drop_missing_keys(docs):
-    counts, _ = keyed_counts(docs, {"level": "rule.level"}, {"n": F.count(F.lit(1))})
+    counts, _ = keyed_counts(docs, ["rule.level"], {"n": F.count(F.lit(1))})
     assert sum(r.n for r in counts.collect()) == 14
