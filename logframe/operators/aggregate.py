@@ -35,8 +35,8 @@ def terms(
     """The most frequent values of a field with exact counts, ties by value."""
     values = field_values(matching(df, where, from_ts, to_ts, ts_field), field)
     counts = values.groupBy("key").agg(F.count(F.lit(1)).alias("doc_count"))
-    order = [F.desc("doc_count"), F.asc("key")]
-    return ordered_page(counts, order, 0, top_size(size)).withColumnRenamed("key", field)
+    top = ordered_page(counts, "doc_count", ["key"], True, 0, top_size(size))
+    return top.withColumnRenamed("key", field)
 
 
 def keyed_counts(

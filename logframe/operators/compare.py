@@ -40,7 +40,7 @@ def compare(
     counts = values.groupBy("key").agg(*[m.alias(side) for side, m in _measures().items()])
     # Both tops are read from the same shuffle, which Spark reuses.
     tops = [
-        ordered_page(counts.filter(F.col(side) > 0), [F.desc(side), F.asc("key")], 0, top_size(size))
+        ordered_page(counts.filter(F.col(side) > 0), side, ["key"], True, 0, top_size(size))
         for side in SIDES
     ]
     return _classified(_sided(tops), ["key"], size, exact)

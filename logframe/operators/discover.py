@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from logframe.functions.fields import field, field_type, leaves
 from logframe.functions.guards import sample_bound
 from logframe.functions.predicates import Condition, matching
-from logframe.operators.rank import ordered_page
 
 _FOUND = "array<struct<field:string,type:string>>"
 _OPEN = "array<struct<path:string,value:variant,type:string>>"
@@ -40,7 +39,7 @@ def discover_fields(
         order = [field(df, ts_field).desc_nulls_last()]
         if key is not None:
             order.append(field(df, key).asc())
-        rows = ordered_page(rows, order, 0, sample_bound(sample_size))
+        rows = rows.orderBy(*order).limit(sample_bound(sample_size))
         seen = [_if_present(rows, path, dtype) for path, dtype in typed]
         found = F.array_compact(F.array(*seen)) if seen else F.array().cast(_FOUND)
         found = F.concat(found, *[_json_leaves(rows, path) for path in json_fields])

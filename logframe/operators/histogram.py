@@ -69,7 +69,7 @@ def histogram(
     events = events.select(bucket_start(F.col("second"), width).alias("bucket"))
     grid = df.sparkSession.range(first, last + width, width, 1).toDF("bucket")
     buckets = (last - first) // width + 1
-    ordered = ordered_page(_filled(events, grid), [F.asc("bucket")], 0, buckets)
+    ordered = ordered_page(_filled(events, grid), "bucket", [], limit=buckets)
     return ordered.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))
 
 
@@ -133,7 +133,7 @@ def auto_histogram(
     )
     # Every bucket is in the grid, whose rows bring the chosen step along.
     filled = _filled(events, grid, F.max("step").alias("step"))
-    ordered = ordered_page(filled, [F.asc("bucket")], 0, AUTO_BUCKETS)
+    ordered = ordered_page(filled, "bucket", [], limit=AUTO_BUCKETS)
     names = F.array(*[F.lit(name) for name in AUTO_WIDTHS])
     return ordered.select(
         from_epoch_seconds(F.col("bucket"), dtype).alias("bucket"),

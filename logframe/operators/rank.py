@@ -2,54 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from logframe.functions.times import epoch_seconds
 
 # Up to this many rows an ordered page is merged from every task's own best
 # rows in one task; each row is held in memory there, so the number is bounded.
 SHALLOW_ROWS = 10_000
 
+# Shares of the rows that a deep page's sort may be cut to, and the error of
+# the quantiles that mark them.
+CUT_SHARES = (0.001, 0.01, 0.1)
+CUT_ACCURACY = 10_000
+
 
-def ordered_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the table in the given order."""
+def ordered_page(
+    df: DataFrame,
+    by: str,
+    ties: list[str],
+    descending: bool = False,
+    offset: int = 0,
+    limit: int = SHALLOW_ROWS,
+) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` by one column, ties ascending by others, NULLs last."""
+    first = F.desc_nulls_last(by) if descending else F.asc_nulls_last(by)
+    order = [first, *[F.asc(name) for name in ties]]
     if offset + limit <= SHALLOW_ROWS:
         return df.orderBy(*order).offset(offset).limit(limit)
-    return _deep_page(df, order, offset, limit)
+    return _deep_page(df, by, descending, order, offset, limit)
 
 
-def _deep_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
-    """A page far from the top, by a distributed sort.
+def _deep_page(
+    df: DataFrame, by: str, descending: bool, order: list[Column], offset: int, limit: int
+) -> DataFrame:
+    """A page far from the top, by a distributed sort that runs at once.
 
-    The sorted rows are checkpointed once: their range partitions are then
-    fixed, so the row counts of the partitions (one small row each) say which
+    The sorted rows are checkpointed: their range partitions are then fixed,
+    so the row counts of the partitions (one small row each) say which
     partitions hold the page, and only those are read again.
     """
+    _need_checkpoint_folder(df)
+    last = offset + limit
+    cut = _cut(df, by, descending, last)
+    placed, counts = _placed(df if cut is None else df.filter(cut), order)
+    if cut is not None and sum(size for _, size in counts) < last:
+        # The quantile was off by more than its error: sort everything.
+        placed, counts = _placed(df, order)
+    wanted, before = F.lit(False), 0
+    for part, size in counts:
+        low, high = max(offset - before, 0), min(last - before, size)
+        if low < high:
+            place = F.col("_place")
+            wanted = wanted | ((F.col("_part") == part) & (place >= low) & (place < high))
+        before += size
+    return placed.filter(wanted).drop("_part", "_place").orderBy(*order)
+
+
+def _placed(df: DataFrame, order: list[Column]) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The rows sorted, with their partition and place in it, and the partitions' sizes."""
+    # The id holds the partition above bit 33 and the row's place in it below.
+    ident = F.monotonically_increasing_id()
+    placed = (
+        df.orderBy(*order)
+        .checkpoint()
+        .withColumn("_part", F.shiftright(ident, 33))
+        .withColumn("_place", ident.bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+    counts = placed.groupBy("_part").count().orderBy("_part").collect()
+    return placed, [(row["_part"], row["count"]) for row in counts]
+
+
+def _cut(df: DataFrame, by: str, descending: bool, rows: int) -> Column | None:
+    """A condition that keeps a beginning of the order, long enough to hold ``rows`` rows.
+
+    Any threshold keeps a beginning of the order, so the quantile need not be
+    exact; the caller checks that enough rows are left.
+    """
+    dtype = df.schema[by].dataType
+    if isinstance(dtype, T.NumericType):
+        value = F.col(by).cast("double")
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        value = epoch_seconds(F.col(by), dtype).cast("double")
+    else:
+        return None
+    points = [1 - share if descending else share for share in CUT_SHARES]
+    total, cuts = df.agg(
+        F.count(value), F.percentile_approx(value, points, F.lit(CUT_ACCURACY))
+    ).first()
+    for share, cut in zip(CUT_SHARES, cuts or []):
+        if (share - 1 / CUT_ACCURACY) * total >= rows:
+            return value >= cut if descending else value <= cut
+    return None
+
+
+def _need_checkpoint_folder(df: DataFrame) -> None:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             raise ValueError(
-                f"a page beyond row {SHALLOW_ROWS} needs spark.checkpoint.dir, a folder "
-                "that all executors share"
+                f"rows beyond the first {SHALLOW_ROWS} of an order need spark.checkpoint.dir, "
+                "a folder that all executors share"
             )
         spark.sparkContext.setCheckpointDir(folder)
-    rows = df.orderBy(*order).checkpoint()
-    # The id holds the partition above bit 33 and the row's place in it below.
-    place = F.monotonically_increasing_id()
-    placed = rows.withColumn("_part", F.shiftright(place, 33)).withColumn(
-        "_place", place.bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    counts = placed.groupBy("_part").count().orderBy("_part").collect()
-    wanted, before = F.lit(False), 0
-    for part, size in counts:
-        low, high = max(offset - before, 0), min(offset + limit - before, size)
-        if low < high:
-            wanted = wanted | (
-                (F.col("_part") == part) & (F.col("_place") >= low) & (F.col("_place") < high)
-            )
-        before += size
-    return placed.filter(wanted).drop("_part", "_place").orderBy(*order)
 
 
 def top_per_group(

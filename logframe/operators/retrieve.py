@@ -47,9 +47,9 @@ def search(
     helpers |= {f"_tie{n}": field(df, path) for n, path in enumerate(ties)}
     # Only what is shown or sorted by is carried through the sort.
     narrow = rows.select(*rows_shown, *[c.alias(name) for name, c in helpers.items()])
-    by = F.desc_nulls_last("_by") if sort_dir == "desc" else F.asc_nulls_last("_by")
-    order = [by, *[F.asc(name) for name in helpers if name != "_by"]]
-    return ordered_page(narrow, order, offset, limit).drop(*helpers)
+    tie_names = [name for name in helpers if name != "_by"]
+    page = ordered_page(narrow, "_by", tie_names, sort_dir == "desc", offset, limit)
+    return page.drop(*helpers)
 
 
 def count(

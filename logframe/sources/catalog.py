@@ -163,40 +163,41 @@ def _day_bounds(name: str, pattern: str) -> tuple[str, str] | None:
     return f"{year:04d}-{month:02d}-{day:02d}", f"{last_year:04d}-{last_month:02d}-{last_day:02d}"
 
 
-def _file_totals(spark, root, pattern, fmt) -> DataFrame:
+def _file_totals(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """Rows, files, bytes and file times of each table, without reading a data column.
 
     The first row of a file stands for the file, so files are counted once
     without grouping the rows by path. One shuffle for all tables.
     """
-    paths = _table_paths(spark, root, pattern, fmt)
-    first_row = F.col("_metadata.row_index") == 0
-    once = lambda name: F.when(first_row, F.col("_metadata." + name)).alias(name)
-    # An empty schema: no column is read, and none has to be inferred.
+    paths = _table_paths(spark, root, pattern, "parquet")
+    if not paths:
+        raise ValueError(f"no table matches {pattern!r} under {root}")
+    in_file = ["row_index", "file_size", "file_modification_time"]
+    at_first_row = lambda name: F.when(F.col("row_index") == 0, F.col(name)).alias(name)
+    # An empty schema: no column is read, and none has to be inferred. Tables
+    # are numbered, as rows are grouped faster by a number than by a name.
     parts = [
         spark.read.schema(T.StructType())
-        .format(fmt)
-        .load(path)
+        .parquet(path)
+        .select(*[F.col(f"_metadata.{name}").alias(name) for name in in_file])
         .select(
-            F.lit(name).alias(INDEX),
+            F.lit(number).alias("table"),
             F.lit(1).alias("row"),
-            once("file_size"),
-            once("file_modification_time"),
+            at_first_row("file_size"),
+            at_first_row("file_modification_time"),
         )
-        for name, path in paths.items()
+        for number, path in enumerate(paths.values(), 1)
     ]
-    # A table without rows has no first row; its name is known from the listing.
-    known = spark.createDataFrame([(name,) for name in paths], f"{INDEX} string")
-    empty = known.withColumns(
-        {
-            "row": F.lit(0),
-            "file_size": F.lit(None).cast("bigint"),
-            "file_modification_time": F.lit(None).cast("timestamp"),
-        }
+    # A table without rows has no first row, so every table gets a row of zero.
+    empty = spark.range(1, len(paths) + 1).select(
+        F.col("id").cast("int").alias("table"),
+        F.lit(0).alias("row"),
+        F.lit(None).cast("bigint").alias("file_size"),
+        F.lit(None).cast("timestamp").alias("file_modification_time"),
     )
     totals = (
         functools.reduce(DataFrame.unionAll, parts, empty)
-        .groupBy(F.col(INDEX).alias("index"))
+        .groupBy("table")
         .agg(
             F.sum("row").alias("doc_count"),
             F.count("file_size").alias("files"),
@@ -205,22 +206,20 @@ def _file_totals(spark, root, pattern, fmt) -> DataFrame:
             F.max("file_modification_time").alias("newest_file"),
         )
     )
-    return ordered_page(totals, [F.asc("index")], 0, len(paths))
+    names = F.array(*[F.lit(name) for name in paths])
+    ordered = ordered_page(totals, "table", [], limit=len(paths))
+    return ordered.withColumn("index", F.element_at(names, F.col("table")))
 
 
-def list_tables(
-    spark: SparkSession, root: str, pattern: str = "*", fmt: str = "parquet"
-) -> DataFrame:
-    """Name, row count and stored bytes of each table, by name."""
-    totals = _file_totals(spark, root, pattern, fmt)
+def list_tables(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """Name, row count and stored bytes of each parquet table, by name."""
+    totals = _file_totals(spark, root, pattern)
     return totals.select("index", "doc_count", "store_bytes")
 
 
-def table_layout(
-    spark: SparkSession, root: str, pattern: str = "*", fmt: str = "parquet"
-) -> DataFrame:
-    """How each table is split into files, and when they were written."""
-    totals = _file_totals(spark, root, pattern, fmt)
+def table_layout(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """How each parquet table is split into files, and when they were written."""
+    totals = _file_totals(spark, root, pattern)
     return totals.select("index", "files", "store_bytes", "oldest_file", "newest_file")
 
 

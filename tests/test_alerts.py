@@ -149,6 +149,23 @@ def test_search_far_page(docs, monkeypatch):
     assert whole == ids(lf.search(docs, key="_id"))
 
 
+@pytest.mark.parametrize("enough", [True, False])
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+def test_search_far_page_after_a_cut(docs, monkeypatch, enough, direction):
+    """The cut keeps enough rows, or by mistake too few."""
+    monkeypatch.setattr("logframe.operators.rank.SHALLOW_ROWS", 3)
+    monkeypatch.setattr("logframe.operators.rank.CUT_SHARES", (0.4, 0.8))
+    if not enough:
+        monkeypatch.setattr("logframe.operators.rank._cut", lambda *_: F.lit(False))
+    for by in ("@timestamp", "data.bytes", "rule.id"):
+        far = lf.search(docs, sort_field=by, sort_dir=direction, limit=3, offset=2, key="_id")
+        far = ids(far)
+        with monkeypatch.context() as usual:
+            usual.setattr("logframe.operators.rank.SHALLOW_ROWS", 10_000)
+            whole = ids(lf.search(docs, sort_field=by, sort_dir=direction, key="_id"))
+        assert far == whole[2:5]
+
+
 def test_terms(docs):
     rows = lf.terms(docs, "agent.name").collect()
     assert [tuple(r) for r in rows] == [("WIN-DC01", 9), ("srv-web01", 6)]
