@@ -12,6 +12,12 @@ from logframe.functions.times import epoch_seconds
 # rows in one task; each row is held in memory there, so the number is bounded.
 SHALLOW_ROWS = 10_000
 
+# From this size on storage a table is read twice for a page: the sort column
+# alone to find where the page ends, then whole rows up to there. Sizes that
+# Spark does not know are given as the largest long.
+LATE_BYTES = 1 << 30
+UNKNOWN_BYTES = (1 << 63) - 1
+
 # Shares of the rows that a deep page's sort may be cut to, and the error of
 # the quantiles that mark them.
 CUT_SHARES = (0.001, 0.01, 0.1)
@@ -34,6 +40,30 @@ def ordered_page(
     return _deep_page(df, by, descending, order, offset, limit)
 
 
+def leading_rows(df: DataFrame, by: str, descending: bool, rows: int) -> DataFrame:
+    """The table, cut to rows that can be among the first ``rows`` by one column.
+
+    On a large table the value that ends the page is found first, from the sort
+    and filter columns alone; as a scalar subquery it is pushed into the scan,
+    which then skips the row groups beyond it. Whole rows are so decoded and
+    merged for little more than the page, not for the best rows of every task.
+    """
+    if rows > SHALLOW_ROWS or not LATE_BYTES <= _stored_bytes(df) < UNKNOWN_BYTES:
+        return df
+    value = F.col(by)
+    if descending:
+        first, end = value.desc_nulls_last(), F.min(value)
+    else:
+        first, end = value.asc_nulls_last(), F.max(value)
+    cut = df.select(by).orderBy(first).limit(rows).agg(end).scalar()
+    return df.filter((value >= cut if descending else value <= cut) | value.isNull())
+
+
+def _stored_bytes(df: DataFrame) -> int:
+    """Spark's own estimate for the plan; for a filtered table its size after partition pruning."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _deep_page(
     df: DataFrame, by: str, descending: bool, order: list[Column], offset: int, limit: int
 ) -> DataFrame:

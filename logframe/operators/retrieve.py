@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logframe.functions.fields import field, find_field, quoted
 from logframe.functions.guards import SEARCH_LIMIT_CAP, page_bounds
 from logframe.functions.predicates import Condition, matching
-from logframe.operators.rank import ordered_page
+from logframe.operators.rank import leading_rows, ordered_page
 
 
 def search(
@@ -48,7 +48,9 @@ def search(
     # Only what is shown or sorted by is carried through the sort.
     narrow = rows.select(*rows_shown, *[c.alias(name) for name, c in helpers.items()])
     tie_names = [name for name in helpers if name != "_by"]
-    page = ordered_page(narrow, "_by", tie_names, sort_dir == "desc", offset, limit)
+    descending = sort_dir == "desc"
+    narrow = leading_rows(narrow, "_by", descending, offset + limit)
+    page = ordered_page(narrow, "_by", tie_names, descending, offset, limit)
     return page.drop(*helpers)
 
 

@@ -149,6 +149,17 @@ def test_search_far_page(docs, monkeypatch):
     assert whole == ids(lf.search(docs, key="_id"))
 
 
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+@pytest.mark.parametrize("by", ["@timestamp", "rule.level", "data.bytes", "agent.name"])
+def test_search_after_a_late_cut(docs, monkeypatch, by, direction):
+    wanted = ids(lf.search(docs, sort_field=by, sort_dir=direction, key="_id"))
+    monkeypatch.setattr("logframe.operators.rank.LATE_BYTES", 0)
+    monkeypatch.setattr("logframe.operators.rank.UNKNOWN_BYTES", 1 << 64)
+    for offset in (0, 4, 13, 20):
+        page = lf.search(docs, sort_field=by, sort_dir=direction, offset=offset, limit=3, key="_id")
+        assert ids(page) == wanted[offset : offset + 3]
+
+
 @pytest.mark.parametrize("enough", [True, False])
 @pytest.mark.parametrize("direction", ["asc", "desc"])
 def test_search_far_page_after_a_cut(docs, monkeypatch, enough, direction):

@@ -25,6 +25,19 @@ def test_time_range_and_term_reach_the_scan(spark):
     assert "props" not in plan
 
 
+@pytest.mark.parametrize(
+    "name", ["search_page", "search_sorted_asc", "discover_fields", "investigate_events"]
+)
+def test_large_tables_are_cut_to_the_page_in_the_scan(spark, monkeypatch, name):
+    usual = sorted(QUERIES[name](spark, ROOT).collect())
+    monkeypatch.setattr("logframe.operators.rank.LATE_BYTES", 0)
+    df = QUERIES[name](spark, ROOT)
+    assert sorted(df.collect()) == usual
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = [part.split("]")[0] for part in plan.split("PushedFilters: ")[1:]]
+    assert any("ScalarSubquery" in filters for filters in pushed)
+
+
 def test_prefix_wildcard_reaches_the_scan(spark):
     plan = executed(QUERIES["wildcard_part"](spark, ROOT))
     assert "StringStartsWith(p_name,small)" in plan
