@@ -118,7 +118,8 @@ def match_text(df: DataFrame, paths: str | list[str], words, mode: str = "any")
     paths = [paths] if isinstance(paths, str) else list(paths)
     if mode == "phrase":
         text = words if isinstance(words, str) else " ".join(words)
-        return any_of(*[F.coalesce(phrase(df, p, text, analyzed=True), F.lit(False)) for p in paths])
+        found = [phrase(df, p, text, analyzed=True) for p in paths]
+        return any_of(*[F.coalesce(p, F.lit(False)) for p in found])
     found = [find_field(df, p) for p in paths]
     texts = [
         F.array_join(c, " ") if isinstance(t, T.ArrayType) else c

@@ -53,7 +53,9 @@ def text_score(df: DataFrame, text_field: str, words, key: str) -> DataFrame:
             F.struct(
                 F.count(length).alias("texts"),
                 F.avg(length).alias("mean_length"),
-                F.array(*[F.count_if(has_any_word(F.col("_text"), [w])) for w in asked]).alias("df"),
+                F.array(*[F.count_if(has_any_word(F.col("_text"), [w])) for w in asked]).alias(
+                    "df"
+                ),
             )
         )
         .scalar()

@@ -27,16 +27,24 @@ INDEX = "_index"
 DAY_SUFFIX = r"[0-9]{4}\.[0-9]{2}\.[0-9]{2}"
 
 
-def _table_paths(spark: SparkSession, root: str, pattern: str, fmt: str) -> dict[str, str]:
+Pattern = str | list[str]
+
+
+def _table_paths(spark: SparkSession, root: str, pattern: Pattern, fmt: str) -> dict[str, str]:
     """Name and path of each matching table, by one listing of the root folder."""
+    patterns = [pattern] if isinstance(pattern, str) else pattern
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     found = {}
     for status in files.listStatus(folder):
         path = status.getPath()
         name = path.getName().removesuffix("." + fmt)
-        if not name.startswith((".", "_")) and fnmatch.fnmatchcase(name, pattern):
+        if name.startswith((".", "_")):
+            continue
+        if any(fnmatch.fnmatchcase(name, p) for p in patterns):
             found[name] = path.toString()
+    if not found:
+        raise ValueError(f"no table matches {pattern!r} under {root}")
     return dict(sorted(found.items()))
 
 
@@ -51,28 +59,25 @@ def _families(paths: dict[str, str]) -> dict[str, list[str]]:
 
 def _read_family(
     spark: SparkSession, names: list[str], paths: dict[str, str], fmt: str, schema
-) -> DataFrame:
+) -> list[DataFrame]:
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    if len(names) == 1:
-        return reader.load(paths[names[0]]).withColumn(INDEX, F.lit(names[0]))
-    if schema is None:
-        reader = reader.option("mergeSchema", "true")
-    location = F.col("_metadata.file_path")
-    name = F.regexp_extract(location, rf"/([\w.\-]+-{DAY_SUFFIX})(\.{fmt})?(/|$)", 1)
-    return reader.load([paths[n] for n in names]).withColumn(INDEX, name)
-
-
-def _readers(spark, root, pattern, fmt, schema=None) -> list[DataFrame]:
-    paths = _table_paths(spark, root, pattern, fmt)
-    if not paths:
-        raise ValueError(f"no table matches {pattern!r} under {root}")
-    return [_read_family(spark, names, paths, fmt, schema) for names in _families(paths).values()]
+    if len(names) > 1:
+        merging = reader.option("mergeSchema", schema is None)
+        location = F.col("_metadata.file_path")
+        name = F.regexp_extract(location, rf"/([\w.\-]+-{DAY_SUFFIX})(\.{fmt})?(/|$)", 1)
+        try:
+            return [merging.load([paths[n] for n in names]).withColumn(INDEX, name)]
+        except Exception as failure:  # PySpark passes this one on as the bridge's own error.
+            if "[CANNOT_MERGE_SCHEMAS]" not in str(failure):
+                raise
+    # A single table, or days with a field whose type changed on the way.
+    return [reader.load(paths[n]).withColumn(INDEX, F.lit(n)) for n in names]
 
 
 def tables(
-    spark: SparkSession, root: str, pattern: str = "*", fmt: str = "parquet"
+    spark: SparkSession, root: str, pattern: Pattern = "*", fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
     """Each matching table on its own."""
     paths = _table_paths(spark, root, pattern, fmt)
@@ -80,16 +85,21 @@ def tables(
 
 
 def scan(
-    spark: SparkSession, root: str, pattern: str, fmt: str = "parquet", schema=None
+    spark: SparkSession, root: str, pattern: Pattern, fmt: str = "parquet", schema=None
 ) -> DataFrame:
-    """One table, or all that match a wildcard as one table with an ``_index`` column.
+    """All tables that match a name, a wildcard or a list of them, told apart by ``_index``.
 
     Columns are matched by name and missing ones are NULL. A column whose
     types cannot be widened to each other is read as text everywhere.
     ``schema`` skips schema inference, which for a family of daily tables
     reads the footer of every file.
     """
-    arms = _readers(spark, root, pattern, fmt, schema)
+    paths = _table_paths(spark, root, pattern, fmt)
+    arms = [
+        arm
+        for names in _families(paths).values()
+        for arm in _read_family(spark, names, paths, fmt, schema)
+    ]
     clashes = _clashing_columns(arms)
     merged = None
     for arm in arms:
@@ -163,15 +173,13 @@ def _day_bounds(name: str, pattern: str) -> tuple[str, str] | None:
     return f"{year:04d}-{month:02d}-{day:02d}", f"{last_year:04d}-{last_month:02d}-{last_day:02d}"
 
 
-def _file_totals(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+def _file_totals(spark: SparkSession, root: str, pattern: Pattern) -> DataFrame:
     """Rows, files, bytes and file times of each table, without reading a data column.
 
     The first row of a file stands for the file, so files are counted once
     without grouping the rows by path. One shuffle for all tables.
     """
     paths = _table_paths(spark, root, pattern, "parquet")
-    if not paths:
-        raise ValueError(f"no table matches {pattern!r} under {root}")
     in_file = ["row_index", "file_size", "file_modification_time"]
     at_first_row = lambda name: F.when(F.col("row_index") == 0, F.col(name)).alias(name)
     # An empty schema: no column is read, and none has to be inferred. Tables
@@ -211,20 +219,20 @@ def _file_totals(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return ordered.withColumn("index", F.element_at(names, F.col("table")))
 
 
-def list_tables(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def list_tables(spark: SparkSession, root: str, pattern: Pattern = "*") -> DataFrame:
     """Name, row count and stored bytes of each parquet table, by name."""
     totals = _file_totals(spark, root, pattern)
     return totals.select("index", "doc_count", "store_bytes")
 
 
-def table_layout(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def table_layout(spark: SparkSession, root: str, pattern: Pattern = "*") -> DataFrame:
     """How each parquet table is split into files, and when they were written."""
     totals = _file_totals(spark, root, pattern)
     return totals.select("index", "files", "store_bytes", "oldest_file", "newest_file")
 
 
 def list_time_fields(
-    spark: SparkSession, root: str, pattern: str = "*", fmt: str = "parquet"
+    spark: SparkSession, root: str, pattern: Pattern = "*", fmt: str = "parquet"
 ) -> DataFrame:
     """Each table with its first timestamp column, from the schemas alone."""
     rows = []
@@ -238,8 +246,8 @@ def list_time_fields(
     return spark.createDataFrame(rows, "id string, title string, time_field string")
 
 
-# Type names as this package reports them; any other type keeps Spark's own name.
 def type_name(dtype: T.DataType) -> str:
+    """Structs are objects; any other type keeps Spark's own name."""
     return "object" if isinstance(dtype, T.StructType) else dtype.simpleString()
 
 

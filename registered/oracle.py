@@ -32,7 +32,8 @@ def _counts(names, where=lambda name: "true"):
 
 
 def _words(column: str) -> str:
-    return rf"list_filter(string_split_regex(lower({column}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
+    pieces = rf"string_split_regex(lower({column}), '[^\p{{L}}\p{{N}}]+')"
+    return f"list_filter({pieces}, lambda w: w <> '')"
 
 
 def _top(table: str, field: str, size: int, where: str = "true", key: str = "key") -> str:
@@ -331,7 +332,8 @@ ORACLE: dict[str, str] = {
         join supplier on l_suppkey = s_suppkey
       )
       select s.key, s.doc_count as src_count, c.doc_count as dst_count
-      from {_top("t", "s_nationkey", 10)} s join {_top("t", "c_nationkey", 10)} c on s.key = c.key""",
+      from {_top("t", "s_nationkey", 10)} s
+      join {_top("t", "c_nationkey", 10)} c on s.key = c.key""",
     "anomalous_users": """
       with c as (select user_id, count(*) as doc_count from events group by 1),
       m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c)

@@ -229,7 +229,8 @@ def test_multi_terms_same_field_twice(docs):
 
 def test_histogram_has_every_bucket(docs):
     rows = lf.histogram(docs, FROM, TO, interval="30m").collect()
-    assert [r.bucket for r in rows] == [at("01:00") + dt.timedelta(minutes=30 * n) for n in range(9)]
+    half_hours = [at("01:00") + dt.timedelta(minutes=30 * n) for n in range(9)]
+    assert [r.bucket for r in rows] == half_hours
     assert [r.doc_count for r in rows] == [1, 0, 3, 0, 1, 0, 1, 3, 1]
     assert sum(r.doc_count for r in rows) == lf.count(docs, None, FROM, TO).first()["count"]
 
@@ -422,7 +423,8 @@ def test_field_types(docs):
 
 
 def test_discover(docs):
-    rows = {r.field: (r.type, r.n_docs) for r in lf.discover_fields(docs, sample_size=None).collect()}
+    every = lf.discover_fields(docs, sample_size=None).collect()
+    rows = {r.field: (r.type, r.n_docs) for r in every}
     assert rows["agent.name"] == ("string", 15)
     assert rows["rule.groups"] == ("array<string>", 13)
     newest = lf.discover_fields(docs, sample_size=2, key="_id").collect()
@@ -481,13 +483,15 @@ def test_added_samples_and_drill(docs):
     )
     assert ids(samples) == ["a14"]
     drill = lf.changed_drill(docs, "rule.id", "agent.name", *windows, threshold=30.0)
-    assert [tuple(r) for r in drill.collect()] == [("5710", "WIN-DC01", 3), ("5710", "srv-web01", 1)]
+    drilled = [tuple(r) for r in drill.collect()]
+    assert drilled == [("5710", "WIN-DC01", 3), ("5710", "srv-web01", 1)]
     grouped = lf.added_samples(docs, "rule.groups", *windows, source_fields=["_id"], key="_id")
     assert ids(grouped) == []
 
 
 def test_outliers(spark):
-    counts = spark.createDataFrame([(n, 10) for n in range(20)] + [(99, 100)], "k int, doc_count int")
+    rows = [(n, 10) for n in range(20)] + [(99, 100)]
+    counts = spark.createDataFrame(rows, "k int, doc_count int")
     assert [r.k for r in lf.outliers(counts).collect()] == [99]
     level = spark.createDataFrame([(1, 5), (2, 5)], "k int, doc_count int")
     assert lf.outliers(level).collect() == []

@@ -46,6 +46,21 @@ def test_types_that_do_not_fit_become_text(spark, root):
     assert mixed.filter("value is not null").count() == 1
 
 
+def test_a_family_whose_types_changed(spark, tmp_path):
+    for day, level in ((1, "12"), (2, "'high'")):
+        spark.sql(f"select {level} as level").write.parquet(f"{tmp_path}/app-2024.03.0{day}")
+    days = lf.scan(spark, str(tmp_path), "app-*")
+    rows = sorted(tuple(r) for r in days.select("_index", "level").collect())
+    assert rows == [("app-2024.03.01", "12"), ("app-2024.03.02", "high")]
+
+
+def test_a_list_of_names(spark, root):
+    found = lf.scan(spark, root, ["two_files", "log-2024.03.02"])
+    assert {r[0]: r[1] for r in found.groupBy("_index").count().collect()} == {
+        "two_files": 10, "log-2024.03.02": 2,
+    }
+
+
 def test_one_table_by_name(spark, root):
     assert lf.scan(spark, root, "two_files").count() == 10
     with pytest.raises(ValueError, match="no table"):

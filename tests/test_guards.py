@@ -99,7 +99,9 @@ def test_too_many_buckets():
     guards.bucket_grid("2024-03-01", "2024-03-02", "1s", cap=100_000)
 
 
-@pytest.mark.parametrize("name", ["rule.description", "message", "full_log", "catalog", "Event.TEXT"])
+@pytest.mark.parametrize(
+    "name", ["rule.description", "message", "full_log", "catalog", "Event.TEXT"]
+)
 def test_names_that_sound_like_text(name):
     assert guards.looks_like_text(name)
 

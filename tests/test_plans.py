@@ -90,9 +90,11 @@ def test_scan_leaves_out_tables_without_the_time_field(spark):
 
 
 def test_a_date_column_is_pushed_down(spark, tmp_path):
-    days = spark.range(10).select(F.date_add(F.lit("2024-03-01").cast("date"), F.col("id").cast("int")).alias("day"))
-    days.write.parquet(f"{tmp_path}/days")
-    found = lf.count(spark.read.parquet(f"{tmp_path}/days"), None, "2024-03-02T01:00:00", "2024-03-05", "day")
+    spark.sql(
+        "select date'2024-03-01' + make_interval(0, 0, 0, int(id)) as day from range(10)"
+    ).select(F.col("day").cast("date")).write.parquet(f"{tmp_path}/days")
+    days = spark.read.parquet(f"{tmp_path}/days")
+    found = lf.count(days, None, "2024-03-02T01:00:00", "2024-03-05", "day")
     assert found.first()["count"] == 3
     plan = executed(found)
     assert "GreaterThanOrEqual(day" in plan or "GreaterThan(day" in plan
