@@ -6,6 +6,7 @@ from logframe.functions.predicates import (
     all_of,
     any_of,
     between,
+    day_range,
     exists,
     json_field,
     match_all,

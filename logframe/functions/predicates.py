@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logframe.functions.fields import find_field
+from logframe.functions.fields import field, find_field
 from logframe.functions.text import has_any_word, has_words_in_a_row, query_words
 from logframe.functions.times import parse_window, time_column, time_literal
 
@@ -186,6 +186,22 @@ def time_range(df: DataFrame, ts_field: str, from_ts=None, to_ts=None) -> Column
     return all_of(*bounds)
 
 
+def day_range(df: DataFrame, day_column: str, from_ts=None, to_ts=None) -> Column:
+    """Days that a time range touches, on a date column.
+
+    For tables partitioned by day: added to a time range as a condition it
+    skips the other partitions, whose files are then never opened.
+    """
+    start, end = parse_window(from_ts, to_ts)
+    day = field(df, day_column)
+    bounds = []
+    if start is not None:
+        bounds.append(day >= F.lit(start.date()))
+    if end is not None:
+        bounds.append(day <= F.lit(end.date()))
+    return all_of(*bounds)
+
+
 def matching(
     df: DataFrame,
     where: Condition = None,

@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logframe.functions.fields import quoted, walk
-from logframe.functions.predicates import wildcard
-from logframe.functions.times import parse_time, time_column, time_literal, utc_day
+from logframe.functions.predicates import day_range, wildcard
+from logframe.functions.times import (
+    parse_time,
+    parse_window,
+    time_column,
+    time_literal,
+    utc_day,
+)
 from logframe.operators.rank import ordered_page
 
 INDEX = "_index"
@@ -84,17 +90,38 @@ def tables(
     return {name: spark.read.format(fmt).load(path) for name, path in paths.items()}
 
 
+def _in_window(name: str, from_ts, to_ts) -> bool:
+    """Whether a table may hold rows of the window, by the day in its name if it has one."""
+    day = re.search(rf"-({DAY_SUFFIX})$", name)
+    if day is None:
+        return True
+    start, end = parse_window(from_ts, to_ts)
+    first = start.strftime("%Y.%m.%d") if start else ""
+    last = end.strftime("%Y.%m.%d") if end else "9999.99.99"
+    return first <= day[1] <= last
+
+
 def scan(
-    spark: SparkSession, root: str, pattern: Pattern, fmt: str = "parquet", schema=None
+    spark: SparkSession,
+    root: str,
+    pattern: Pattern,
+    fmt: str = "parquet",
+    schema=None,
+    from_ts=None,
+    to_ts=None,
 ) -> DataFrame:
     """All tables that match a name, a wildcard or a list of them, told apart by ``_index``.
 
     Columns are matched by name and missing ones are NULL. A column whose
     types cannot be widened to each other is read as text everywhere.
     ``schema`` skips schema inference, which for a family of daily tables
-    reads the footer of every file.
+    reads the footer of every file. With ``from_ts`` or ``to_ts`` daily tables
+    of other days are not opened at all; rows are not filtered by it.
     """
     paths = _table_paths(spark, root, pattern, fmt)
+    paths = {n: path for n, path in paths.items() if _in_window(n, from_ts, to_ts)}
+    if not paths:
+        raise ValueError(f"no table matching {pattern!r} is of the days asked for")
     arms = [
         arm
         for names in _families(paths).values()
@@ -142,10 +169,7 @@ def scan_daily(
         before = time_literal(dtype, parse_time(last + "T23:59:59.999999"))
         named = named.filter((column >= after) & (column <= before))
         if day_column is not None:
-            day = F.col(quoted(day_column))
-            named = named.filter(
-                (day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date"))
-            )
+            named = named.filter(day_range(df, day_column, first, last))
         if re.fullmatch(r"[^*?\\]*\*", pattern):
             # The days that start with some digits are just those in the range.
             return named

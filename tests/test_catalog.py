@@ -54,6 +54,18 @@ def test_a_family_whose_types_changed(spark, tmp_path):
     assert rows == [("app-2024.03.01", "12"), ("app-2024.03.02", "high")]
 
 
+def test_only_the_days_of_a_window_are_opened(spark, root):
+    def opened(from_ts, to_ts):
+        days = lf.scan(spark, root, "log-2024*", from_ts=from_ts, to_ts=to_ts)
+        return sorted({path.split("log-2024.03.0")[1][0] for path in days.inputFiles()})
+
+    assert opened("2024-03-02", "2024-03-02T12:00:00") == ["2"]
+    assert opened("2024-03-02", None) == ["2", "3"]
+    assert opened(None, "2024-03-02") == ["1", "2"]
+    with pytest.raises(ValueError, match="days asked for"):
+        opened("2025-01-01", None)
+
+
 def test_a_list_of_names(spark, root):
     found = lf.scan(spark, root, ["two_files", "log-2024.03.02"])
     assert {r[0]: r[1] for r in found.groupBy("_index").count().collect()} == {
@@ -117,6 +129,19 @@ def test_scan_daily_prunes_partitions(spark, root, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan and "(day" in plan
 
 
+def test_a_day_range_prunes_partitions(spark, root, tmp_path):
+    lf.scan(spark, root, "log-2024*").withColumn("day", F.to_date("ts")).write.partitionBy(
+        "day"
+    ).parquet(f"{tmp_path}/by_day")
+    table = spark.read.parquet(f"{tmp_path}/by_day")
+    window = ("2024-03-02T00:30:00", "2024-03-03T00:30:00")
+    found = lf.count(table, lf.day_range(table, "day", *window), *window, "ts")
+    assert found.first()["count"] == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "day" not in plan.split("PushedFilters")[1].split("]")[0]
+
+
 def test_json_lines(spark, root, tmp_path):
     lf.scan(spark, root, "log-2024*").drop("_index").write.json(f"{tmp_path}/lines.json")
     lines = lf.scan(spark, str(tmp_path), "li*", fmt="json")
