@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from logframe.functions.fields import field as column_at
 from logframe.functions.fields import field_type, is_array
 from logframe.functions.guards import top_size
 from logframe.functions.predicates import Condition, any_of, matching
-from logframe.operators.rank import ordered_page, top_per_group
+from logframe.operators.rank import SHALLOW_ROWS, ordered_page, top_per_group
 
 
 def field_values(rows: DataFrame, path: str, *others: Column) -> DataFrame:
@@ -91,6 +91,20 @@ def labelled(ids: list[str], slots: list[str]) -> tuple[Column, Column]:
     return label, F.coalesce(*[F.col(name).cast("string") for name in slots])
 
 
+def field_tops(counts: DataFrame, slots: list[str], by: str, sizes: list[int]) -> DataFrame:
+    """The first rows of each field by a measure, for rows of :func:`keyed_counts`."""
+    if max(sizes) <= SHALLOW_ROWS:
+        own_size = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("_field"))
+        order = [F.desc(by), *[F.asc(name) for name in slots]]
+        return top_per_group(counts, ["_field"], order, max(sizes), own_size)
+    # Tops too long for one task each.
+    tops = [
+        ordered_page(counts.filter(F.col("_field") == n), by, slots, True, 0, size)
+        for n, size in enumerate(sizes, 1)
+    ]
+    return reduce(DataFrame.unionAll, tops)
+
+
 def multi_terms(
     df: DataFrame,
     aggregations: list[dict],
@@ -113,10 +127,7 @@ def multi_terms(
     counts, slots = keyed_counts(
         rows, [a["field"] for a in aggregations], {"doc_count": F.count(F.lit(1))}
     )
-    widest = max(sizes.values())
-    own_size = F.element_at(F.array(*[F.lit(n) for n in sizes.values()]), F.col("_field"))
-    order = [F.desc("doc_count"), *[F.asc(name) for name in slots]]
-    top = top_per_group(counts, ["_field"], order, widest, own_size)
+    top = field_tops(counts, slots, "doc_count", list(sizes.values()))
     label, key = labelled(list(sizes), slots)
     return top.select(label.alias("id"), key.alias("key"), "doc_count")
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from logframe.functions.guards import top_size
 from logframe.functions.predicates import Condition, condition, time_range
-from logframe.operators.aggregate import field_values, keyed_counts, labelled
-from logframe.operators.rank import SHALLOW_ROWS, ordered_page, top_per_group
+from logframe.operators.aggregate import field_tops, field_values, keyed_counts, labelled
+from logframe.operators.rank import ordered, ordered_page
 
 SIDES = ("baseline", "selection")
 
@@ -64,13 +64,8 @@ def compare_fields(
     windows = _windows(df, ts_field, baseline_from, baseline_to, selection_from, selection_to)
     rows = _in_windows(df, where, windows)
     counts, slots = keyed_counts(rows, fields, _measures())
-    ties = [F.asc(name) for name in slots]
-    tops = [
-        top_per_group(
-            counts.filter(F.col(side) > 0), ["_field"], [F.desc(side), *ties], top_size(size)
-        )
-        for side in SIDES
-    ]
+    sizes = [top_size(size)] * len(fields)
+    tops = [field_tops(counts.filter(F.col(side) > 0), slots, side, sizes) for side in SIDES]
     label, key = labelled(fields, slots)
     top = _sided(tops).withColumns({"field": label, "key": key})
     return _classified(top, ["field", "key"], size * len(fields), exact)
@@ -129,8 +124,5 @@ def _classified(top: DataFrame, keys: list[str], size: int, exact: bool) -> Data
     )
     place = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("status"))
     most = F.abs(F.coalesce(F.col("delta"), baseline, selection)).desc()
-    *group, key = keys
-    ordered = diff.orderBy(*group, place, most, F.asc(key))
-    # The bound drops nothing; it lets the order be made by a merge instead of
-    # a sampled sort.
-    return ordered.limit(2 * size) if 2 * size <= SHALLOW_ROWS else ordered
+    *group, key = [F.col(name) for name in keys]
+    return ordered(diff, [*group, place, most, key], 2 * size)

@@ -15,7 +15,7 @@ from logframe.functions.times import (
     from_epoch_seconds,
     time_column,
 )
-from logframe.operators.rank import ordered_page
+from logframe.operators.rank import ordered
 
 # Most buckets an automatic histogram may have, and the widths it
 # chooses from, narrowest first.
@@ -69,8 +69,8 @@ def histogram(
     events = events.select(bucket_start(F.col("second"), width).alias("bucket"))
     grid = df.sparkSession.range(first, last + width, width, 1).toDF("bucket")
     buckets = (last - first) // width + 1
-    ordered = ordered_page(_filled(events, grid), "bucket", [], limit=buckets)
-    return ordered.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))
+    filled = ordered(_filled(events, grid), [F.asc("bucket")], buckets)
+    return filled.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))
 
 
 def _auto_step(low: Column, high: Column) -> Column:
@@ -133,9 +133,8 @@ def auto_histogram(
     )
     # Every bucket is in the grid, whose rows bring the chosen step along.
     filled = _filled(events, grid, F.max("step").alias("step"))
-    ordered = ordered_page(filled, "bucket", [], limit=AUTO_BUCKETS)
     names = F.array(*[F.lit(name) for name in AUTO_WIDTHS])
-    return ordered.select(
+    return ordered(filled, [F.asc("bucket")], AUTO_BUCKETS).select(
         from_epoch_seconds(F.col("bucket"), dtype).alias("bucket"),
         "doc_count",
         F.element_at(names, F.col("step")).alias("interval_used"),

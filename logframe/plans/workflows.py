@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logframe.functions.fields import field as column_at
 from logframe.functions.fields import is_array
+from logframe.functions.guards import page_bounds
 from logframe.functions.predicates import Condition, all_of, between, matching, term
 from logframe.operators.aggregate import multi_terms
 from logframe.operators.compare import compare, compare_fields
@@ -142,7 +143,11 @@ def added_samples(
     source_fields: list[str] | None = None,
     key: str | None = None,
 ) -> DataFrame:
-    """The newest events of each value that is new in the selection window."""
+    """The newest events of each value that is new in the selection window.
+
+    ``samples`` is capped like the limit of a search.
+    """
+    samples, _ = page_bounds(samples, 0)
     changes = compare(
         df,
         field,
@@ -184,6 +189,8 @@ def changed_drill(
 
     ``(key, value, doc_count)`` over the selection window.
     """
+    if not 1 <= drill_size <= SHALLOW_ROWS:
+        raise ValueError(f"drill_size must be from 1 to {SHALLOW_ROWS}, got {drill_size}")
     changes = compare(
         df,
         field,

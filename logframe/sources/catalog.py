@@ -25,7 +25,7 @@ from logframe.functions.times import (
     time_literal,
     utc_day,
 )
-from logframe.operators.rank import ordered_page
+from logframe.operators.rank import ordered
 
 INDEX = "_index"
 
@@ -239,8 +239,8 @@ def _file_totals(spark: SparkSession, root: str, pattern: Pattern) -> DataFrame:
         )
     )
     names = F.array(*[F.lit(name) for name in paths])
-    ordered = ordered_page(totals, "table", [], limit=len(paths))
-    return ordered.withColumn("index", F.element_at(names, F.col("table")))
+    listed = ordered(totals, [F.asc("table")], len(paths))
+    return listed.withColumn("index", F.element_at(names, F.col("table")))
 
 
 def list_tables(spark: SparkSession, root: str, pattern: Pattern = "*") -> DataFrame:

@@ -208,6 +208,22 @@ def test_multi_terms_are_separate_terms(docs):
             assert ranked == [w for w in wanted if w[0] == ident]
 
 
+def test_long_tops_are_the_same(docs, monkeypatch):
+    """Sizes beyond what one task may merge take another way to the same rows."""
+    lists = [{"id": "r", "field": "rule.id", "size": 9}, {"id": "g", "field": "rule.groups"}]
+    calls = [
+        lambda: lf.multi_terms(docs, lists),
+        lambda: lf.terms(docs, "agent.name"),
+        lambda: lf.compare(docs, "rule.id", *BASELINE, *SELECTION),
+        lambda: lf.compare_report(docs, ["rule.id", "agent.name"], *BASELINE, *SELECTION),
+        lambda: lf.histogram(docs, FROM, TO, interval="10m"),
+    ]
+    usual = [call().collect() for call in calls]
+    for module in ("rank", "aggregate"):
+        monkeypatch.setattr(f"logframe.operators.{module}.SHALLOW_ROWS", 2)
+    assert [call().collect() for call in calls] == usual
+
+
 def test_multi_terms_ties_follow_the_value_not_its_text(spark):
     docs = spark.createDataFrame([(n, "x") for n in (100, 20, 3)], "n int, s string")
     found = lf.multi_terms(docs, [{"id": "n", "field": "n"}, {"id": "s", "field": "s"}])
