@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from logframe.functions.fields import field, field_type, leaves
 from logframe.functions.guards import sample_bound
 from logframe.functions.predicates import Condition, matching
-from logframe.operators.rank import leading_rows
+from logframe.operators.rank import leading
 
 _FOUND = "array<struct<field:string,type:string>>"
 _OPEN = "array<struct<path:string,value:variant,type:string>>"
@@ -37,12 +37,13 @@ def discover_fields(
     rows = matching(df, where, from_ts, to_ts, ts_field)
     typed = [(p, t) for p, t in leaves(df.schema) if p not in json_fields]
     if sample_size is not None:
-        newest = rows.withColumn("_by", field(df, ts_field))
-        newest = leading_rows(newest, "_by", True, sample_bound(sample_size))
-        order = [F.desc_nulls_last("_by")]
+        size = sample_bound(sample_size)
+        newest = leading(rows, field(df, ts_field), True, size)
+        rows = matching(df.filter(newest), where, from_ts, to_ts, ts_field)
+        order = [field(df, ts_field).desc_nulls_last()]
         if key is not None:
             order.append(field(df, key).asc())
-        rows = newest.orderBy(*order).limit(sample_bound(sample_size))
+        rows = rows.orderBy(*order).limit(size)
         seen = [_if_present(rows, path, dtype) for path, dtype in typed]
         found = F.array_compact(F.array(*seen)) if seen else F.array().cast(_FOUND)
         found = F.concat(found, *[_json_leaves(rows, path) for path in json_fields])

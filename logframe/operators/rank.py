@@ -48,23 +48,24 @@ def ordered_page(
     return _deep_page(df, by, descending, order, offset, limit)
 
 
-def leading_rows(df: DataFrame, by: str, descending: bool, rows: int) -> DataFrame:
-    """The table, cut to rows that can be among the first ``rows`` by one column.
+def leading(matched: DataFrame, by: Column, descending: bool, rows: int) -> Column:
+    """A condition that drops only rows beyond the first ``rows`` matching ones by a column.
 
     On a large table the value that ends the page is found first, from the sort
     and filter columns alone; as a scalar subquery it is pushed into the scan,
     which then skips the row groups beyond it. Whole rows are so decoded and
     merged for little more than the page, not for the best rows of every task.
+    Put the condition before the others, as it is cheaper than most.
     """
-    if rows > SHALLOW_ROWS or not LATE_BYTES <= _stored_bytes(df) < UNKNOWN_BYTES:
-        return df
-    value = F.col(by)
+    if rows > SHALLOW_ROWS or not LATE_BYTES <= _stored_bytes(matched) < UNKNOWN_BYTES:
+        return F.lit(True)
+    value = F.col("_by")
     if descending:
         first, end = value.desc_nulls_last(), F.min(value)
     else:
         first, end = value.asc_nulls_last(), F.max(value)
-    cut = df.select(by).orderBy(first).limit(rows).agg(end).scalar()
-    return df.filter((value >= cut if descending else value <= cut) | value.isNull())
+    cut = matched.select(by.alias("_by")).orderBy(first).limit(rows).agg(end).scalar()
+    return (by >= cut if descending else by <= cut) | by.isNull()
 
 
 def _stored_bytes(df: DataFrame) -> int:

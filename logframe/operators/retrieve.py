@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logframe.functions.fields import field, find_field, quoted
 from logframe.functions.guards import SEARCH_LIMIT_CAP, page_bounds
 from logframe.functions.predicates import Condition, matching
-from logframe.operators.rank import leading_rows, ordered_page
+from logframe.operators.rank import leading, ordered_page
 
 
 def search(
@@ -35,7 +35,11 @@ def search(
     limit, offset = page_bounds(limit, offset, limit_cap)
     if sort_dir not in ("asc", "desc"):
         raise ValueError(f"sort_dir must be asc or desc, not {sort_dir!r}")
-    rows = matching(df, where, from_ts, to_ts, ts_field)
+    by = field(df, sort_field or ts_field)
+    descending = sort_dir == "desc"
+    criteria = (where, from_ts, to_ts, ts_field)
+    first = leading(matching(df, *criteria), by, descending, offset + limit)
+    rows = matching(df.filter(first), *criteria)
     if source_fields:
         shown = [path for path in source_fields if find_field(df, path) is not None]
         rows_shown = [field(df, path).alias(path) for path in shown]
@@ -43,13 +47,11 @@ def search(
         shown = df.columns
         rows_shown = [F.col(quoted(name)) for name in shown]
     ties = [key] if isinstance(key, str) else key or []
-    helpers = {"_by": field(df, sort_field or ts_field)}
+    helpers = {"_by": by}
     helpers |= {f"_tie{n}": field(df, path) for n, path in enumerate(ties)}
     # Only what is shown or sorted by is carried through the sort.
     narrow = rows.select(*rows_shown, *[c.alias(name) for name, c in helpers.items()])
     tie_names = [name for name in helpers if name != "_by"]
-    descending = sort_dir == "desc"
-    narrow = leading_rows(narrow, "_by", descending, offset + limit)
     page = ordered_page(narrow, "_by", tie_names, descending, offset, limit)
     return page.drop(*helpers)
 

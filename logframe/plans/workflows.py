@@ -12,7 +12,7 @@ from logframe.functions.predicates import Condition, all_of, between, matching,
 from logframe.operators.aggregate import multi_terms
 from logframe.operators.compare import compare, compare_fields
 from logframe.operators.histogram import auto_histogram
-from logframe.operators.rank import SHALLOW_ROWS, leading_rows, top_per_group
+from logframe.operators.rank import SHALLOW_ROWS, leading, top_per_group
 from logframe.operators.retrieve import count
 
 # How many rows or values each step of an investigation shows.
@@ -58,13 +58,13 @@ def investigate(
             {"id": "descriptions", "field": description_field, "size": DESCRIPTIONS_SHOWN}
         )
     severe = all_of(mine, between(df, severity_field, min_severity))
-    newest = column_at(df, ts_field)
-    rows = matching(df, severe, *window).withColumn("_by", column_at(df, severity_field))
-    rows = leading_rows(rows, "_by", True, EVENTS_SHOWN)
-    order = [F.desc_nulls_last("_by"), newest.desc_nulls_last()]
+    severity = column_at(df, severity_field)
+    worst = leading(matching(df, severe, *window), severity, True, EVENTS_SHOWN)
+    rows = matching(df.filter(worst), severe, *window)
+    order = [severity.desc_nulls_last(), column_at(df, ts_field).desc_nulls_last()]
     if key is not None:
         order.append(column_at(df, key).asc())
-    events = rows.orderBy(*order).limit(EVENTS_SHOWN).drop("_by")
+    events = rows.orderBy(*order).limit(EVENTS_SHOWN)
     if source_fields:
         events = events.select(*[column_at(df, path).alias(path) for path in source_fields])
     return {
