@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logframe.llm.exact_dedup import exact_dedup
+from logframe.llm.jaccard_join import jaccard_components
 from logframe.llm.line_dedup import line_dedup
 from logframe.llm.packing import pack
 from logframe.llm.simhash import likeness, order_marks, simhash, with_next, within_radius
@@ -127,6 +128,11 @@ from low window g as (partition by text_sha256)
 """
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-copy component of every document: three words, 90 in 100."""
+    return jaccard_components(documents(spark, sf_dir), words=3, percent=90)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket, batch and place of every piece of every document."""
     return pack(documents(spark, sf_dir))
@@ -136,6 +142,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
 }
 
