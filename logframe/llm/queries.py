@@ -9,7 +9,19 @@ from logframe.llm.exact_dedup import exact_dedup
 from logframe.llm.jaccard_join import jaccard_components
 from logframe.llm.line_dedup import line_dedup
 from logframe.llm.packing import pack
+from logframe.llm.shared import new_folder
 from logframe.llm.simhash import likeness, order_marks, simhash, with_next, within_radius
+from logframe.llm.url_filter import RULES, judge_urls
+from logframe.llm.warc import read_warc, write_warc
+
+# The rules of op7: host, beginning of the path, action.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 # Hamming radius in which op3 counts other fingerprints.
 NEAR_BITS = 3
@@ -128,6 +140,67 @@ from low window g as (partition by text_sha256)
 """
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as read back from the archives that were written from the table."""
+    files = write_warc(pages(spark, sf_dir), new_folder(spark, "warc"))
+    number = lambda name: F.regexp_extract(name, r"^<urn:page:(-?\d*)>$", 1).try_cast("long")
+    return read_warc(spark, files).select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+        "intact",
+    )
+
+
+OP6_SQL = """
+with page as (
+  select page_id, coalesce(html, '') as html from pages
+), digest as (
+  select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as hex,
+    max(page_id) over (partition by html) as keep
+  from page
+)
+select page_id, payload_bytes,
+  list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (5 * (i // 4) + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int + 1,
+    1)), lambda a, b: a || b) as payload_digest,
+  case when page_id = keep then 'response' else 'revisit' end as record_type,
+  case when page_id <> keep then keep end as refers_to,
+  true as intact
+from digest
+"""
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    return judge_urls(pages(spark, sf_dir), spark.createDataFrame(URL_RULES, RULES))
+
+
+OP7_SQL = r"""
+with place as (
+  select page_id,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages
+), rules(rule_host, rule_path, action) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), hit as (
+  select host, path, rule_host || rule_path as rule, action
+  from (select distinct host, path from place), rules
+  where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+), best as (
+  select host, path, arg_max(rule, length(rule)) as rule, arg_max(action, length(rule)) as action
+  from hit group by host, path
+)
+select page_id, host, path, rule, coalesce(action, 'allow') as verdict
+from place left join best using (host, path)
+"""
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-copy component of every document: three words, 90 in 100."""
     return jaccard_components(documents(spark, sf_dir), words=3, percent=90)
@@ -142,6 +215,8 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_warc": op6_warc,
+    "op7_url_filter": op7_url_filter,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
 }
@@ -149,4 +224,6 @@ QUERIES = {
 ORACLE = {
     "op4_line_dedup": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op6_warc": OP6_SQL,
+    "op7_url_filter": OP7_SQL,
 }
