@@ -11,6 +11,7 @@ from logframe.llm.line_dedup import line_dedup
 from logframe.llm.packing import pack
 from logframe.llm.shared import new_folder
 from logframe.llm.simhash import likeness, order_marks, simhash, with_next, within_radius
+from logframe.llm.toxicity import score, train
 from logframe.llm.url_filter import RULES, judge_urls
 from logframe.llm.warc import read_warc, write_warc
 
@@ -35,6 +36,28 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def fold(folds: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from four of five folds; fold 1 calibrates."""
+    docs = documents(spark, sf_dir)
+    network = train(docs, labels(spark, sf_dir), learn=fold(5) != 0, check=fold(5) == 1)
+    return score(docs, network).select(
+        "doc_id",
+        (fold(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "threshold",
+        "toxic",
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how near they are.
 
@@ -212,6 +235,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,

@@ -69,13 +69,14 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, marks: bool = False
-) -> tuple[np.ndarray, np.ndarray]:
+    data: np.ndarray, offsets: np.ndarray, marks: bool = False, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
     """Hashes of the words of rows of text, and each row's offset among them.
 
     A-Z are lower-cased. Words are runs without white space, or with ``marks``
     runs without white space and ASCII punctuation. A word's hash is a
     polynomial of its bytes modulo 2**64, mixed; it depends on the word alone.
+    For each of ``prefixes`` follow the hashes of the words' first so many bytes.
     """
     data = _LOWER[data]
     inside = ~(_MARKS if marks else _WHITE)[data]
@@ -89,12 +90,15 @@ def word_hashes(
     closes[inner - 1] = inside[inner - 1]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     hashes = np.empty(len(starts), dtype=np.uint64)
+    heads = [np.empty(len(starts), dtype=np.uint64) for _ in prefixes]
     low = 0
     while low < len(starts):
         first = starts[low]
         high = int(np.searchsorted(ends, first + HASH_BYTES, side="right"))
         if high == low:  # one word of more than HASH_BYTES
             hashes[low] = _long_word(data[first : ends[low]])
+            for head, size in zip(heads, prefixes):
+                head[low] = _long_word(data[first : min(first + size, ends[low])])
             low += 1
             continue
         part = data[first : ends[high - 1]]
@@ -103,8 +107,11 @@ def word_hashes(
         np.cumsum(_BYTE[part] * _POWER[: len(part)], out=sums[1:])
         own = starts[low:high] - first
         hashes[low:high] = (sums[ends[low:high] - first] - sums[own]) * _INVERSE[own]
+        for head, size in zip(heads, prefixes):
+            cut = np.minimum(ends[low:high] - first, own + size)
+            head[low:high] = (sums[cut] - sums[own]) * _INVERSE[own]
         low = high
-    return mix(hashes), np.searchsorted(starts, offsets)
+    return mix(hashes), np.searchsorted(starts, offsets), *[mix(head) for head in heads]
 
 
 def _long_word(data: np.ndarray) -> np.uint64:
