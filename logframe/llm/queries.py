@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logframe.llm import kneser_ney
 from logframe.llm.exact_dedup import exact_dedup
 from logframe.llm.jaccard_join import jaccard_components
 from logframe.llm.line_dedup import line_dedup
@@ -58,6 +59,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under a model of six of seven folds."""
+    docs = documents(spark, sf_dir).select(
+        "doc_id", F.coalesce(fold(7) == 2, F.lit(False)).alias("held_out"), "text"
+    )
+    model = kneser_ney.train(docs.filter("not held_out"))
+    return kneser_ney.score(docs, model, ["doc_id", "held_out"])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and how near they are.
 
@@ -236,6 +246,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
