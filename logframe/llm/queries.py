@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logframe.llm import kneser_ney
+from logframe.llm import bpe, kneser_ney
 from logframe.llm.exact_dedup import exact_dedup
 from logframe.llm.jaccard_join import jaccard_components
 from logframe.llm.line_dedup import line_dedup
@@ -16,6 +16,9 @@ from logframe.llm.toxicity import score, train
 from logframe.llm.url_filter import RULES, judge_urls
 from logframe.llm.warc import read_warc, write_warc
 
+# The tokenizer file of op10, which is never copied into the package.
+TOKENIZER = "word_bpe_49k.json"
+
 # The rules of op7: host, beginning of the path, action.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -244,6 +247,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    import public_tokenizers
+
+    told = bpe.digest(F.col("text"), str(public_tokenizers.path(TOKENIZER)))
+    return documents(spark, sf_dir).select("doc_id", told.alias("told")).select("doc_id", "told.*")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_kneser_ney": op2_kneser_ney,
@@ -254,6 +265,7 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE = {
