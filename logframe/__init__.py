@@ -36,6 +36,7 @@ from logframe.plans.workflows import (
 from logframe.session import build_session
 from logframe.sources.catalog import (
     field_types,
+    index_field_types,
     list_tables,
     list_time_fields,
     scan,

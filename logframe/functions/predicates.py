@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logframe.functions.fields import field, find_field
+from logframe.functions.fields import field, field_type, find_field, walk
 from logframe.functions.text import has_any_word, has_words_in_a_row, query_words
 from logframe.functions.times import parse_window, time_column, time_literal
 
@@ -44,6 +45,17 @@ def _test(df: DataFrame, path: str, check: Callable[[Column], Column]) -> Column
     return F.exists(column, check) if isinstance(dtype, T.ArrayType) else check(column)
 
 
+def _literal(value, dtype: T.DataType) -> Column:
+    """``value`` to compare with a column; one that its type cannot hold equals nothing."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(dtype, T.StringType):
+        return F.lit(value if isinstance(value, str) else F.lit(value).cast("string"))
+    if isinstance(dtype, T.NumericType) and not isinstance(value, (str, bool)):
+        return F.lit(value)
+    return F.lit(value).try_cast(dtype)
+
+
 def term(df: DataFrame, path: str, value) -> Column:
     """The field, or one element of an array field, equals ``value``."""
     found = find_field(df, path)
@@ -51,8 +63,9 @@ def term(df: DataFrame, path: str, value) -> Column:
         return F.lit(False)
     column, dtype = found
     if isinstance(dtype, T.ArrayType):
-        return F.array_contains(column, F.lit(value).cast(dtype.elementType))
-    return column == F.lit(value)
+        wanted = F.lit(value).try_cast(dtype.elementType)
+        return F.coalesce(F.array_contains(column, wanted), F.when(column.isNotNull(), False))
+    return column == _literal(value, dtype)
 
 
 def phrase(df: DataFrame, path: str, text: str, analyzed: bool = False) -> Column:
@@ -66,25 +79,37 @@ def phrase(df: DataFrame, path: str, text: str, analyzed: bool = False) -> Colum
 def between(df: DataFrame, path: str | Column, low=None, high=None) -> Column:
     """Inclusive range; ``None`` or ``"*"`` leaves an end open.
 
-    A computed column, such as one from :func:`json_field`, may stand in for
-    the path; it is computed once, not once for each end.
+    A column may stand in for the path; a computed one, such as from
+    :func:`json_field`, is computed once, not once for each end. Numbers are
+    compared with a text column as numbers, text that is none is outside.
     """
     low = None if isinstance(low, str) and low == "*" else low
     high = None if isinstance(high, str) and high == "*" else high
     if low is None and high is None:
         return path.isNotNull() if isinstance(path, Column) else exists(df, path)
 
-    def inside(column: Column) -> Column:
+    numbers = any(isinstance(end, (int, float)) for end in (low, high) if end is not None)
+
+    def inside(column: Column, dtype: T.DataType) -> Column:
+        if isinstance(dtype, T.StringType) and numbers:
+            column, dtype = column.try_cast("double"), T.DoubleType()
         checks = []
         if low is not None:
-            checks.append(column >= F.lit(low))
+            checks.append(column >= _literal(low, dtype))
         if high is not None:
-            checks.append(column <= F.lit(high))
+            checks.append(column <= _literal(high, dtype))
         return all_of(*checks)
 
     if isinstance(path, Column):
-        return F.exists(F.array(path), inside)
-    return _test(df, path, inside)
+        dtype = df.select(path).schema[0].dataType
+        if re.fullmatch(r"Column<'[\w.@`]+'>", str(path)):
+            return inside(path, dtype)
+        return F.exists(F.array(path), lambda column: inside(column, dtype))
+    found = find_field(df, path)
+    if found is None:
+        return F.lit(False)
+    dtype = found[1].elementType if isinstance(found[1], T.ArrayType) else found[1]
+    return _test(df, path, lambda column: inside(column, dtype))
 
 
 def wildcard(df: DataFrame, path: str, pattern: str) -> Column:
@@ -108,14 +133,27 @@ def wildcard(df: DataFrame, path: str, pattern: str) -> Column:
     return _test(df, path, lambda c: c.like("".join(like)))
 
 
-def match_text(df: DataFrame, paths: str | list[str], words, mode: str = "any") -> Column:
+def text_fields(df: DataFrame) -> list[str]:
+    """Every path that holds text, at any depth and in arrays."""
+    found = []
+    for path, _ in walk(df.schema):
+        dtype = field_type(df, path)
+        while isinstance(dtype, T.ArrayType):
+            dtype = dtype.elementType
+        if isinstance(dtype, T.StringType):
+            found.append(path)
+    return found
+
+
+def match_text(df: DataFrame, paths: str | list[str] | None, words, mode: str = "any") -> Column:
     """Free-text search: ``any`` or ``all`` of the words, or the words as a ``phrase``.
 
     With several fields the words may be spread over them, except for a phrase.
+    ``paths=None`` searches every text field of the table.
     """
     if mode not in ("any", "all", "phrase"):
         raise ValueError(f"mode must be any, all or phrase, not {mode!r}")
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    paths = text_fields(df) if paths is None else [paths] if isinstance(paths, str) else list(paths)
     if mode == "phrase":
         text = words if isinstance(words, str) else " ".join(words)
         found = [phrase(df, p, text, analyzed=True) for p in paths]
@@ -171,12 +209,13 @@ def json_field(df: DataFrame, path: str, inner: str, dtype: str = "string") -> C
 
 
 def time_range(df: DataFrame, ts_field: str, from_ts=None, to_ts=None) -> Column:
-    """Both ends inclusive and optional; without either every row matches."""
+    """Both ends inclusive and optional; without either every row matches.
+
+    A time field that no scanned table has is an error, not an empty result.
+    """
     start, end = parse_window(from_ts, to_ts)
     if start is None and end is None:
         return match_all()
-    if find_field(df, ts_field) is None:
-        return F.lit(False)
     column, dtype = time_column(df, ts_field)
     bounds = []
     if start is not None:

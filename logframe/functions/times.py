@@ -15,9 +15,6 @@ from pyspark.sql import types as T
 
 from logframe.functions.fields import field, field_type
 
-# Accepted timestamp layouts, always UTC.
-TIMESTAMP_FORMATS = ("%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d")
-
 # Width of each interval unit in seconds (M = 30 d, y = 365 d).
 UNIT_SECONDS = {
     "s": 1,
@@ -33,22 +30,17 @@ EPOCH = dt.datetime(1970, 1, 1)
 
 
 def parse_time(value: str | dt.datetime | dt.date) -> dt.datetime:
-    """A naive UTC datetime from ISO text (optional trailing ``Z``), date or datetime."""
-    if isinstance(value, dt.datetime):
-        if value.tzinfo is not None:
-            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
-        return value
-    if isinstance(value, dt.date):
-        return dt.datetime(value.year, value.month, value.day)
-    text = value.removesuffix("Z")
-    for layout in TIMESTAMP_FORMATS:
+    """A naive UTC datetime from ISO text, a date or a datetime; without a zone it is UTC."""
+    if isinstance(value, str):
         try:
-            return dt.datetime.strptime(text, layout)
-        except ValueError:
-            pass
-    raise ValueError(
-        f"unreadable timestamp {value!r}: use UTC ISO 8601 such as 2024-01-31T12:00:00Z"
-    )
+            value = dt.datetime.fromisoformat(value)
+        except ValueError as error:
+            raise ValueError(
+                f"unreadable timestamp {value!r}: use ISO 8601 such as 2024-01-31T12:00:00Z"
+            ) from error
+    elif not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
 
 
 def parse_window(from_ts, to_ts) -> tuple[dt.datetime | None, dt.datetime | None]:
@@ -84,9 +76,18 @@ def time_column(df: DataFrame, ts_field: str) -> tuple[Column, T.DataType]:
     if isinstance(dtype, T.DateType):
         return column.cast("timestamp_ntz"), T.TimestampNTZType()
     if isinstance(dtype, T.StringType):
-        # A trailing zone is dropped by the cast, so only the UTC forms may reach it.
+        # The cast without a zone drops one, so texts with an offset are read as
+        # instants, and these taken as UTC without the session's zone.
         utc = column.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+)?Z?$")
-        return F.when(utc, column.try_cast("timestamp_ntz")), T.TimestampNTZType()
+        offset = column.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9:.]+ ?[+-][0-9]{2}:?[0-9]{2}$")
+        zoned = F.regexp_replace(column, r" ?([+-][0-9]{2}):?([0-9]{2})$", "$1:$2")
+        moved = F.timestamp_add(
+            "MICROSECOND",
+            F.unix_micros(zoned.try_cast("timestamp")),
+            time_literal(T.TimestampNTZType(), EPOCH),
+        )
+        read = F.when(utc, column.try_cast("timestamp_ntz")).when(offset, moved)
+        return read, T.TimestampNTZType()
     raise ValueError(f"field {ts_field!r} of type {dtype.simpleString()} is not a time field")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from logframe.functions.fields import field as column_at
 from logframe.functions.fields import field_type, is_array
 from logframe.functions.guards import top_size
 from logframe.functions.predicates import Condition, any_of, matching
-from logframe.operators.rank import SHALLOW_ROWS, ordered_page, top_per_group
+from logframe.operators.rank import ordered_page, top_per_group
 
 
 def field_values(rows: DataFrame, path: str, *others: Column) -> DataFrame:
@@ -93,16 +93,9 @@ def labelled(ids: list[str], slots: list[str]) -> tuple[Column, Column]:
 
 def field_tops(counts: DataFrame, slots: list[str], by: str, sizes: list[int]) -> DataFrame:
     """The first rows of each field by a measure, for rows of :func:`keyed_counts`."""
-    if max(sizes) <= SHALLOW_ROWS:
-        own_size = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("_field"))
-        order = [F.desc(by), *[F.asc(name) for name in slots]]
-        return top_per_group(counts, ["_field"], order, max(sizes), own_size)
-    # Tops too long for one task each.
-    tops = [
-        ordered_page(counts.filter(F.col("_field") == n), by, slots, True, 0, size)
-        for n, size in enumerate(sizes, 1)
-    ]
-    return reduce(DataFrame.unionAll, tops)
+    own_size = F.element_at(F.array(*[F.lit(n) for n in sizes]), F.col("_field"))
+    order = [F.desc(by), *[F.asc(name) for name in slots]]
+    return top_per_group(counts, ["_field"], order, max(sizes), own_size)
 
 
 def multi_terms(
@@ -140,8 +133,12 @@ def extended_stats(
     to_ts=None,
     ts_field: str = "@timestamp",
 ) -> DataFrame:
-    """Count, min, max, avg, sum and population deviation of a numeric field."""
+    """Count, min, max, avg, sum and population deviation of a numeric field.
+
+    An array of numbers gives each of its distinct elements once.
+    """
     dtype = field_type(df, field)
+    dtype = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
     if not isinstance(dtype, T.NumericType):
         raise ValueError(
             f"field {field!r} is {dtype.simpleString()}, not a number: use terms for its values"

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logframe.functions.fields import field as column_at
-from logframe.functions.fields import field_type
+from logframe.functions.fields import field_type, is_array
 from logframe.functions.predicates import Condition, matching
 from logframe.operators.aggregate import field_values, multi_terms
 from logframe.operators.histogram import histogram
+from logframe.operators.rank import ordered
 
 # Fixed value: deviations above the mean from which a count stands out.
 Z_LIMIT = 2.0
@@ -52,9 +53,10 @@ def spikes(
     interval: str = "1h",
     where: Condition = None,
     z_limit: float = Z_LIMIT,
+    bucket_cap: int | None = None,
 ) -> DataFrame:
     """Buckets of a histogram, empty ones included, that hold unusually many rows."""
-    buckets = histogram(df, from_ts, to_ts, ts_field, interval, where)
+    buckets = histogram(df, from_ts, to_ts, ts_field, interval, where, bucket_cap)
     return outliers(buckets, z_limit).orderBy("bucket")
 
 
@@ -67,20 +69,22 @@ def fan_out(
     to_ts=None,
     ts_field: str = "@timestamp",
     approximate: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
-    """How many different ``dst`` values each ``src`` value meets: ``(src, fan_out)``.
+    """How many different ``dst`` values each ``src`` value meets: ``(src, fan_out)``, widest first.
 
-    The exact count spreads a hot source over the tasks by its destinations
-    before adding up.
+    ``size`` keeps the widest so many; None keeps all. Arrays give each of
+    their elements. The exact count spreads a hot source over the tasks by its
+    destinations before adding up.
     """
     rows = matching(df, where, from_ts, to_ts, ts_field)
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    pairs = rows.select(column_at(rows, src).alias(src), column_at(rows, dst).alias("_dst"))
-    return (
-        pairs.filter(F.col(f"`{src}`").isNotNull())
-        .groupBy(F.col(f"`{src}`"))
-        .agg(distinct("_dst").alias("fan_out"))
-    )
+    pairs = field_values(rows, src, column_at(rows, dst).alias("_dst"))
+    if is_array(rows, dst):
+        pairs = pairs.select("key", F.explode_outer("_dst").alias("_dst"))
+    counts = pairs.groupBy("key").agg(distinct("_dst").alias("fan_out"))
+    widest = ordered(counts, [F.desc("fan_out"), F.asc("key")], size)
+    return widest.withColumnRenamed("key", src)
 
 
 def pivot_values(

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from logframe.functions.fields import field, field_type, leaves
 from logframe.functions.guards import sample_bound
 from logframe.functions.predicates import Condition, matching
-from logframe.operators.rank import leading
 
 _FOUND = "array<struct<field:string,type:string>>"
 _OPEN = "array<struct<path:string,value:variant,type:string>>"
@@ -38,8 +37,6 @@ def discover_fields(
     typed = [(p, t) for p, t in leaves(df.schema) if p not in json_fields]
     if sample_size is not None:
         size = sample_bound(sample_size)
-        newest = leading(rows, field(df, ts_field), True, size)
-        rows = matching(df.filter(newest), where, from_ts, to_ts, ts_field)
         order = [field(df, ts_field).desc_nulls_last()]
         if key is not None:
             order.append(field(df, key).asc())

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logframe.functions.guards import HISTOGRAM_BUCKET_CAP, bucket_grid
+from logframe.functions.guards import bucket_grid
 from logframe.functions.predicates import Condition, matching
 from logframe.functions.times import (
     UNIT_SECONDS,
@@ -17,7 +17,7 @@ from logframe.functions.times import (
 )
 from logframe.operators.rank import ordered
 
-# Most buckets an automatic histogram may have, and the widths it
+# Most buckets an automatic histogram has by default, and the widths it
 # chooses from, narrowest first.
 AUTO_BUCKETS = 50
 AUTO_WIDTHS = (
@@ -54,16 +54,18 @@ def histogram(
     ts_field: str = "@timestamp",
     interval: str = "1h",
     where: Condition = None,
-    bucket_cap: int = HISTOGRAM_BUCKET_CAP,
+    bucket_cap: int | None = None,
+    max_buckets: int = AUTO_BUCKETS,
 ) -> DataFrame:
     """Rows per bucket over the whole requested range: ``(bucket, doc_count)``.
 
     Buckets start at multiples of the interval since 1970. ``interval="auto"``
-    gives an :func:`auto_histogram`. A range that needs more than
-    ``bucket_cap`` buckets is refused before anything runs.
+    gives an :func:`auto_histogram` of at most ``max_buckets`` buckets. Where a
+    ``bucket_cap`` is given, a range that needs more buckets is refused before
+    anything runs.
     """
     if interval == "auto":
-        return auto_histogram(df, from_ts, to_ts, ts_field, where)
+        return auto_histogram(df, from_ts, to_ts, ts_field, where, max_buckets)
     first, last, width = bucket_grid(from_ts, to_ts, interval, bucket_cap)
     events, dtype = _event_seconds(matching(df, where, from_ts, to_ts, ts_field), ts_field)
     events = events.select(bucket_start(F.col("second"), width).alias("bucket"))
@@ -73,15 +75,15 @@ def histogram(
     return filled.withColumn("bucket", from_epoch_seconds(F.col("bucket"), dtype))
 
 
-def _auto_step(low: Column, high: Column) -> Column:
-    """Place on the ladder, from 1, of the narrowest width that needs at most 50 buckets.
+def _auto_step(low: Column, high: Column, most: int) -> Column:
+    """Place on the ladder, from 1, of the narrowest width that needs at most so many buckets.
 
     Each width is at least twice the one before, so all wider ones fit too.
     """
 
     def fits(width: Column) -> Column:
         span = bucket_start(high, width) - bucket_start(low, width)
-        return span / width + 1 <= AUTO_BUCKETS
+        return span / width + 1 <= most
 
     wide_enough = F.size(F.filter(_ladder(), fits))
     return F.lit(len(AUTO_WIDTHS) + 1) - F.greatest(wide_enough, F.lit(1))
@@ -97,6 +99,7 @@ def auto_histogram(
     to_ts=None,
     ts_field: str = "@timestamp",
     where: Condition = None,
+    max_buckets: int = AUTO_BUCKETS,
 ) -> DataFrame:
     """Rows per bucket with a width chosen by the matching rows.
 
@@ -107,7 +110,7 @@ def auto_histogram(
     """
     events, dtype = _event_seconds(matching(df, where, from_ts, to_ts, ts_field), ts_field)
     span = events.agg(F.min("second").alias("low"), F.max("second").alias("high"))
-    step = _auto_step(F.col("low"), F.col("high"))
+    step = _auto_step(F.col("low"), F.col("high"), max_buckets)
     plan = span.withColumn("step", step).select(
         F.struct("low", "high", "step", F.element_at(_ladder(), F.col("step")).alias("width"))
     )
@@ -134,7 +137,7 @@ def auto_histogram(
     # Every bucket is in the grid, whose rows bring the chosen step along.
     filled = _filled(events, grid, F.max("step").alias("step"))
     names = F.array(*[F.lit(name) for name in AUTO_WIDTHS])
-    return ordered(filled, [F.asc("bucket")], AUTO_BUCKETS).select(
+    return ordered(filled, [F.asc("bucket")], max_buckets).select(
         from_epoch_seconds(F.col("bucket"), dtype).alias("bucket"),
         "doc_count",
         F.element_at(names, F.col("step")).alias("interval_used"),

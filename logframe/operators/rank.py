@@ -8,144 +8,78 @@ from pyspark.sql import types as T
 
 from logframe.functions.times import epoch_seconds
 
-# Up to this many rows an ordered page is merged from every task's own best
-# rows in one task; each row is held in memory there, so the number is bounded.
-SHALLOW_ROWS = 10_000
+# Up to this many rows an order is a merge of every task's own best rows, which
+# are held in memory; a longer one is cut into ranges of the sort key first.
+MERGED_ROWS = 10_000
 
-# From this size on storage a table is read twice for a page: the sort column
-# alone to find where the page ends, then whole rows up to there. Sizes that
-# Spark does not know are given as the largest long.
-LATE_BYTES = 1 << 30
-UNKNOWN_BYTES = (1 << 63) - 1
+# Ranges that a long order is cut into, and the groups that they are looked up by.
+RANGES = 1024
+GROUPS = 32
 
-# Shares of the rows that a deep page's sort may be cut to, and the error of
-# the quantiles that mark them.
-CUT_SHARES = (0.001, 0.01, 0.1)
-CUT_ACCURACY = 10_000
+# Parts that a group's rows are ranked in before its own best rows are.
+PARTS = 64
 
 
-def ordered(df: DataFrame, order: list[Column], most: int) -> DataFrame:
-    """All rows in order. ``most`` is a bound on their number that drops none.
-
-    While it is small the order is made by a merge instead of a sampled sort.
-    """
-    return df.orderBy(*order).limit(most) if most <= SHALLOW_ROWS else df.orderBy(*order)
+def ordered(df: DataFrame, order: list[Column], most: int | None) -> DataFrame:
+    """All rows in order, or the first ``most``."""
+    return df.orderBy(*order) if most is None or most > MERGED_ROWS else df.orderBy(*order).limit(most)
 
 
 def ordered_page(
-    df: DataFrame,
-    by: str,
-    ties: list[str],
-    descending: bool = False,
-    offset: int = 0,
-    limit: int = SHALLOW_ROWS,
+    df: DataFrame, by: str, ties: list[str], descending: bool, offset: int, limit: int
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` by one column, ties ascending by others, NULLs last."""
+    """Rows ``offset`` to ``offset + limit`` by one column, ties ascending by others, NULLs last.
+
+    Lazy at any depth. Beyond ``MERGED_ROWS`` the rows' sort keys are cut into
+    ranges of about equal size; counts per range, a few small rows, say which
+    ranges hold the page. Only rows of those are ranked, each range by itself.
+    """
     first = F.desc_nulls_last(by) if descending else F.asc_nulls_last(by)
     order = [first, *[F.asc(name) for name in ties]]
-    if offset + limit <= SHALLOW_ROWS:
+    if offset + limit <= MERGED_ROWS:
         return df.orderBy(*order).offset(offset).limit(limit)
-    return _deep_page(df, by, descending, order, offset, limit)
-
-
-def leading(matched: DataFrame, by: Column, descending: bool, rows: int) -> Column:
-    """A condition that drops only rows beyond the first ``rows`` matching ones by a column.
-
-    On a large table the value that ends the page is found first, from the sort
-    and filter columns alone; as a scalar subquery it is pushed into the scan,
-    which then skips the row groups beyond it. Whole rows are so decoded and
-    merged for little more than the page, not for the best rows of every task.
-    Put the condition before the others, as it is cheaper than most.
-    """
-    if rows > SHALLOW_ROWS or not LATE_BYTES <= _stored_bytes(matched) < UNKNOWN_BYTES:
-        return F.lit(True)
-    value = F.col("_by")
-    if descending:
-        first, end = value.desc_nulls_last(), F.min(value)
-    else:
-        first, end = value.asc_nulls_last(), F.max(value)
-    cut = matched.select(by.alias("_by")).orderBy(first).limit(rows).agg(end).scalar()
-    return (by >= cut if descending else by <= cut) | by.isNull()
-
-
-def _stored_bytes(df: DataFrame) -> int:
-    """Spark's own estimate for the plan; for a filtered table its size after partition pruning."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _deep_page(
-    df: DataFrame, by: str, descending: bool, order: list[Column], offset: int, limit: int
-) -> DataFrame:
-    """A page far from the top, by a distributed sort that runs at once.
-
-    The sorted rows are checkpointed: their range partitions are then fixed,
-    so the row counts of the partitions (one small row each) say which
-    partitions hold the page, and only those are read again.
-    """
-    _need_checkpoint_folder(df)
-    last = offset + limit
-    cut = _cut(df, by, descending, last)
-    placed, counts = _placed(df if cut is None else df.filter(cut), order)
-    if cut is not None and sum(size for _, size in counts) < last:
-        # The quantile was off by more than its error: sort everything.
-        placed, counts = _placed(df, order)
-    wanted, before = F.lit(False), 0
-    for part, size in counts:
-        low, high = max(offset - before, 0), min(last - before, size)
-        if low < high:
-            place = F.col("_place")
-            wanted = wanted | ((F.col("_part") == part) & (place >= low) & (place < high))
-        before += size
-    return placed.filter(wanted).drop("_part", "_place").orderBy(*order)
-
-
-def _placed(df: DataFrame, order: list[Column]) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """The rows sorted, with their partition and place in it, and the partitions' sizes."""
-    # The id holds the partition above bit 33 and the row's place in it below.
-    ident = F.monotonically_increasing_id()
-    placed = (
-        df.orderBy(*order)
-        .checkpoint()
-        .withColumn("_part", F.shiftright(ident, 33))
-        .withColumn("_place", ident.bitwiseAND(F.lit((1 << 33) - 1)))
+    image = _image(F.col(by), df.schema[by].dataType)
+    image = -image if descending else image
+    ranged = _ranged(df, image)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")
+    spans = sizes.withColumn("_before", before).filter(
+        (F.col("_before") < offset + limit) & (F.col("_before") + F.col("_size") > offset)
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    at = F.col("_before") + F.col("_place")
+    return (
+        ranged.join(F.broadcast(spans.select("_range", "_before")), "_range")  # at most RANGES rows
+        .withColumn("_place", place)
+        .filter((at > offset) & (at <= offset + limit))
+        .orderBy(*order)
+        .select(*df.columns)
     )
-    counts = placed.groupBy("_part").count().orderBy("_part").collect()
-    return placed, [(row["_part"], row["count"]) for row in counts]
 
 
-def _cut(df: DataFrame, by: str, descending: bool, rows: int) -> Column | None:
-    """A condition that keeps a beginning of the order, long enough to hold ``rows`` rows.
+def _image(column: Column, dtype: T.DataType) -> Column:
+    """A double that does not fall where the column's order rises; NULL for NULL."""
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return column.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return epoch_seconds(column, dtype).cast("double")
+    # The first six bytes of text, as a number.
+    head = F.rpad(F.hex(F.substring(column.cast("string").cast("binary"), 1, 6)), 12, "0")
+    return F.conv(head, 16, 10).cast("double")
 
-    Any threshold keeps a beginning of the order, so the quantile need not be
-    exact; the caller checks that enough rows are left.
-    """
-    dtype = df.schema[by].dataType
-    if isinstance(dtype, T.NumericType):
-        value = F.col(by).cast("double")
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        value = epoch_seconds(F.col(by), dtype).cast("double")
-    else:
-        return None
-    points = [1 - share if descending else share for share in CUT_SHARES]
-    total, cuts = df.agg(
-        F.count(value), F.percentile_approx(value, points, F.lit(CUT_ACCURACY))
-    ).first()
-    for share, cut in zip(CUT_SHARES, cuts or []):
-        if (share - 1 / CUT_ACCURACY) * total >= rows:
-            return value >= cut if descending else value <= cut
-    return None
-
-
-def _need_checkpoint_folder(df: DataFrame) -> None:
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError(
-                f"rows beyond the first {SHALLOW_ROWS} of an order need spark.checkpoint.dir, "
-                "a folder that all executors share"
-            )
-        spark.sparkContext.setCheckpointDir(folder)
+
+def _ranged(df: DataFrame, image: Column) -> DataFrame:
+    """Rows with the number of their range of the sort key; those without a key come last."""
+    shares = [i / RANGES for i in range(1, RANGES)]
+    found = df.agg(F.percentile_approx(image, shares, F.lit(10 * RANGES))).scalar()
+    marks = F.col("_marks")
+    coarse = F.array(*[F.get(marks, F.lit(i)) for i in range(GROUPS - 1, RANGES - 1, GROUPS)])
+    group = F.size(F.filter(coarse, lambda m: m < image))
+    fine = F.size(F.filter(F.slice(marks, group * GROUPS + 1, F.lit(GROUPS)), lambda m: m < image))
+    place = F.when(image.isNull(), RANGES).otherwise(group * GROUPS + fine)
+    return df.withColumn("_marks", found).withColumn("_range", place).drop("_marks")
 
 
 def top_per_group(
@@ -154,9 +88,18 @@ def top_per_group(
     """The first ``size`` rows of each group.
 
     The literal bound lets every task drop all but its own best rows of a
-    group before the shuffle, so a hot group costs no more than a small one.
-    ``own_size`` is a tighter bound that may differ by row.
+    group before the shuffle. What they send is ranked in parts first, so that
+    the best rows of many tasks never meet in one. ``own_size`` is a tighter
+    bound that may differ by row.
     """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+    window = Window.partitionBy(*group, "_part").orderBy(*order)
+    df = (
+        df.withColumn("_part", part)
+        .withColumn("_rank", F.row_number().over(window))
+        .filter(F.col("_rank") <= size)
+        .drop("_rank", "_part")
+    )
     window = Window.partitionBy(*group).orderBy(*order)
     ranked = df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= size)
     if own_size is not None:

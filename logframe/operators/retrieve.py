@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logframe.functions.fields import field, find_field, quoted
-from logframe.functions.guards import SEARCH_LIMIT_CAP, page_bounds
+from logframe.functions.guards import page_bounds
 from logframe.functions.predicates import Condition, matching
-from logframe.operators.rank import leading, ordered_page
+from logframe.operators.rank import ordered_page
 
 
 def search(
@@ -23,23 +23,22 @@ def search(
     sort_dir: str = "desc",
     source_fields: list[str] | None = None,
     key: str | list[str] | None = None,
-    limit_cap: int = SEARCH_LIMIT_CAP,
+    limit_cap: int | None = None,
 ) -> DataFrame:
     """One page of matching rows, newest first unless told otherwise.
 
     Rows without the sort field come last in both directions. ``key`` names
     the column, or columns, that break ties; without it rows that tie may
     change places between pages. ``source_fields`` the table lacks are left
-    out of the result.
+    out of the result. As many rows come as are asked for; a limit over
+    ``limit_cap`` is an error where one is given.
     """
     limit, offset = page_bounds(limit, offset, limit_cap)
     if sort_dir not in ("asc", "desc"):
         raise ValueError(f"sort_dir must be asc or desc, not {sort_dir!r}")
     by = field(df, sort_field or ts_field)
     descending = sort_dir == "desc"
-    criteria = (where, from_ts, to_ts, ts_field)
-    first = leading(matching(df, *criteria), by, descending, offset + limit)
-    rows = matching(df.filter(first), *criteria)
+    rows = matching(df, where, from_ts, to_ts, ts_field)
     if source_fields:
         shown = [path for path in source_fields if find_field(df, path) is not None]
         rows_shown = [field(df, path).alias(path) for path in shown]

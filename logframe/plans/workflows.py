@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import partial
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logframe.functions.fields import field as column_at
 from logframe.functions.fields import is_array
-from logframe.functions.guards import page_bounds
-from logframe.functions.predicates import Condition, all_of, between, matching, term
-from logframe.operators.aggregate import multi_terms
+from logframe.functions.guards import top_size
+from logframe.functions.predicates import Condition, all_of, between, matching, term, time_range
+from logframe.functions.times import bucket_start, epoch_seconds, from_epoch_seconds, parse_interval, time_column
+from logframe.operators.aggregate import keyed_counts, labelled, multi_terms
+from logframe.operators.anomaly import spikes
 from logframe.operators.compare import compare, compare_fields
 from logframe.operators.histogram import auto_histogram
-from logframe.operators.rank import SHALLOW_ROWS, leading, top_per_group
+from logframe.operators.rank import top_per_group
 from logframe.operators.retrieve import count
 
 # How many rows or values each step of an investigation shows.
@@ -41,38 +45,69 @@ def investigate(
     min_severity=SEVERE_LEVEL,
     source_fields: list[str] | None = None,
     key: str | None = None,
+    rules: int = RULES_SHOWN,
+    descriptions: int = DESCRIPTIONS_SHOWN,
+    events: int = EVENTS_SHOWN,
+    peer_fields: list[str] | None = None,
+    before=None,
 ) -> dict[str, DataFrame]:
     """Everything about one agent, user or host in a time window.
 
     ``count``; ``values`` (its rules and, when there is a field for them,
     descriptions, from one pass); ``timeline``; and ``events``, the most severe
-    ones, newest first among equals. The frames are lazy and read only the
+    ones, newest first among equals. ``peer_fields`` name who the entity dealt
+    with, such as destinations: ``peers`` counts how many different ones, and
+    with ``before``, the start of an earlier window that ends at ``from_ts``,
+    ``new_peers`` are those not met in it. The frames are lazy and read only the
     columns they need; ``persist`` the table first if it is small and slow to
     read.
     """
     mine = term(df, entity_field, entity)
     window = (from_ts, to_ts, ts_field)
-    values = [{"id": "rules", "field": rule_field, "size": RULES_SHOWN}]
+    values = [{"id": "rules", "field": rule_field, "size": rules}]
     if description_field is not None:
         values.append(
-            {"id": "descriptions", "field": description_field, "size": DESCRIPTIONS_SHOWN}
+            {"id": "descriptions", "field": description_field, "size": descriptions}
         )
     severe = all_of(mine, between(df, severity_field, min_severity))
     severity = column_at(df, severity_field)
-    worst = leading(matching(df, severe, *window), severity, True, EVENTS_SHOWN)
-    rows = matching(df.filter(worst), severe, *window)
+    rows = matching(df, severe, *window)
     order = [severity.desc_nulls_last(), column_at(df, ts_field).desc_nulls_last()]
     if key is not None:
         order.append(column_at(df, key).asc())
-    events = rows.orderBy(*order).limit(EVENTS_SHOWN)
+    worst = rows.orderBy(*order).limit(events)
     if source_fields:
-        events = events.select(*[column_at(df, path).alias(path) for path in source_fields])
-    return {
+        worst = worst.select(*[column_at(df, path).alias(path) for path in source_fields])
+    found = {
         "count": count(df, mine, *window),
         "values": multi_terms(df, values, mine, *window),
         "timeline": auto_histogram(df, *window, where=mine),
-        "events": events,
+        "events": worst,
+    }
+    if peer_fields:
+        own = matching(df, mine, *window)
+        met = [
+            F.struct(F.lit(path).alias("field"), F.count_distinct(column_at(own, path)).alias("peers"))
+            for path in peer_fields
+        ]
+        found["peers"] = own.agg(F.array(*met).alias("met")).select(F.inline("met"))
+        if before is not None:
+            found["new_peers"] = _new_values(df, mine, peer_fields, before, *window)
+    return found
+
+
+def _new_values(df, mine, fields: list[str], before, from_ts, to_ts, ts_field: str) -> DataFrame:
+    """Values with rows in the window, but none from ``before`` to its start: field, key, doc_count."""
+    inside = time_range(df, ts_field, from_ts, to_ts)
+    rows = matching(df, mine, before, to_ts, ts_field).withColumn("_inside", inside)
+    measures = {
+        "doc_count": F.count_if("_inside"),
+        "earlier": F.count_if(~F.col("_inside")),
     }
+    counts, slots = keyed_counts(rows, fields, measures)
+    label, key = labelled(fields, slots)
+    new = counts.filter("doc_count > 0 and earlier = 0")
+    return new.select(label.alias("field"), key.alias("key"), "doc_count")
 
 
 def top_offenders(
@@ -83,14 +118,52 @@ def top_offenders(
     ts_field: str = "@timestamp",
     where: Condition = None,
     size: int = OFFENDERS_SHOWN,
+    spike_interval: str | None = None,
+    causes: int = SAMPLES_PER_VALUE,
 ) -> dict[str, DataFrame]:
-    """The most frequent values of several fields from one pass, and the timeline."""
+    """The most frequent values of several fields from one pass, and the timeline.
+
+    With ``spike_interval`` also ``causes``: for every bucket of that width
+    that holds unusually many rows, the most frequent values of each field in
+    it, ``(bucket, id, key, doc_count)``.
+    """
     named = fields if isinstance(fields, dict) else {path: path for path in fields}
     lists = [{"id": ident, "field": path, "size": size} for ident, path in named.items()]
-    return {
+    found = {
         "values": multi_terms(df, lists, where, from_ts, to_ts, ts_field),
         "timeline": auto_histogram(df, from_ts, to_ts, ts_field, where),
     }
+    if spike_interval is not None:
+        found["causes"] = _causes(
+            df, named, from_ts, to_ts, ts_field, where, spike_interval, causes
+        )
+    return found
+
+
+def _causes(df, named: dict[str, str], from_ts, to_ts, ts_field, where, interval, size) -> DataFrame:
+    """Top values inside each spike; the buckets are joined, so other rows are dropped first."""
+    peaks = spikes(df, from_ts, to_ts, ts_field, interval, where).select("bucket")
+    rows = matching(df, where, from_ts, to_ts, ts_field)
+    column, dtype = time_column(rows, ts_field)
+    start = bucket_start(epoch_seconds(column, dtype), parse_interval(interval))
+    entries = []
+    for ident, path in named.items():
+        value = column_at(rows, path)
+        values = F.array_distinct(value) if is_array(rows, path) else F.array(value)
+        entries.append(F.transform(values, partial(_entry, ident)))
+    held = rows.select(from_epoch_seconds(start, dtype).alias("bucket"), F.concat(*entries).alias("e"))
+    counts = (
+        held.join(peaks, "bucket", "left_semi")
+        .select("bucket", F.inline("e"))
+        .filter("key is not null")
+        .groupBy("bucket", "id", "key")
+        .agg(F.count(F.lit(1)).alias("doc_count"))
+    )
+    return top_per_group(counts, ["bucket", "id"], [F.desc("doc_count"), F.asc("key")], size)
+
+
+def _entry(ident: str, value: Column) -> Column:
+    return F.struct(F.lit(ident).alias("id"), value.cast("string").alias("key"))
 
 
 def compare_report(
@@ -118,14 +191,12 @@ def compare_report(
     )
 
 
-def _with_values(rows: DataFrame, field: str, keys: DataFrame, size: int) -> DataFrame:
-    """Rows whose field, as ``_value``, is among ``keys``, which number at most twice ``size``."""
+def _with_values(rows: DataFrame, field: str, keys: DataFrame) -> DataFrame:
+    """Rows whose field, as ``_value``, is among ``keys``."""
     column = column_at(rows, field)
     if is_array(rows, field):
         column = F.explode(F.array_distinct(column))
     rows = rows.withColumn("_value", column)
-    # Broadcast only while that bound is small; beyond it Spark chooses.
-    keys = F.broadcast(keys) if 2 * size <= SHALLOW_ROWS else keys
     return rows.join(keys, rows["_value"] == keys["_wanted"], "left_semi")
 
 
@@ -143,11 +214,7 @@ def added_samples(
     source_fields: list[str] | None = None,
     key: str | None = None,
 ) -> DataFrame:
-    """The newest events of each value that is new in the selection window.
-
-    ``samples`` is capped like the limit of a search.
-    """
-    samples, _ = page_bounds(samples, 0)
+    """The newest ``samples`` events of each value that is new in the selection window."""
     changes = compare(
         df,
         field,
@@ -161,7 +228,7 @@ def added_samples(
     )
     added = changes.filter("status = 'added'").select(F.col("key").alias("_wanted"))
     rows = matching(df, where, selection_from, selection_to, ts_field)
-    rows = _with_values(rows, field, added, size)
+    rows = _with_values(rows, field, added)
     order = [column_at(df, ts_field).desc_nulls_last()]
     if key is not None:
         order.append(column_at(df, key).asc())
@@ -189,8 +256,6 @@ def changed_drill(
 
     ``(key, value, doc_count)`` over the selection window.
     """
-    if not 1 <= drill_size <= SHALLOW_ROWS:
-        raise ValueError(f"drill_size must be from 1 to {SHALLOW_ROWS}, got {drill_size}")
     changes = compare(
         df,
         field,
@@ -204,8 +269,11 @@ def changed_drill(
     )
     grown = changes.filter(F.col("pct_change") > threshold).select(F.col("key").alias("_wanted"))
     rows = matching(df, where, selection_from, selection_to, ts_field)
-    rows = _with_values(rows, field, grown, size)
-    pairs = rows.select(F.col("_value").alias("key"), column_at(rows, drill_field).alias("value"))
+    rows = _with_values(rows, field, grown)
+    value = column_at(rows, drill_field)
+    if is_array(rows, drill_field):
+        value = F.explode(F.array_distinct(value))
+    pairs = rows.select(F.col("_value").alias("key"), value.alias("value"))
     pairs = pairs.filter("value is not null")
     counts = pairs.groupBy("key", "value").agg(F.count(F.lit(1)).alias("doc_count"))
-    return top_per_group(counts, ["key"], [F.desc("doc_count"), F.asc("value")], drill_size)
+    return top_per_group(counts, ["key"], [F.desc("doc_count"), F.asc("value")], top_size(drill_size))

@@ -12,7 +12,7 @@ import fnmatch
 import functools
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,8 +112,9 @@ def scan(
 ) -> DataFrame:
     """All tables that match a name, a wildcard or a list of them, told apart by ``_index``.
 
-    Columns are matched by name and missing ones are NULL. A column whose
-    types cannot be widened to each other is read as text everywhere.
+    Columns are matched by name, members of structs too, also inside arrays;
+    missing ones are NULL. A value whose types cannot be widened to each other
+    is read as text everywhere, alone, in the place where it is.
     ``schema`` skips schema inference, which for a family of daily tables
     reads the footer of every file. With ``from_ts`` or ``to_ts`` daily tables
     of other days are not opened at all; rows are not filtered by it.
@@ -127,23 +128,66 @@ def scan(
         for names in _families(paths).values()
         for arm in _read_family(spark, names, paths, fmt, schema)
     ]
-    clashes = _clashing_columns(arms)
+    return union_tables(arms)
+
+
+def union_tables(arms: list[DataFrame]) -> DataFrame:
+    """Tables one below the other, matched as :func:`scan` does."""
+    kinds: dict[str, T.DataType] = {}
+    for arm in arms:
+        for member in arm.schema.fields:
+            known = kinds.get(member.name)
+            kinds[member.name] = member.dataType if known is None else _merged(known, member.dataType)
     merged = None
     for arm in arms:
-        shared = [c for c in arm.columns if c in clashes]
-        arm = arm.withColumns({c: F.col(quoted(c)).cast("string") for c in shared})
+        changed = {
+            m.name: _as_type(F.col(quoted(m.name)), m.dataType, kinds[m.name])
+            for m in arm.schema.fields
+            if m.dataType != kinds[m.name]
+        }
+        arm = arm.withColumns(changed)
         merged = arm if merged is None else merged.unionByName(arm, allowMissingColumns=True)
     return merged
 
 
-def _clashing_columns(arms: list[DataFrame]) -> set[str]:
-    kinds: dict[str, set[str]] = {}
-    for arm in arms:
-        for member in arm.schema.fields:
-            numeric = isinstance(member.dataType, T.NumericType)
-            kind = "number" if numeric else member.dataType.simpleString()
-            kinds.setdefault(member.name, set()).add(kind)
-    return {name for name, seen in kinds.items() if len(seen) > 1}
+def _merged(one: T.DataType, other: T.DataType) -> T.DataType:
+    """A type that holds values of both: structs member by member, numbers widened, else text."""
+    if one == other:
+        return one
+    if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+        members = {m.name: m.dataType for m in one.fields}
+        for m in other.fields:
+            members[m.name] = _merged(members[m.name], m.dataType) if m.name in members else m.dataType
+        return T.StructType([T.StructField(name, dtype) for name, dtype in members.items()])
+    if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(_merged(one.elementType, other.elementType))
+    if isinstance(one, T.NullType) or isinstance(other, T.NullType):
+        return other if isinstance(one, T.NullType) else one
+    if isinstance(one, T.IntegralType) and isinstance(other, T.IntegralType):
+        return max(one, other, key=_INTEGERS.index)
+    if isinstance(one, T.NumericType) and isinstance(other, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+_INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def _as_type(column: Column, dtype: T.DataType, wanted: T.DataType) -> Column:
+    if dtype == wanted:
+        return column
+    if isinstance(dtype, T.StructType) and isinstance(wanted, T.StructType):
+        have = {m.name: m.dataType for m in dtype.fields}
+        members = [
+            _as_type(column[m.name], have[m.name], m.dataType).alias(m.name)
+            if m.name in have
+            else F.lit(None).cast(m.dataType).alias(m.name)
+            for m in wanted.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*members))
+    if isinstance(dtype, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return F.transform(column, lambda x: _as_type(x, dtype.elementType, wanted.elementType))
+    return column.cast(wanted)
 
 
 def scan_daily(
@@ -197,50 +241,63 @@ def _day_bounds(name: str, pattern: str) -> tuple[str, str] | None:
     return f"{year:04d}-{month:02d}-{day:02d}", f"{last_year:04d}-{last_month:02d}-{last_day:02d}"
 
 
+def _named(path: Column, names: dict[str, str]) -> Column:
+    """The table that a file belongs to, from its path: all tables lie right below one root."""
+    plain = F.regexp_replace(path, "^file:/+", "file:/")
+    root = re.sub("^file:/+", "file:/", next(iter(names.values()))).rpartition("/")[0]
+    below = F.substring(plain, len(root) + 2, 1 << 30)
+    return F.regexp_replace(F.substring_index(F.url_decode(below), "/", 1), r"\.parquet$", "")
+
+
 def _file_totals(spark: SparkSession, root: str, pattern: Pattern) -> DataFrame:
     """Rows, files, bytes and file times of each table, without reading a data column.
 
-    The first row of a file stands for the file, so files are counted once
-    without grouping the rows by path. One shuffle for all tables.
+    Files come from a listing, so those without rows count too; rows from scans
+    of no column, one for each family of tables.
     """
     paths = _table_paths(spark, root, pattern, "parquet")
-    in_file = ["row_index", "file_size", "file_modification_time"]
-    at_first_row = lambda name: F.when(F.col("row_index") == 0, F.col(name)).alias(name)
-    # An empty schema: no column is read, and none has to be inferred. Tables
-    # are numbered, as rows are grouped faster by a number than by a name.
-    parts = [
-        spark.read.schema(T.StructType())
-        .parquet(path)
-        .select(*[F.col(f"_metadata.{name}").alias(name) for name in in_file])
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(list(paths.values()))
         .select(
-            F.lit(number).alias("table"),
-            F.lit(1).alias("row"),
-            at_first_row("file_size"),
-            at_first_row("file_modification_time"),
+            _named(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")), paths).alias("index"),
+            F.lit(0).cast("bigint").alias("rows"),
+            F.col("length").alias("bytes"),
+            F.col("modificationTime").alias("time"),
         )
-        for number, path in enumerate(paths.values(), 1)
-    ]
-    # A table without rows has no first row, so every table gets a row of zero.
-    empty = spark.range(1, len(paths) + 1).select(
-        F.col("id").cast("int").alias("table"),
-        F.lit(0).alias("row"),
-        F.lit(None).cast("bigint").alias("file_size"),
-        F.lit(None).cast("timestamp").alias("file_modification_time"),
     )
+    arms = []
+    for names in _families(paths).values():
+        # An empty schema: no column is read, and none has to be inferred.
+        rows = spark.read.schema(T.StructType()).parquet(*[paths[name] for name in names])
+        if len(names) == 1:
+            counts = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("index", F.lit(names[0]))
+        else:
+            counts = rows.groupBy(_named(F.col("_metadata.file_path"), paths).alias("index")).agg(
+                F.count(F.lit(1)).alias("rows")
+            )
+        arms.append(
+            counts.select(
+                "index",
+                "rows",
+                F.lit(None).cast("bigint").alias("bytes"),
+                F.lit(None).cast("timestamp").alias("time"),
+            )
+        )
     totals = (
-        functools.reduce(DataFrame.unionAll, parts, empty)
-        .groupBy("table")
+        functools.reduce(DataFrame.unionByName, arms, files)
+        .groupBy("index")
         .agg(
-            F.sum("row").alias("doc_count"),
-            F.count("file_size").alias("files"),
-            F.coalesce(F.sum("file_size"), F.lit(0)).alias("store_bytes"),
-            F.min("file_modification_time").alias("oldest_file"),
-            F.max("file_modification_time").alias("newest_file"),
+            F.sum("rows").alias("doc_count"),
+            F.count("bytes").alias("files"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("store_bytes"),
+            F.min("time").alias("oldest_file"),
+            F.max("time").alias("newest_file"),
         )
     )
-    names = F.array(*[F.lit(name) for name in paths])
-    listed = ordered(totals, [F.asc("table")], len(paths))
-    return listed.withColumn("index", F.element_at(names, F.col("table")))
+    return ordered(totals, [F.asc("index")], len(paths))
 
 
 def list_tables(spark: SparkSession, root: str, pattern: Pattern = "*") -> DataFrame:
@@ -258,18 +315,30 @@ def table_layout(spark: SparkSession, root: str, pattern: Pattern = "*") -> Data
 def list_time_fields(
     spark: SparkSession, root: str, pattern: Pattern = "*", fmt: str = "parquet"
 ) -> DataFrame:
-    """Each table with its first timestamp column, from the schemas alone."""
+    """Each family of tables with its first time field: ``(id, title, time_field)``.
+
+    Days of one log are one family ``name-*``, whose newest table is looked at.
+    Timestamps come before dates, and top-level fields before nested ones.
+    """
+    paths = _table_paths(spark, root, pattern, fmt)
     rows = []
-    for name, df in tables(spark, root, pattern, fmt).items():
-        times = [
-            m.name
-            for m in df.schema.fields
-            if isinstance(m.dataType, (T.TimestampType, T.TimestampNTZType))
-        ]
-        rows.append((name, name, times[0] if times else None))
+    for family, names in _families(paths).items():
+        fields = list(walk(spark.read.format(fmt).load(paths[max(names)]).schema))
+        title = family if len(names) > 1 else names[0]
+        rows.append((title, title, _time_field(fields)))
     return spark.createDataFrame(rows, "id string, title string, time_field string")
 
 
+def _time_field(fields: list[tuple[str, T.DataType]]) -> str | None:
+    times = (T.TimestampType, T.TimestampNTZType)
+    ranked = [
+        (not isinstance(dtype, times), path.count("."), n, path)
+        for n, (path, dtype) in enumerate(fields)
+        if isinstance(dtype, (*times, T.DateType))
+    ]
+    return min(ranked)[-1] if ranked else None
+
+
 def type_name(dtype: T.DataType) -> str:
     """Structs are objects; any other type keeps Spark's own name."""
     return "object" if isinstance(dtype, T.StructType) else dtype.simpleString()
@@ -279,3 +348,15 @@ def field_types(df: DataFrame, index: str) -> DataFrame:
     """Every field path with its type; a struct is listed itself, then its members."""
     rows = [(index, path, type_name(dtype)) for path, dtype in walk(df.schema)]
     return df.sparkSession.createDataFrame(rows, "index string, field string, type string")
+
+
+def index_field_types(
+    spark: SparkSession, root: str, pattern: Pattern = "*", fmt: str = "parquet"
+) -> DataFrame:
+    """:func:`field_types` of every matching table, which shows where a field's type drifts."""
+    rows = [
+        (name, path, type_name(dtype))
+        for name, df in tables(spark, root, pattern, fmt).items()
+        for path, dtype in walk(df.schema)
+    ]
+    return spark.createDataFrame(rows, "index string, field string, type string")

@@ -190,6 +190,21 @@ ORACLE: dict[str, str] = {
         for path, kind, column in _EVENTS_BY_FIELD
     ),
     "discover_fields": _discover("select * from events order by ts desc limit 100"),
+    "discover_deep_sample": _discover("select * from events order by ts desc, event_id limit 5000"),
+    "index_field_types": """
+      select t.*, n as doc_count from (values
+        ('nation', 'n_nationkey', 'int'), ('nation', 'n_name', 'string'), ('nation', 'n_regionkey', 'int'),
+        ('part', 'p_partkey', 'bigint'), ('part', 'p_name', 'string'), ('part', 'p_brand', 'string'),
+        ('part', 'p_type', 'string'), ('part', 'p_size', 'int'), ('part', 'p_retailprice', 'double'),
+        ('events', 'event_id', 'bigint'), ('events', 'ts', 'timestamp_ntz'),
+        ('events', 'user_id', 'bigint'), ('events', 'event_type', 'string'),
+        ('events', 'value', 'double'), ('events', 'props', 'string')) t("index", field, type)
+      join (select 'nation' as name, count(*) as n from nation union all
+            select 'part', count(*) from part union all select 'events', count(*) from events) c
+      on name = t."index" """,
+    "scan_nested": """
+      select (select count(*) from events where value >= 60)
+        + (select count(*) from orders where trunc(o_totalprice) >= 60) as count""",
     "discover_all": _discover("select * from events"),
     "flatten_docs": """
       select event_id, ts as "@timestamp", user_id as "agent.id", event_type as "rule.id",
@@ -199,6 +214,12 @@ ORACLE: dict[str, str] = {
     "count_json_between": f"""
       select count(*) as count from events
       where {W1} and cast(json_extract(props, '$.k') as int) between 12 and 40""",
+    "count_term_mixed": "select count(*) as count from events where user_id = 149",
+    "count_between_text": """
+      select count(*) as count from events where event_id % 3 <> 0 and value between 10 and 20""",
+    "count_text_time": f"""
+      select count(*) as count
+      from (select date_trunc('second', ts) as ts from events) where {W1}""",
     "count_any_none": """
       select count(*) as count from orders
       where o_orderpriority in ('1-URGENT', '2-HIGH')
@@ -218,6 +239,10 @@ ORACLE: dict[str, str] = {
     "text_phrase": f"""
       select doc_id from documents
       where contains(' ' || array_to_string({_words("text")}, ' ') || ' ', ' apache license ')""",
+    "text_everywhere": f"""
+      select page_id from pages
+      where list_has_all({_words("coalesce(url, '') || ' ' || coalesce(html, '')")},
+        ['example', 'article'])""",
     "exists_by_index": """
       select 'orders' as _index, count(o_orderdate) as docs from orders
       union all select 'lineitem', count(l_shipdate) from lineitem""",
@@ -225,12 +250,16 @@ ORACLE: dict[str, str] = {
       select event_id, ts, user_id, value from events where event_type = 'error' and {W1}
       order by ts desc, event_id limit 20 offset 50""",
     "search_sorted_asc": """
-      select o_orderkey, o_totalprice from orders order by o_totalprice, o_orderkey limit 200""",
+      select o_orderkey, o_totalprice from orders order by o_totalprice, o_orderkey limit 500""",
     "search_deep_page": """
       select o_orderkey, o_orderdate from orders
       order by o_orderdate desc, o_orderkey limit 50 offset 12000""",
+    "search_deep_text": """
+      select c_custkey, c_mktsegment from customer
+      order by c_mktsegment, c_custkey limit 100 offset 1000""",
     "search_total": f"select count(*) as total from events where event_type = 'error' and {W1}",
     "terms_users": f"select * from {_top('events', 'user_id', 20, W1, 'user_id')}",
+    "terms_long": f"select * from {_top('orders', 'o_custkey', 20000, 'true', 'o_custkey')}",
     "terms_status": f"select * from {_top('orders', 'o_orderstatus', 50, 'true', 'o_orderstatus')}",
     "terms_array": """
       select words, count(*) as doc_count
@@ -261,8 +290,22 @@ ORACLE: dict[str, str] = {
     "histogram_where": _histogram(
         "events", "ts", "30 minutes", "2024-01-01", "2024-01-31", "event_type = 'purchase'"
     ),
+    "histogram_fine": _histogram("events", "ts", "10 minutes", "2024-01-01", "2024-01-31"),
     "auto_histogram": _auto("events", "ts", MONTH),
     "auto_histogram_orders": _auto("orders", "o_orderdate", "o_totalprice >= 400000"),
+    "stats_array": """
+      select count(v) as count, min(v)::int as min, max(v)::int as max, round(avg(v), 4) as avg,
+             round(sum(v::double), 4) as sum, round(stddev_pop(v), 4) as std_deviation
+      from (select unnest(list_distinct(list_transform(string_split(p_name, ' '),
+        lambda w: length(w)))) as v from part)""",
+    "investigate_peers": """
+      with o as (select *, o_orderdate >= timestamp '1995-03-01' as inside from orders
+        where o_orderstatus = 'P' and o_orderdate between timestamp '1995-01-01' and timestamp '1995-04-01'),
+      v as (select 'o_orderpriority' as field, o_orderpriority as key, inside from o union all
+            select 'o_custkey', o_custkey::varchar, inside from o),
+      k as (select field, key, bool_or(inside) as now, bool_and(inside) as new from v group by 1, 2)
+      select field, count_if(now)::bigint as peers, nullif(count_if(new), 0)::bigint as new from k
+      where field in ('o_orderpriority', 'o_custkey') group by 1""",
     "stats_value": """
       select count(value) as count, min(value) as min, max(value) as max,
              round(avg(value), 4) as avg, round(sum(value), 4) as sum,
@@ -274,6 +317,7 @@ ORACLE: dict[str, str] = {
              stddev_pop(user_id) as std_deviation
       from events where event_type = 'no such type'""",
     "compare_users": _compare("user_id", 20),
+    "compare_long": _compare("user_id", 20_000),
     "compare_types": _compare("event_type", 20),
     "compare_exact": _compare("user_id", 20, exact=True),
     "chain_top_users": """
@@ -340,10 +384,26 @@ ORACLE: dict[str, str] = {
       select user_id, doc_count, round((doc_count - mean) / dev, 4) as z from c, m
       where (doc_count - mean) / dev > 2""",
     "spikes": f"""
-      with c as ({_histogram("events", "ts", "1 day", "2024-01-01", "2024-01-30")}),
+      with c as ({_histogram("events", "ts", "1 hour", "2024-01-01", "2024-01-30 23:59:59")}),
       m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c)
       select bucket, doc_count, round((doc_count - mean) / dev, 4) as z from c, m
       where (doc_count - mean) / dev > 2""",
+    "spike_causes": f"""
+      with c as ({_histogram("events", "ts", "1 hour", "2024-01-01", "2024-01-30 23:59:59")}),
+      m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c),
+      peak as (select bucket from c, m where (doc_count - mean) / dev > 2),
+      n as (
+        select bucket, event_type as key, count(*) as doc_count
+        from (select *, time_bucket(interval '1 hour', ts, timestamp '1970-01-01') as bucket
+              from events where ts <= timestamp '2024-01-30 23:59:59')
+        where bucket in (select bucket from peak) and event_type is not null group by 1, 2)
+      select bucket, 'event_type' as id, key, doc_count from n
+      qualify row_number() over (partition by bucket order by doc_count desc, key) <= 2""",
+    "fan_out_approximate": "select distinct l_suppkey, true as near from lineitem",
+    "value_diversity": " union all ".join(
+        f"select '{name}' as field, count({name}) as doc_count, true as near from documents"
+        for name in ("text", "lang", "source", "doc_id")
+    ),
     "fan_out": """
       select o_custkey, count(distinct o_orderpriority) as fan_out from orders group by 1""",
     "compare_report": " union all ".join(

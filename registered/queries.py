@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import logframe as lf
+from logframe.sources.catalog import union_tables
 from logframe.plans.chain import count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,31 @@ def discover_all(spark, root):
     )
 
 
+def discover_deep_sample(spark, root):
+    return lf.discover_fields(
+        table(spark, root, "events"), ts_field="ts", sample_size=5000, json_fields=["props"], key="event_id"
+    )
+
+
+def index_field_types(spark, root):
+    """Types of the tables by name, next to each table's size."""
+    types = lf.index_field_types(spark, root, ["nation", "part", "events"])
+    return types.join(lf.list_tables(spark, root).select("index", "doc_count"), "index")
+
+
+def scan_nested(spark, root):
+    """Two shapes of one document: severe errors of either."""
+    events = nested_events(spark, root)
+    struct = F.struct(
+        F.struct(F.col("o_totalprice").cast("int").alias("level")).alias("detail"),
+        F.col("o_orderpriority").alias("id"),
+        F.col("o_orderkey").alias("extra"),
+    )
+    orders = table(spark, root, "orders").select(struct.alias("rule"))
+    both = union_tables([events, orders])
+    return lf.count(both, lf.between(both, "rule.detail.level", 60))
+
+
 def flatten_docs(spark, root):
     return lf.flatten(nested_events(spark, root))
 
@@ -141,6 +167,26 @@ def count_json_between(spark, root):
     return lf.count(events, lf.between(events, k, 12, 40), *W1, "ts")
 
 
+def count_term_mixed(spark, root):
+    """A number asked of a text column."""
+    events = table(spark, root, "events").withColumn("code", F.col("user_id").cast("string"))
+    return lf.count(events, lf.term(events, "code", 149))
+
+
+def count_between_text(spark, root):
+    """A range of numbers over a text column, some values of which are none."""
+    text = F.when(F.col("event_id") % 3 == 0, "_warning").otherwise(F.col("value").cast("string"))
+    events = table(spark, root, "events").withColumn("text", text)
+    return lf.count(events, lf.between(events, "text", 10, 20))
+
+
+def count_text_time(spark, root):
+    """Times as text with an offset."""
+    later = F.date_format(F.col("ts") + F.expr("interval 2 hours"), "yyyy-MM-dd'T'HH:mm:ss")
+    events = table(spark, root, "events").withColumn("at", F.concat(later, F.lit("+02:00")))
+    return lf.count(events, None, *W1, "at")
+
+
 def count_any_none(spark, root):
     orders = table(spark, root, "orders")
     urgent = lf.any_of(
@@ -193,6 +239,11 @@ def text_phrase(spark, root):
     return documents.filter(found).select("doc_id")
 
 
+def text_everywhere(spark, root):
+    pages = table(spark, root, "pages")
+    return pages.filter(lf.match_text(pages, None, "example article", "all")).select("page_id")
+
+
 def exists_by_index(spark, root):
     found = lf.scan(spark, root, "[clo]*")
     timed = found.filter(lf.any_of(lf.exists(found, "o_orderdate"), lf.exists(found, "l_shipdate")))
@@ -239,6 +290,19 @@ def search_deep_page(spark, root):
     )
 
 
+def search_deep_text(spark, root):
+    return lf.search(
+        table(spark, root, "customer"),
+        ts_field="c_name",
+        limit=100,
+        offset=1_000,
+        sort_field="c_mktsegment",
+        sort_dir="asc",
+        source_fields=["c_custkey", "c_mktsegment"],
+        key="c_custkey",
+    )
+
+
 def search_total(spark, root):
     events = table(spark, root, "events")
     return lf.search_total(events, lf.term(events, "event_type", "error"), *W1, "ts")
@@ -251,6 +315,10 @@ def terms_users(spark, root):
     return lf.terms(table(spark, root, "events"), "user_id", None, *W1, "ts", size=20)
 
 
+def terms_long(spark, root):
+    return lf.terms(table(spark, root, "orders"), "o_custkey", size=20_000)
+
+
 def terms_status(spark, root):
     return lf.terms(table(spark, root, "orders"), "o_orderstatus")
 
@@ -292,6 +360,10 @@ def histogram_where(spark, root):
     return lf.histogram(events, *MONTH, "ts", "30m", lf.term(events, "event_type", "purchase"))
 
 
+def histogram_fine(spark, root):
+    return lf.histogram(table(spark, root, "events"), *MONTH, "ts", "10m")
+
+
 def auto_histogram(spark, root):
     return lf.histogram(table(spark, root, "events"), *MONTH, "ts", "auto")
 
@@ -308,6 +380,13 @@ def stats_value(spark, root):
     return rounded(stats, "avg", "sum", "std_deviation")
 
 
+def stats_array(spark, root):
+    """Numbers of an array field: the lengths of the words of a name."""
+    lengths = F.transform("words", F.length)
+    parts = part_words(spark, root).withColumn("lengths", lengths)
+    return rounded(lf.extended_stats(parts, "lengths"), "avg", "sum", "std_deviation")
+
+
 def stats_none(spark, root):
     events = table(spark, root, "events")
     return lf.extended_stats(events, "user_id", lf.term(events, "event_type", "no such type"))
@@ -317,6 +396,10 @@ def compare_users(spark, root):
     return lf.compare(table(spark, root, "events"), "user_id", *W1, *W2, ts_field="ts")
 
 
+def compare_long(spark, root):
+    return lf.compare(table(spark, root, "events"), "user_id", *W1, *W2, ts_field="ts", size=20_000)
+
+
 def compare_types(spark, root):
     return lf.compare(table(spark, root, "events"), "event_type", *W1, *W2, ts_field="ts")
 
@@ -403,6 +486,25 @@ def investigate_timeline(spark, root):
     return _investigation(spark, root)["timeline"]
 
 
+def investigate_peers(spark, root):
+    """How many priorities a customer's orders have, and those not seen in the years before."""
+    found = lf.investigate(
+        table(spark, root, "orders"),
+        "o_orderstatus",
+        "P",
+        "1995-03-01",
+        "1995-04-01",
+        ts_field="o_orderdate",
+        rule_field="o_orderpriority",
+        description_field=None,
+        severity_field="o_totalprice",
+        peer_fields=["o_orderpriority", "o_custkey"],
+        before="1995-01-01",
+    )
+    new = found["new_peers"].groupBy("field").agg(F.count(F.lit(1)).alias("new"))
+    return found["peers"].join(new, "field", "left").select("field", "peers", "new")
+
+
 def investigate_events(spark, root):
     return _investigation(spark, root)["events"]
 
@@ -434,17 +536,30 @@ def anomalous_users(spark, root):
 
 
 def spikes(spark, root):
-    found = lf.spikes(table(spark, root, "events"), "2024-01-01", "2024-01-30", "ts", "1d")
+    day_end = "2024-01-30T23:59:59"
+    found = lf.spikes(table(spark, root, "events"), "2024-01-01", day_end, "ts", "1h")
     return rounded(found, "z")
 
 
+def spike_causes(spark, root):
+    found = lf.top_offenders(
+        table(spark, root, "events"), ["event_type"], "2024-01-01", "2024-01-30T23:59:59", "ts",
+        spike_interval="1h", causes=2,
+    )
+    return found["causes"]
+
+
 def fan_out(spark, root):
     return lf.fan_out(table(spark, root, "orders"), "o_custkey", "o_orderpriority")
 
 
 def fan_out_approximate(spark, root):
+    """Whether each approximate count is within a seventh of the exact one."""
     lines = table(spark, root, "lineitem")
-    return lf.fan_out(lines, "l_suppkey", "l_partkey", approximate=True)
+    about = lf.fan_out(lines, "l_suppkey", "l_partkey", approximate=True)
+    exact = lf.fan_out(lines, "l_suppkey", "l_partkey").withColumnRenamed("fan_out", "exact")
+    near = F.abs(F.col("fan_out") - F.col("exact")) <= F.col("exact") / 7
+    return about.join(exact, "l_suppkey").select("l_suppkey", near.alias("near"))
 
 
 def compare_report(spark, root):
@@ -480,8 +595,17 @@ def changed_drill(spark, root):
 
 
 def value_diversity(spark, root):
+    """Each field's values, and whether the approximate number of different ones is near."""
     documents = table(spark, root, "documents")
-    return lf.value_diversity(documents, ["text", "lang", "source", "doc_id"])
+    names = ["text", "lang", "source", "doc_id"]
+    about = lf.value_diversity(documents, names)
+    exact = documents.agg(
+        F.array(
+            *[F.struct(F.lit(n).alias("field"), F.count_distinct(n).alias("exact")) for n in names]
+        ).alias("e")
+    ).select(F.inline("e"))
+    near = F.abs(F.col("about_distinct") - F.col("exact")) <= F.col("exact") / 7
+    return about.join(exact, "field").select("field", "doc_count", near.alias("near"))
 
 
 QUERIES: dict[str, Query] = {
@@ -497,10 +621,16 @@ QUERIES: dict[str, Query] = {
         field_types,
         discover_fields,
         discover_all,
+        discover_deep_sample,
+        index_field_types,
+        scan_nested,
         flatten_docs,
         count_all,
         count_range,
         count_json_between,
+        count_term_mixed,
+        count_between_text,
+        count_text_time,
         count_any_none,
         count_term_open_range,
         count_array_term,
@@ -509,12 +639,15 @@ QUERIES: dict[str, Query] = {
         text_any,
         text_all,
         text_phrase,
+        text_everywhere,
         exists_by_index,
         search_page,
         search_sorted_asc,
         search_deep_page,
+        search_deep_text,
         search_total,
         terms_users,
+        terms_long,
         terms_status,
         terms_array,
         multi_terms_orders,
@@ -522,11 +655,14 @@ QUERIES: dict[str, Query] = {
         histogram_1h_zero,
         histogram_1M,
         histogram_where,
+        histogram_fine,
         auto_histogram,
         auto_histogram_orders,
         stats_value,
+        stats_array,
         stats_none,
         compare_users,
+        compare_long,
         compare_types,
         compare_exact,
         chain_top_users,
@@ -536,12 +672,14 @@ QUERIES: dict[str, Query] = {
         investigate_count,
         investigate_values,
         investigate_timeline,
+        investigate_peers,
         investigate_events,
         top_offenders,
         top_offenders_timeline,
         pivot_nations,
         anomalous_users,
         spikes,
+        spike_causes,
         fan_out,
         fan_out_approximate,
         compare_report,

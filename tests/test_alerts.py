@@ -141,7 +141,7 @@ def test_search_fields(docs):
 
 
 def test_search_far_page(docs, monkeypatch):
-    monkeypatch.setattr("logframe.operators.rank.SHALLOW_ROWS", 3)
+    monkeypatch.setattr("logframe.operators.rank.MERGED_ROWS", 3)
     whole = ids(lf.search(docs, limit=3, key="_id"))
     for offset in range(3, 18, 4):
         whole += ids(lf.search(docs, limit=4, offset=offset, key="_id"))
@@ -150,31 +150,90 @@ def test_search_far_page(docs, monkeypatch):
 
 
 @pytest.mark.parametrize("direction", ["asc", "desc"])
-@pytest.mark.parametrize("by", ["@timestamp", "rule.level", "data.bytes", "agent.name"])
-def test_search_after_a_late_cut(docs, monkeypatch, by, direction):
+@pytest.mark.parametrize("by", ["@timestamp", "rule.level", "data.bytes", "agent.name", "rule.id"])
+def test_search_far_page_by_any_type(docs, monkeypatch, by, direction):
     wanted = ids(lf.search(docs, sort_field=by, sort_dir=direction, key="_id"))
-    monkeypatch.setattr("logframe.operators.rank.LATE_BYTES", 0)
-    monkeypatch.setattr("logframe.operators.rank.UNKNOWN_BYTES", 1 << 64)
+    monkeypatch.setattr("logframe.operators.rank.MERGED_ROWS", 1)
     for offset in (0, 4, 13, 20):
         page = lf.search(docs, sort_field=by, sort_dir=direction, offset=offset, limit=3, key="_id")
         assert ids(page) == wanted[offset : offset + 3]
 
 
-@pytest.mark.parametrize("enough", [True, False])
-@pytest.mark.parametrize("direction", ["asc", "desc"])
-def test_search_far_page_after_a_cut(docs, monkeypatch, enough, direction):
-    """The cut keeps enough rows, or by mistake too few."""
-    monkeypatch.setattr("logframe.operators.rank.SHALLOW_ROWS", 3)
-    monkeypatch.setattr("logframe.operators.rank.CUT_SHARES", (0.4, 0.8))
-    if not enough:
-        monkeypatch.setattr("logframe.operators.rank._cut", lambda *_: F.lit(False))
-    for by in ("@timestamp", "data.bytes", "rule.id"):
-        far = lf.search(docs, sort_field=by, sort_dir=direction, limit=3, offset=2, key="_id")
-        far = ids(far)
-        with monkeypatch.context() as usual:
-            usual.setattr("logframe.operators.rank.SHALLOW_ROWS", 10_000)
-            whole = ids(lf.search(docs, sort_field=by, sort_dir=direction, key="_id"))
-        assert far == whole[2:5]
+def test_search_far_page_by_date_and_long_text(spark, monkeypatch):
+    rows = [(n, f"same beginning {n * 7919 % 1000:03d}", f"2024-{n % 12 + 1:02d}-11") for n in range(500)]
+    rows += [(500, None, None), (501, "", "1960-01-01"), (502, "é", "2024-01-11")]
+    df = spark.createDataFrame(rows, "n int, s string, d string").withColumn("d", F.col("d").cast("date"))
+    monkeypatch.setattr("logframe.operators.rank.MERGED_ROWS", 10)
+    for by in ("s", "d", "n"):
+        order = [F.desc_nulls_last(by), F.asc("n")]
+        whole = [r.n for r in df.orderBy(*order).collect()]
+        far = lf.search(df, ts_field="d", sort_field=by, limit=60, offset=333, key="n")
+        assert [r.n for r in far.collect()] == whole[333:393]
+
+
+def test_limits_are_what_is_asked(docs, spark):
+    many = spark.range(3000).withColumn("@timestamp", F.timestamp_seconds("id"))
+    assert lf.search(many, limit=2500).count() == 2500
+    with pytest.raises(ValueError, match="over the cap"):
+        lf.search(many, limit=11, limit_cap=10)
+    found = lf.discover_fields(many, sample_size=1500).collect()
+    assert {r.n_docs for r in found} == {1500}
+    fine = lf.histogram(many, "1970-01-01", "1970-01-01T01:00:00", interval="1s")
+    assert fine.count() == 3601
+    assert lf.auto_histogram(many, max_buckets=400).count() == 300
+
+
+def test_types_that_do_not_fit_match_nothing(spark):
+    df = spark.createDataFrame(
+        [("5710", 7, ["1", "x"]), ("_warning", 12, []), (None, None, None)],
+        "id string, n int, many array<string>",
+    )
+    count = lambda condition: lf.count(df, condition).first()[0]
+    assert count(lf.term(df, "id", 5710)) == 1 and count(lf.term(df, "n", "x")) == 0
+    assert count(lf.term(df, "n", "12")) == 1 and count(lf.term(df, "many", 1)) == 1
+    assert count(lf.between(df, "id", 10, "*")) == 1 and count(lf.between(df, "n", "8", "x")) == 0
+    assert count(lf.between(df, "many", 0, 5)) == 1 and count(lf.between(df, F.col("n"), 7, 9)) == 1
+
+
+def test_text_times_with_an_offset(spark):
+    texts = ["2024-03-01T10:00:00Z", "2024-03-01T10:00:00+00:00", "2024-03-01 12:00:00+0200", "2024-03-01T12:00:00", "no"]
+    df = spark.createDataFrame([(t,) for t in texts], "ts string")
+    assert lf.count(df, None, "2024-03-01T09:59:59", "2024-03-01T10:00:00", "ts").first()[0] == 3
+    assert lf.count(df, None, "2024-03-01T13:00:00+03:00", None, "ts").first()[0] == 4
+    with pytest.raises(ValueError, match="no field"):
+        lf.count(df, None, "2024-03-01", "2024-03-02")
+
+
+def test_arrays_are_opened_everywhere(spark):
+    df = spark.createDataFrame(
+        [("a", [1, 2, 2], ["x", "y"]), ("a", [3], ["y"]), ("b", None, None)],
+        "k string, n array<int>, d array<string>",
+    )
+    stats = lf.extended_stats(df, "n").first()
+    assert (stats["count"], stats["sum"]) == (3, 6.0)
+    assert [tuple(r) for r in lf.fan_out(df, "k", "d").collect()] == [("a", 2), ("b", 0)]
+    assert [tuple(r) for r in lf.fan_out(df, "d", "n", size=1).collect()] == [("y", 3)]
+
+
+def test_text_search_over_all_fields(docs):
+    found = matched(docs, lf.match_text(docs, None, "WIN-DC01"))
+    assert found == matched(docs, lf.match_text(docs, "agent.name", "WIN-DC01")) and found
+    assert matched(docs, lf.match_text(docs, None, "ssh")) == matched(docs, lf.term(docs, "rule.groups", "ssh"))
+
+
+def test_causes_of_spikes_and_new_peers(spark):
+    rows = [(f"2024-03-01T{h:02d}:00:00", "u", f"h{h % 3}") for h in range(20)]
+    rows += [("2024-03-01T07:30:00", "u", "burst")] * 50
+    df = spark.createDataFrame(rows, "at string, who string, host string").withColumn("@timestamp", F.col("at").cast("timestamp_ntz"))
+    day = ("2024-03-01", "2024-03-01T23:00:00")
+    found = lf.top_offenders(df, ["host"], *day, spike_interval="1h", causes=1)["causes"].collect()
+    assert [(str(r.bucket), r.id, r.key, r.doc_count) for r in found] == [("2024-03-01 07:00:00", "host", "burst", 50)]
+    parts = lf.investigate(
+        df, "who", "u", "2024-03-01T07:00:00", day[1], rule_field="host", description_field=None,
+        severity_field="host", min_severity="", peer_fields=["host"], before="2024-03-01",
+    )
+    assert [tuple(r) for r in parts["peers"].collect()] == [("host", 4)]
+    assert [tuple(r) for r in parts["new_peers"].collect()] == [("host", "burst", 50)]
 
 
 def test_terms(docs):
@@ -219,8 +278,7 @@ def test_long_tops_are_the_same(docs, monkeypatch):
         lambda: lf.histogram(docs, FROM, TO, interval="10m"),
     ]
     usual = [call().collect() for call in calls]
-    for module in ("rank", "aggregate"):
-        monkeypatch.setattr(f"logframe.operators.{module}.SHALLOW_ROWS", 2)
+    monkeypatch.setattr("logframe.operators.rank.MERGED_ROWS", 2)
     assert [call().collect() for call in calls] == usual
 
 

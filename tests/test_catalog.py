@@ -146,3 +146,35 @@ def test_json_lines(spark, root, tmp_path):
     lf.scan(spark, root, "log-2024*").drop("_index").write.json(f"{tmp_path}/lines.json")
     lines = lf.scan(spark, str(tmp_path), "li*", fmt="json")
     assert lf.count(lines, None, "2024-03-02", "2024-03-03", "ts").first()["count"] == 3
+
+
+def test_structs_merge_member_by_member(spark, tmp_path):
+    spark.sql("select struct(1 as id, 5 as level) as rule, array(struct(1 as a)) as l").write.parquet(f"{tmp_path}/a")
+    spark.sql(
+        "select struct('x' as id, 7L as level, true as extra) as rule, array(struct(2 as a, 'm' as b)) as l"
+    ).write.parquet(f"{tmp_path}/b")
+    both = lf.scan(spark, str(tmp_path), "*")
+    assert dict(both.dtypes)["rule"] == "struct<id:string,level:bigint,extra:boolean>"
+    assert dict(both.dtypes)["l"] == "array<struct<a:int,b:string>>"
+    assert lf.count(both, lf.between(both, "rule.level", 5, 7)).first()[0] == 2
+    assert lf.count(both, lf.term(both, "rule.id", 1)).first()[0] == 1
+    assert lf.count(both, lf.term(both, "l.b", "m")).first()[0] == 1
+    types = {(r["index"], r.field): r.type for r in lf.index_field_types(spark, str(tmp_path)).collect()}
+    assert types["a", "rule.id"] == "int" and types["b", "rule.id"] == "string"
+
+
+def test_empty_files_count(spark, tmp_path):
+    spark.createDataFrame([], "a int").coalesce(1).write.parquet(f"{tmp_path}/none")
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/some")
+    spark.range(0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/some")
+    found = {r["index"]: r for r in lf.list_tables(spark, str(tmp_path)).collect()}
+    assert found["none"].doc_count == 0 and found["none"].store_bytes > 0
+    layout = {r["index"]: r.files for r in lf.table_layout(spark, str(tmp_path)).collect()}
+    assert found["some"].doc_count == 3 and layout == {"none": 1, "some": 2}
+
+
+def test_nested_times_and_dates(spark, tmp_path):
+    spark.sql("select struct(now() as at) as meta, date'2024-01-01' as day").write.parquet(f"{tmp_path}/n")
+    spark.sql("select date'2024-01-01' as day").write.parquet(f"{tmp_path}/d")
+    found = {r.title: r.time_field for r in lf.list_time_fields(spark, str(tmp_path)).collect()}
+    assert found == {"n": "meta.at", "d": "day"}

@@ -25,17 +25,21 @@ def test_time_range_and_term_reach_the_scan(spark):
     assert "props" not in plan
 
 
-@pytest.mark.parametrize(
-    "name", ["search_page", "search_sorted_asc", "discover_fields", "investigate_events"]
-)
-def test_large_tables_are_cut_to_the_page_in_the_scan(spark, monkeypatch, name):
-    usual = sorted(QUERIES[name](spark, ROOT).collect())
-    monkeypatch.setattr("logframe.operators.rank.LATE_BYTES", 0)
-    df = QUERIES[name](spark, ROOT)
-    assert sorted(df.collect()) == usual
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    pushed = [part.split("]")[0] for part in plan.split("PushedFilters: ")[1:]]
-    assert any("ScalarSubquery" in filters for filters in pushed)
+def test_deep_pages_and_long_tops_run_nothing_when_called(spark):
+    status = spark.sparkContext.statusTracker()
+    events = table(spark, ROOT, "events")
+    before = max(status.getJobIdsForGroup() or [0])
+    lf.search(events, ts_field="ts", offset=20_000, key="event_id")
+    lf.terms(events, "user_id", size=20_000)
+    lf.compare(events, "user_id", *W1, *W2, ts_field="ts", size=20_000)
+    lf.compare_report(events, ["user_id", "event_type"], *W1, *W2, ts_field="ts", size=20_000)
+    assert max(status.getJobIdsForGroup() or [0]) == before
+
+
+def test_a_column_range_is_pushed_down(spark):
+    events = table(spark, ROOT, "events")
+    plan = executed(lf.count(events, lf.between(events, F.col("value"), 10.0, 20.0)))
+    assert "GreaterThanOrEqual(value,10.0)" in plan
 
 
 def test_prefix_wildcard_reaches_the_scan(spark):
