@@ -21,6 +21,7 @@ HEADLINE = (
     "count_json_between",
     "search_page",
     "search_sorted_asc",
+    "search_deep_page",
     "terms_users",
     "multi_terms_orders",
     "histogram_where",
@@ -37,6 +38,9 @@ HEADLINE = (
     "discover_fields",
     "discover_all",
     "top_offenders",
+    "spike_causes",
+    "investigate_values",
+    "investigate_events",
     "pivot_nations",
     "anomalous_users",
     "spikes",

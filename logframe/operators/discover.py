@@ -47,9 +47,8 @@ def discover_fields(
         counted = _counted(rows, found)
     else:
         counted = _column_counts(rows, typed)
-        if json_fields:
-            found = F.concat(*[_json_leaves(rows, path) for path in json_fields])
-            opened = _counted(rows, found)
+        for path in json_fields:
+            opened = _shape_counts(rows, path)
             counted = opened if counted is None else counted.unionByName(opened)
     return counted.orderBy("field", "type")
 
@@ -80,8 +79,25 @@ def _column_counts(rows: DataFrame, typed: list[tuple[str, T.DataType]]) -> Data
     return rows.agg(F.array(*entries).alias("e")).select(F.inline("e")).filter("n_docs > 0")
 
 
-def _json_leaves(rows: DataFrame, path: str) -> Column:
-    """``(field, type)`` of every leaf of a JSON value; NULL and bad JSON have none.
+def _shape_counts(rows: DataFrame, path: str) -> DataFrame:
+    """Leaves of a JSON column in all rows: values of one shape have the same ones, so one is opened."""
+    column = field(rows, path)
+    is_variant = isinstance(field_type(rows, path), T.VariantType)
+    shapes = (
+        rows.select(
+            (F.to_json(column) if is_variant else column).alias("json"),
+            F.schema_of_variant(column if is_variant else F.try_parse_json(column)).alias("shape"),
+        )
+        .filter("shape is not null")
+        .groupBy("shape")
+        .agg(F.any_value("json").alias("json"), F.count(F.lit(1)).alias("n"))
+    )
+    leaves = shapes.select(F.inline(_json_leaves(shapes, "json", path)), "n")
+    return leaves.groupBy("field", "type").agg(F.sum("n").alias("n_docs"))
+
+
+def _json_leaves(rows: DataFrame, path: str, name: str | None = None) -> Column:
+    """``(field, type)`` of every leaf of a JSON value, called ``name``; NULL and bad JSON have none.
 
     Opens one level of objects per step. The text cannot nest deeper than its
     opening braces, and steps with nothing left to open cost next to nothing.
@@ -124,7 +140,7 @@ def _json_leaves(rows: DataFrame, path: str) -> Column:
         return F.aggregate(levels, sorted_out(F.array(root), nothing), opened)["found"]
 
     # Again an array only to have a name: the text is parsed once.
-    found = F.transform(F.array(_entry(F.lit(path), value)), all_below)
+    found = F.transform(F.array(_entry(F.lit(name or path), value)), all_below)
     return F.when(value.isNotNull(), F.get(found, F.lit(0))).otherwise(nothing)
 
 
