@@ -281,12 +281,16 @@ def train(
         .join(F.broadcast(picked), "doc_id")  # at most as many ids as the bounds
         .select("check", "toxic", "lang", "text")
         .mapInArrow(_hashed(s.sample_words), "check boolean, toxic int, lang string, words array<int>")
-        .toPandas()
+        .toArrow()
     )
     network = Network.new(s)
-    words = [np.asarray(w, dtype=np.int32).view(np.uint32).reshape(-1, 1 + len(PREFIXES)) for w in sample["words"]]
-    toxic, use = sample["toxic"].to_numpy(np.float64), sample["check"].to_numpy(bool)
-    if len(sample) == 0 or len(set(toxic[~use])) < 2:
+    lists = sample.column("words").combine_chunks()
+    flat = lists.flatten().to_numpy().view(np.uint32).reshape(-1, 1 + len(PREFIXES))
+    sizes = lists.value_lengths().to_numpy() // (1 + len(PREFIXES))
+    words = np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+    toxic = sample.column("toxic").to_numpy().astype(np.float64)
+    use = sample.column("check").to_numpy().astype(bool)
+    if len(toxic) == 0 or len(set(toxic[~use])) < 2:
         network.out[:] = 0
         return network
     n1, n0 = toxic[~use].sum(), (1 - toxic[~use]).sum()
@@ -305,8 +309,8 @@ def train(
                 stands[own] = totals.get((True, kind), own.sum()) / own.sum()
         calibrate(network, raw.astype(np.float64), held, stands)
         scores = network.scores(np.concatenate([words[i] for i in at]), places)
-        langs = sample["lang"].to_numpy()[at]
-        for name in sorted(set(langs)):
+        langs = np.array(sample.column("lang").to_pylist())[at]
+        for name in sorted(set(langs.tolist())):
             own = langs == name
             if held[own].sum() >= s.language_rows and (1 - held[own]).sum() >= s.language_rows:
                 network.thresholds[name] = best_threshold(scores[own], held[own], stands[own])
