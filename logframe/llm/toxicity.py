@@ -199,7 +199,7 @@ def fit(network: Network, texts: list[np.ndarray], toxic: np.ndarray, weight: np
 
 
 def calibrate(network: Network, raw: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> None:
-    """Slope and shift that make scores probabilities, by Newton steps on smoothed targets."""
+    """Slope and shift that fit scores to the labels, by Newton steps on smoothed targets."""
     n1, n0 = toxic.sum(), (1 - toxic).sum()
     if not n1 or not n0:
         return
@@ -308,6 +308,11 @@ def train(
             if own.any():
                 stands[own] = totals.get((True, kind), own.sum()) / own.sum()
         calibrate(network, raw.astype(np.float64), held, stands)
+        if 0 < held.sum() < len(held):
+            # Scores of one half are where the two classes are told apart best.
+            scores = network.scores(np.concatenate([words[i] for i in at]), places)
+            cut = min(max(best_threshold(scores, held, stands), 0.02), 0.98)
+            network.shift -= float(np.log(cut / (1 - cut)))
         scores = network.scores(np.concatenate([words[i] for i in at]), places)
         langs = np.array(sample.column("lang").to_pylist())[at]
         for name in sorted(set(langs.tolist())):
