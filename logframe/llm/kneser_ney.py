@@ -30,6 +30,9 @@ GATHER = pow(SPREAD, -1, 1 << 64)
 # Pairs whose followers and forerunners are counted together in one task.
 PAIRS_PER_TASK = 4_000_000
 
+# Tokens whose pairs are counted together before the shuffle.
+COUNTED_TOKENS = 3_000_000
+
 
 @dataclass
 class Table:
@@ -118,9 +121,9 @@ def _write_table(
 
     Rows are dealt by the key's upper bits and sorted by Spark, so tasks only
     add up neighbours and append to files. A key's rows are at most one per
-    batch that counted it. Files are named by attempt and reported when done,
+    part that counted it. Files are named by attempt and reported when done,
     so what a lost task wrote is never read. The census is the sum of column
-    ``census`` and how often it is 1, 2, 3 and 4.
+    ``census`` (its lower half) and how often it is 1, 2, 3 and 4.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shard = F.shiftright("key", 64 - bits).alias("shard")
@@ -164,7 +167,7 @@ def _merge(folder: str, name: str, bits: int, columns: dict[str, str], census: s
                     now = shard
                 for column, data in zip(["key", *sums], [keys, *values]):
                     outs[column].write(np.ascontiguousarray(data[low:high], dtype=columns[column]).tobytes())
-                counted = values[sums.index(census)][low:high]
+                counted = values[sums.index(census)][low:high] & 0xFFFFFFFF
                 report[-1][2] += int(high - low)
                 report[-1][3] += int(counted.sum())
                 for i in (1, 2, 3, 4):
@@ -214,6 +217,7 @@ class Model:
     pairs: Table
     ids: Table
     tokens: int
+    texts: int
     kinds_of_pairs: int
     pair_discounts: tuple[float, float, float]
     word_discounts: tuple[float, float, float]
@@ -235,16 +239,17 @@ class Model:
             out.append(value[back])
         return out
 
-    def token_scores(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log10 P(word | word before) for ids; -1 is any unknown word."""
-        forerunners = self.of_ids(ids, "left")[0]
+    def token_scores(self, before: np.ndarray, total: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """log10 P(word | word before) for ids; -1 is any unknown word. ``total``: pairs that begin so."""
+        forerunners = self.of_ids(ids, "high")[0] & 0xFFFFFFFF
         uniform = 1 / (self.words.rows + 1)
         if self.kinds_of_pairs:
             low = taken(forerunners, self.word_discounts) / self.kinds_of_pairs
             low = low + self.base_weight * uniform
         else:
             low = np.full(len(ids), uniform)
-        total, n1, n2, n3 = self.of_ids(before, "n", "n1", "n2", "n3")
+        low_half, high_half = self.of_ids(before, "low", "high")
+        n1, n2, n3 = low_half >> 32, low_half & 0xFFFFFFFF, high_half >> 32
         known = (before >= 0) & (ids >= 0)
         keys = np.where(known, pair_keys(before, ids), 0)
         distinct, back = np.unique(keys, return_inverse=True)
@@ -304,20 +309,27 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _count_pairs(model: Model):
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
         for batch in batches:
-            keys = []
             for _, _, data, offsets in text_slices(batch.column("text")):
                 tokens, places = tokens_of(*word_hashes(data, offsets))
                 ids, _ = model.word_ids(tokens)
                 keys.append(pair_keys(_before(ids, places, model.words.rows), ids))
-            if keys:
-                yield _counted(keys)
+                if sum(map(len, keys)) >= COUNTED_TOKENS:
+                    yield _counted(keys)
+                    keys = []
+        if keys:
+            yield _counted(keys)
 
     return count_pairs
 
 
 def _neighbours(pairs: Table):
-    """Per word, from a part of the pairs: pairs it begins, by count, and pairs that it ends."""
+    """Per word, from a part of the pairs: pairs it begins, by count, and pairs that it ends.
+
+    Of the four numbers two share a long each, which may be added as they are:
+    none reaches 2**32, the number of words.
+    """
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -325,23 +337,20 @@ def _neighbours(pairs: Table):
 
         def counted() -> pa.RecordBatch:
             joined = np.concatenate([k for k, _ in held]).view(np.uint64) * np.uint64(GATHER)
-            n = np.concatenate([c for _, c in held]).astype(np.int64)
-            one = (joined >> np.uint64(32)).astype(np.int64)
-            two = (joined & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            ids, back = np.unique(np.concatenate([one, two]), return_inverse=True)
-            first, second = back[: len(one)], back[len(one) :]
-            add = lambda w, at: np.bincount(at, w, len(ids)).astype(np.int64)
-            columns = [
-                ids << np.int64(64 - ID_BITS),
-                add(n, first),
-                add(n == 1, first),
-                add(n == 2, first),
-                add(n >= 3, first),
-                np.bincount(second, minlength=len(ids)),
-            ]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["key", "n", "n1", "n2", "n3", "left"]
-            )
+            # The first word and, in the lowest bits, 0 for a count of 1, 1 for 2, 2 for more.
+            kind = np.minimum(np.concatenate([c for _, c in held]), 3).astype(np.uint64) - np.uint64(1)
+            first, times = np.unique(((joined >> np.uint64(32)) << np.uint64(2)) | kind, return_counts=True)
+            second, ends = np.unique(joined.astype(np.uint32), return_counts=True)
+            begins, kind = (first >> np.uint64(2)).astype(np.int64), first & np.uint64(3)
+            ids = np.union1d(begins, second.astype(np.int64))
+            low, high = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            at = np.searchsorted(ids, begins)
+            for value, out, shift in ((0, low, 32), (1, low, 0), (2, high, 32)):
+                own = kind == value
+                out[at[own]] += times[own] << shift
+            high[np.searchsorted(ids, second)] += ends
+            columns = [ids << np.int64(64 - ID_BITS), low, high]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "low", "high"])
 
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
@@ -385,8 +394,9 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> Mod
     if words.rows > (1 << 32) - 2:
         raise ValueError(f"{words.rows} different words are too many for numbers of 32 bits")
     model = Model(
-        folder, words, Table(bits, {}), Table(bits, {}), seen["total"], 0, (0, 0, 0), (0, 0, 0), 1.0
+        folder, words, Table(bits, {}), Table(bits, {}), seen["total"], 0, 0, (0, 0, 0), (0, 0, 0), 1.0
     )
+    model.texts = int(words.find(np.array([END], dtype=np.uint64).view(np.int64), "n")[0])
     rows = texts.mapInArrow(_count_pairs(model), "key bigint, n bigint")
     model.pairs, seen = _write_table(rows, folder, "pairs", bits, {"key": "<i8", "n": "<u4"}, "n")
     model.pair_discounts = discounts(seen)
@@ -400,10 +410,10 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> Mod
     tasks = max(1, -(-model.pairs.rows // PAIRS_PER_TASK), spark.sparkContext.defaultParallelism)
     shards = spark.createDataFrame([(s,) for s in sorted(model.pairs.files)], "shard bigint")
     rows = shards.repartition(tasks, "shard").mapInArrow(
-        _neighbours(model.pairs), "key bigint, n bigint, n1 bigint, n2 bigint, n3 bigint, left bigint"
+        _neighbours(model.pairs), "key bigint, low bigint, high bigint"
     )
-    columns = {"key": "<i8", "n": "<i8", "n1": "<i8", "n2": "<i8", "n3": "<i8", "left": "<i8"}
-    model.ids, seen = _write_table(rows, folder, "ids", id_bits, columns, "left")
+    columns = {"key": "<i8", "low": "<i8", "high": "<i8"}
+    model.ids, seen = _write_table(rows, folder, "ids", id_bits, columns, "high")
     model.word_discounts = discounts(seen)
     # What the discounts take from all words: each word is one of n1, n2 or more.
     d1, d2, d3 = model.word_discounts
@@ -432,7 +442,9 @@ def score(docs: DataFrame, model: Model, keys: list[str], text: str = "text") ->
             for low, high, data, offsets in text_slices(batch.column(len(keys))):
                 tokens, places = tokens_of(*word_hashes(data, offsets))
                 ids, counts = model.word_ids(tokens)
-                tops = model.token_scores(_before(ids, places, model.words.rows), ids)
+                # A word begins as many pairs as it has tokens, the start one per text.
+                before = _before(ids, places, model.words.rows)
+                tops = model.token_scores(before, _before(counts, places, model.texts), ids)
                 base = np.log10((counts + 1) / (model.tokens + model.words.rows + 1))
                 part, first = batch.slice(low, high - low), places[:-1]
                 yield pa.RecordBatch.from_arrays(
