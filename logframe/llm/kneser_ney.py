@@ -31,7 +31,10 @@ GATHER = pow(SPREAD, -1, 1 << 64)
 PAIRS_PER_TASK = 4_000_000
 
 # Tokens whose pairs are counted together before the shuffle.
-COUNTED_TOKENS = 3_000_000
+COUNTED_TOKENS = 2_500_000
+
+# Rows of a batch that goes back to Spark, which holds it whole beside its heap.
+BATCH_ROWS = 100_000
 
 
 @dataclass
@@ -292,9 +295,15 @@ def _before(ids: np.ndarray, places: np.ndarray, start: int) -> np.ndarray:
     return before
 
 
-def _counted(keys: list[np.ndarray]) -> pa.RecordBatch:
-    key, n = np.unique(np.concatenate(keys), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], ["key", "n"])
+def _batches(names: list[str], columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for low in range(0, len(columns[0]), BATCH_ROWS):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[low : low + BATCH_ROWS], pa.int64()) for c in columns], names
+        )
+
+
+def _counted(keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    return _batches(["key", "n"], list(np.unique(np.concatenate(keys), return_counts=True)))
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +313,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, _, data, offsets in text_slices(batch.column("text"))
         ]
         if keys:
-            yield _counted(keys)
+            yield from _counted(keys)
 
 
 def _count_pairs(model: Model):
@@ -316,10 +325,10 @@ def _count_pairs(model: Model):
                 ids, _ = model.word_ids(tokens)
                 keys.append(pair_keys(_before(ids, places, model.words.rows), ids))
                 if sum(map(len, keys)) >= COUNTED_TOKENS:
-                    yield _counted(keys)
+                    yield from _counted(keys)
                     keys = []
         if keys:
-            yield _counted(keys)
+            yield from _counted(keys)
 
     return count_pairs
 
@@ -335,12 +344,16 @@ def _neighbours(pairs: Table):
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
-        def counted() -> pa.RecordBatch:
-            joined = np.concatenate([k for k, _ in held]).view(np.uint64) * np.uint64(GATHER)
-            # The first word and, in the lowest bits, 0 for a count of 1, 1 for 2, 2 for more.
-            kind = np.minimum(np.concatenate([c for _, c in held]), 3).astype(np.uint64) - np.uint64(1)
-            first, times = np.unique(((joined >> np.uint64(32)) << np.uint64(2)) | kind, return_counts=True)
+        def counted() -> Iterator[pa.RecordBatch]:
+            joined = np.concatenate([k for k, _ in held]).view(np.uint64)
+            joined *= np.uint64(GATHER)
             second, ends = np.unique(joined.astype(np.uint32), return_counts=True)
+            # The first word and, in the lowest bits, 0 for a count of 1, 1 for 2, 2 for more.
+            joined >>= np.uint64(32)
+            joined <<= np.uint64(2)
+            joined |= np.minimum(np.concatenate([c for _, c in held]), 3).astype(np.uint8) - np.uint8(1)
+            first, times = np.unique(joined, return_counts=True)
+            del joined
             begins, kind = (first >> np.uint64(2)).astype(np.int64), first & np.uint64(3)
             ids = np.union1d(begins, second.astype(np.int64))
             low, high = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
@@ -349,8 +362,7 @@ def _neighbours(pairs: Table):
                 own = kind == value
                 out[at[own]] += times[own] << shift
             high[np.searchsorted(ids, second)] += ends
-            columns = [ids << np.int64(64 - ID_BITS), low, high]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "low", "high"])
+            return _batches(["key", "low", "high"], [ids << np.int64(64 - ID_BITS), low, high])
 
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
@@ -360,10 +372,10 @@ def _neighbours(pairs: Table):
                     held.append((pairs.column(shard, "key")[part], pairs.column(shard, "n")[part]))
                     size += part.stop - low
                     if size >= PAIRS_PER_TASK:
-                        yield counted()
+                        yield from counted()
                         held, size = [], 0
         if held:
-            yield counted()
+            yield from counted()
 
     return neighbours
 
