@@ -17,7 +17,7 @@ MOST_BLOCKS = 1 << 21
 
 
 def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> np.ndarray:
-    """A blocked Bloom filter of 64-bit keys: blocks of eight words.
+    """A blocked Bloom filter of 64-bit keys, which are hashes: blocks of eight words.
 
     About 16 bits a key; the words of a block are joined in the shuffle, so the
     driver gets one row per block in use and never the keys.
@@ -37,28 +37,35 @@ def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> np.ndarray:
 
 
 def _places(key: Column, blocks: int) -> tuple[Column, list[Column]]:
-    """A key's block, from its low bits, and its bit in each word, six bits of a second hash."""
-    second = F.xxhash64(key)
-    return key.bitwiseAND(F.lit(blocks - 1)).cast("int"), [_bit(second, i) for i in range(WORDS)]
+    """A key's block, from its low bits, and its bit in each word, six of its upper 48 bits."""
+    block = key.bitwiseAND(F.lit(blocks - 1)).cast("int")
+    return block, [_bit(key, i) for i in range(WORDS)]
 
 
-def _bit(second: Column, i: int) -> Column:
-    place = F.shiftrightunsigned(second, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+def _bit(key: Column, i: int) -> Column:
+    place = F.shiftrightunsigned(key, 16 + 6 * i).bitwiseAND(F.lit(63)).cast("int")
     return F.call_function("shiftleft", F.lit(1).cast("long"), place)
 
 
+def possible(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether keys may be in the filter: never false for one that is."""
+    found = np.ones(len(keys), dtype=bool)
+    block = keys & np.uint64(len(table) - 1)
+    for i in range(WORDS):
+        place = (keys >> np.uint64(16 + 6 * i)) & np.uint64(63)
+        found &= (table[block, i] >> place) & np.uint64(1) == 1
+    return found
+
+
 def tester(spark: SparkSession, blocks: np.ndarray, key: Column) -> Column:
-    """Whether a key may be in the filter: never false for one that is."""
+    """``possible`` as a condition on a long column."""
     held = spark.sparkContext.broadcast(blocks)
 
     @F.pandas_udf(T.BooleanType())
-    def possible(key: pd.Series, *bits: pd.Series) -> pd.Series:
-        table = held.value
-        found = table[key.to_numpy().view(np.uint64) & np.uint64(len(table) - 1)]
-        wanted = np.stack([b.to_numpy().view(np.uint64) for b in bits], axis=1)
-        return pd.Series(((found & wanted) == wanted).all(axis=1))
+    def test(key: pd.Series) -> pd.Series:
+        return pd.Series(possible(held.value, key.to_numpy().view(np.uint64)))
 
-    return possible(key, *_places(key, len(blocks))[1])
+    return test(key)
 
 
 def may_hold(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:

@@ -38,6 +38,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows kept as compressed Parquet in the checkpoint folder, for those with texts in them."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened where the frame has a column called so."""
     taken = {name.lower() for name in df.columns}
