@@ -21,9 +21,9 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-# Bytes read at once, and the longest record head that a candidate may have.
+# Bytes read at once, and those of a candidate that are decoded at once.
 CHUNK = 1 << 20
-HEAD_BYTES = 1 << 16
+PROBE = 1 << 10
 
 RECORDS = (
     "file string, offset bigint, record_type string, record_id string, refers_to string, "
@@ -140,7 +140,7 @@ def read_warc(
 
     Files are cut into ranges of ``split_bytes``, a task each, wherever that
     falls. A task looks for gzip magic in its range, takes a candidate for a
-    record if its first bytes decode to a WARC head, and owns the records that
+    record if it decodes to a WARC version at first, and owns the records that
     start in its range; the last may end beyond. After a record it goes on
     where the member ended, so bytes inside compressed data are looked at only
     before a range's first record. A member that holds a stored, uncompressed
@@ -148,8 +148,9 @@ def read_warc(
 
     ``payload_bytes`` and ``payload_digest`` are of the full payload, for
     revisits as their heads say; ``intact`` is whether a stored payload has the
-    digest and the length that its head says. Records that end early are
-    errors. No files, no rows.
+    digest and the length that its head says. Heads may have any length.
+    Records that end early, or have no whole head with a type, are errors. No
+    files, no rows.
     """
     ranges = spark.createDataFrame(files, "file string, size bigint").select(
         "file",
@@ -218,20 +219,28 @@ def records_in(file: str, size: int, start: int, end: int) -> Iterator[dict]:
                 at += max(1, len(seen) - len(MAGIC) + 1)
                 continue
             at += found
-            if not _starts_record(window.bytes_from(at, HEAD_BYTES)):
+            if not _starts_record(window, at):
                 at += 1
                 continue
             record, after = _whole(window, at)
-            yield {"file": file, "offset": at, **_parsed(record)}
+            parsed = _parsed(record)
+            if b"\r\n\r\n" not in record or parsed["record_type"] is None:
+                raise ValueError(f"a record without a whole head at byte {at}")
+            yield {"file": file, "offset": at, **parsed}
             at = after
 
 
-def _starts_record(seen: bytes) -> bool:
+def _starts_record(window: Window, at: int) -> bool:
+    """Whether a gzip member starts here that decodes to a WARC version at first."""
+    unpack, head = zlib.decompressobj(31), b""
     try:
-        head = zlib.decompressobj(31).decompress(seen[:HEAD_BYTES], HEAD_BYTES)
+        while len(head) < len(VERSION) and not unpack.eof and (seen := window.bytes_from(at, 1)):
+            part = seen[:PROBE]  # what decoding leaves is copied, so not the whole window
+            head += unpack.decompress(part, len(VERSION) - len(head))
+            at += len(part)
     except zlib.error:
         return False
-    return head.startswith(VERSION) and b"\r\n\r\n" in head and b"WARC-Type:" in head
+    return head == VERSION
 
 
 def _whole(window: Window, at: int) -> tuple[bytes, int]:

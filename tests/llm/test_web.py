@@ -63,6 +63,26 @@ def test_warc_round_trip(spark, tmp_path, split, least):
     assert len({(r.file, r.offset) for r in rows}) == len(PAGES)
 
 
+@pytest.mark.parametrize("split", [1 << 25, 5000])
+def test_long_heads(spark, tmp_path, split):
+    rng = random.Random(3)
+    urls = ["http://h/" + "".join(rng.choices("abcdefghij", k=150_000)), " " * 40_000, "u" * 2_500_000, "u"]
+    rows = [(i, url, f"page {i}") for i, url in enumerate(urls)] + [(9, urls[0], "page 0")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)
+    files = warc.write_warc(pages, f"{tmp_path}/w")
+    found = {(r.record_id, r.url, r.record_type, r.intact) for r in warc.read_warc(spark, files, split).collect()}
+    assert found == {
+        (f"<urn:page:{i}>", url.replace(" ", "%20"), "revisit" if i == 0 else "response", True) for i, url, _ in rows
+    }
+
+
+def test_record_without_head(tmp_path):
+    data = warc._member(b"WARC/1.1\r\nWARC-Type: response\r\n" + b"x" * 99)
+    (tmp_path / "bad.warc.gz").write_bytes(data)
+    with pytest.raises(ValueError):
+        list(warc.records_in(str(tmp_path / "bad.warc.gz"), len(data), 0, 10))
+
+
 def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     files = warc.write_warc(pages, str(tmp_path / "none"))
