@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from logframe.llm.words import mix, text_slices, word_hashes
 # Words that are convolved at once.
 BLOCK_WORDS = 1 << 15
 
+# Answers are binned for calibrating: bins in 1, and the greatest answer told apart.
+BINS = 1024
+FURTHEST = 60
+
 # Lengths in bytes of the beginnings of words that have embeddings of their own.
 PREFIXES = (4, 6)
 
@@ -33,12 +38,10 @@ class Settings:
     seed: int = 7
     # Words and beginnings of words of fewer sampled texts have the embedding 0.
     least_texts: int = 3
-    # Labelled rows taken at most: for fitting and for calibrating, of each class.
+    # Labelled rows taken at most for fitting, of each class.
     fit_toxic: int = 1500
     fit_clean: int = 2500
-    check_toxic: int = 800
-    check_clean: int = 1600
-    # Longer texts are left out of the sample, never out of scoring.
+    # Longer texts are left out of the sample, never out of calibrating and scoring.
     sample_words: int = 3000
     # A language with fewer toxic rows to calibrate on has the common threshold.
     language_rows: int = 20
@@ -110,9 +113,14 @@ class Network:
             best[own[starts]] = np.maximum(best[own[starts]], top)
         return best
 
+    def raw(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return (self.greatest(hashes, places) @ self.out + self.bias).astype(np.float64)
+
     def scores(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-        raw = self.greatest(hashes, places) @ self.out + self.bias
-        return 1 / (1 + np.exp(-np.clip(self.slope * raw.astype(np.float64) + self.shift, -60, 60)))
+        return self.scaled(self.raw(hashes, places))
+
+    def scaled(self, raw: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.shift, -60, 60)))
 
 
 def _tag(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -200,7 +208,7 @@ def fit(network: Network, texts: list[np.ndarray], toxic: np.ndarray, weight: np
 
 def calibrate(network: Network, raw: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> None:
     """Slope and shift that fit scores to the labels, by Newton steps on smoothed targets."""
-    n1, n0 = toxic.sum(), (1 - toxic).sum()
+    n1, n0 = (weight * toxic).sum(), (weight * (1 - toxic)).sum()
     if not n1 or not n0:
         return
     target = np.where(toxic == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
@@ -223,6 +231,7 @@ def best_threshold(scores: np.ndarray, toxic: np.ndarray, weight: np.ndarray) ->
     scores, toxic, weight = scores[order], toxic[order], weight[order]
     right = np.cumsum(weight * toxic)
     f1 = 2 * right / (np.cumsum(weight) + (weight * toxic).sum())
+    f1[:-1][scores[:-1] == scores[1:]] = -1  # equal scores are on one side
     best = int(np.argmax(f1))
     below = scores[best + 1] if best + 1 < len(scores) else 0.0
     return float((scores[best] + below) / 2)
@@ -239,89 +248,115 @@ def train(
     label: str = "toxic",
     settings: Settings | None = None,
 ) -> Network:
-    """A network fitted to a bounded sample of labelled documents.
+    """A network fitted to a bounded sample of labelled documents, calibrated on all of a part.
 
     ``learn`` and ``check`` are conditions on the column ``doc_id`` of the labels: which rows may
-    be used at all, and which of them calibrate instead of fit. The sample is
-    the rows with the least hashes of their id, ``settings`` bounds it; other
-    classes' rows are weighed by how many of theirs each stands for. Only their
-    words' hashes reach the driver. Labels other than 0 and 1, NULL ids and
-    labels without a document are ignored; of repeated labels 1 wins. Without
-    a row of each class every score is about 0.5.
+    be used at all, and which of them calibrate instead of fit. The sample for
+    fitting is the rows with the least hashes of their id, ``settings`` bounds it.
+    Only their words' hashes reach the driver. Labels other than 0 and 1, NULL ids and labels without a
+    document are ignored; of repeated labels 1 wins. Without a row of each
+    class to fit every score is about 0.5.
+
+    All labelled documents that calibrate count, of any length and language:
+    slope, centre and thresholds come from how many there are of each language,
+    class and bin of the answer, 1 / ``BINS`` wide. They are scored where they are
+    read; ids, languages and bins are joined with labels, texts are not.
 
     A language is never an input of a score; it has a threshold of its own.
     """
     s = settings or Settings()
+    learn = F.lit(True) if learn is None else learn
+    check = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0 if check is None else check
     known = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("toxic"))
         .filter("doc_id is not null and toxic in (0, 1)")
-        .filter(F.lit(True) if learn is None else learn)
+        .filter(learn)
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .withColumn("check", F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0 if check is None else check)
     )
-    totals = {(r["check"], r["toxic"]): r["count"] for r in known.groupBy("check", "toxic").count().collect()}
-    bounds = {
-        (False, 1): s.fit_toxic,
-        (False, 0): s.fit_clean,
-        (True, 1): s.check_toxic,
-        (True, 0): s.check_clean,
-    }
     picked = None
-    for (use, kind), most in bounds.items():
+    for kind, most in ((1, s.fit_toxic), (0, s.fit_clean)):
         part = (
-            known.filter((F.col("check") == use) & (F.col("toxic") == kind))
+            known.filter(~check & (F.col("toxic") == kind))
             .orderBy(F.xxhash64("doc_id"), "doc_id")
             .limit(most)
         )
         picked = part if picked is None else picked.unionByName(part)
     lang_column = F.coalesce(F.col(lang), F.lit("")) if lang in docs.columns else F.lit("")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), lang_column.alias("lang"))
     sample = (
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), lang_column.alias("lang"))
-        .join(F.broadcast(picked), "doc_id")  # at most as many ids as the bounds
-        .select("check", "toxic", "lang", "text")
-        .mapInArrow(_hashed(s.sample_words), "check boolean, toxic int, lang string, words array<int>")
+        rows.join(F.broadcast(picked), "doc_id")  # at most as many ids as the bounds
+        .select("toxic", F.xxhash64("doc_id").alias("place"), "text")
+        .mapInArrow(_hashed(s.sample_words), "toxic int, place bigint, words array<int>")
         .toArrow()
     )
+    sample = sample.sort_by("place")
     network = Network.new(s)
     lists = sample.column("words").combine_chunks()
     flat = lists.flatten().to_numpy().view(np.uint32).reshape(-1, 1 + len(PREFIXES))
     sizes = lists.value_lengths().to_numpy() // (1 + len(PREFIXES))
     words = np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
     toxic = sample.column("toxic").to_numpy().astype(np.float64)
-    use = sample.column("check").to_numpy().astype(bool)
-    if len(toxic) == 0 or len(set(toxic[~use])) < 2:
+    if len(set(toxic)) < 2:
         network.out[:] = 0
         return network
-    n1, n0 = toxic[~use].sum(), (1 - toxic[~use]).sum()
+    n1, n0 = toxic.sum(), (1 - toxic).sum()
     fair = np.where(toxic == 1, max(1.0, 0.5 * n0 / n1), 1.0)
-    at = np.flatnonzero(~use)
-    fit(network, [words[i] for i in at], toxic[at], fair[at], s)
-
-    at = np.flatnonzero(use)
-    if len(at):
-        places = np.concatenate([[0], np.cumsum([len(words[i]) for i in at])])
-        raw = network.greatest(np.concatenate([words[i] for i in at]), places) @ network.out + network.bias
-        held, stands = toxic[at], np.ones(len(at))
-        for kind in (0, 1):
-            own = held == kind
-            if own.any():
-                stands[own] = totals.get((True, kind), own.sum()) / own.sum()
-        calibrate(network, raw.astype(np.float64), held, stands)
+    fit(network, words, toxic, fair, s)
+
+    all_rows, own_rows = _binned(rows.filter(learn & check), known.filter(check), network, s.language_rows)
+    raw, held, count = all_rows
+    if len(raw):
+        calibrate(network, raw, held, count)
         if 0 < held.sum() < len(held):
             # Scores of one half are where the two classes are told apart best.
-            scores = network.scores(np.concatenate([words[i] for i in at]), places)
-            cut = min(max(best_threshold(scores, held, stands), 0.02), 0.98)
+            cut = min(max(best_threshold(network.scaled(raw), held, count), 0.02), 0.98)
             network.shift -= float(np.log(cut / (1 - cut)))
-        scores = network.scores(np.concatenate([words[i] for i in at]), places)
-        langs = np.array(sample.column("lang").to_pylist())[at]
-        for name in sorted(set(langs.tolist())):
-            own = langs == name
-            if held[own].sum() >= s.language_rows and (1 - held[own]).sum() >= s.language_rows:
-                network.thresholds[name] = best_threshold(scores[own], held[own], stands[own])
+    for name, (raw, held, count) in sorted(own_rows.items()):
+        network.thresholds[name] = best_threshold(network.scaled(raw), held, count)
     return network
 
 
+Bins = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _binned(rows: DataFrame, known: DataFrame, network: Network, least: int) -> tuple[Bins, dict[str, Bins]]:
+    """Answers, classes and how many labelled rows have them: of all, and of each language with
+    ``least`` rows of each class."""
+    held = rows.sparkSession.sparkContext.broadcast(network)
+
+    @F.arrow_udf("bigint")
+    def bin_of(column: pa.Array) -> pa.Array:
+        parts = [held.value.raw(*features(data, offsets)) for _, _, data, offsets in text_slices(column)]
+        raw = np.concatenate(parts) if parts else np.zeros(0)
+        return pa.array(np.rint(np.clip(raw, -FURTHEST, FURTHEST) * BINS).astype(np.int64))
+
+    # Counted before the join, so that an id on many rows is a row for each language and bin.
+    bins = (
+        rows.select("doc_id", "lang", bin_of("text").alias("bin"))
+        .groupBy("doc_id", "lang", "bin")
+        .count()
+        .join(known, "doc_id")
+        .groupBy("lang", "toxic", "bin")
+        .agg(F.sum("count").alias("n"))
+    )
+    found = bins.select("lang", F.col("toxic").cast("int"), "bin", "n").toArrow()
+    held.destroy()
+    whole = found.group_by(["toxic", "bin"]).aggregate([("n", "sum")]).rename_columns(["toxic", "bin", "n"])
+    languages = {}
+    for name in found.column("lang").unique().to_pylist():
+        own = _arrays(found.filter(pc.equal(found.column("lang"), name)))
+        if min((own[1] * own[2]).sum(), ((1 - own[1]) * own[2]).sum()) >= least:
+            languages[name] = own
+    return _arrays(whole), languages
+
+
+def _arrays(found: pa.Table) -> Bins:
+    found = found.sort_by([("toxic", "ascending"), ("bin", "ascending")])
+    columns = [found.column(c).to_numpy().astype(np.float64) for c in ("bin", "toxic", "n")]
+    return columns[0] / BINS, columns[1], columns[2]
+
+
 def _hashed(most: int):
     def hashed(batches):
         for batch in batches:
@@ -330,15 +365,14 @@ def _hashed(most: int):
                 part = batch.slice(low, high - low)
                 stays = np.flatnonzero(np.diff(places) <= most)
                 words = [hashes[places[i] : places[i + 1]].ravel().view(np.int32) for i in stays]
-                kept = part.take(pa.array(stays))
+                kept = part.take(pa.array(stays, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        kept.column("check"),
                         kept.column("toxic").cast(pa.int32()),
-                        kept.column("lang"),
+                        kept.column("place"),
                         pa.array(words, pa.list_(pa.int32())),
                     ],
-                    ["check", "toxic", "lang", "words"],
+                    ["toxic", "place", "words"],
                 )
 
     return hashed

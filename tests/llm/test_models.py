@@ -141,6 +141,31 @@ def test_toxicity(spark):
     assert {r.threshold for r in found.values() if r.lang is None} == {0.5}
 
 
+def test_all_labelled_rows_calibrate(spark, monkeypatch):
+    rows, labels = toxic_table(1500)
+    # A language with 1 in 50 of the rows, and one whose texts are all long.
+    rows = [(i, text, "rare" if i % 50 == 0 else "long" if i % 8 == 2 else "en") for i, text, _ in rows]
+    rows = [(i, text + " w" * 4000 * (lang == "long"), lang) for i, text, lang in rows]
+    labels = [(i, int(i % 100 == 0) if i % 50 == 0 else toxic) for i, toxic in labels]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    from pyspark.sql import functions as F
+
+    seen = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda network, raw, toxic, weight: seen.append((toxic, weight)))
+    settings = toxicity.Settings(language_rows=15, fit_toxic=60, fit_clean=100, epochs=1)
+    network = toxicity.train(docs, known, check=F.col("doc_id") % 4 < 3, settings=settings)
+    ((toxic, weight),) = seen
+    counted = [i for i, _ in labels if i % 4 < 3]
+    assert weight.sum() == len(counted) and (toxic * weight).sum() == sum(dict(labels)[i] for i in counted)
+    assert network.thresholds.keys() == {"en", "long", "rare"}
+
+
+def test_best_threshold_keeps_equal_scores_together():
+    scores = np.array([0.9, 0.5, 0.5, 0.1])
+    assert toxicity.best_threshold(scores, np.array([1.0, 1, 0, 0]), np.array([5.0, 1, 100, 1])) == pytest.approx(0.7)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en")], "doc_id bigint, text string, lang string")
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
