@@ -252,8 +252,9 @@ def train(
 
     ``learn`` and ``check`` are conditions on the column ``doc_id`` of the labels: which rows may
     be used at all, and which of them calibrate instead of fit. The sample for
-    fitting is the rows with the least hashes of their id, ``settings`` bounds it.
-    Only their words' hashes reach the driver. Labels other than 0 and 1, NULL ids and labels without a
+    fitting is the rows with the least hashes of their id, ``settings`` bounds it;
+    of documents that repeat an id it has one. Only their words' hashes reach
+    the driver. Labels other than 0 and 1, NULL ids and labels without a
     document are ignored; of repeated labels 1 wins. Without a row of each
     class to fit every score is about 0.5.
 
@@ -286,7 +287,9 @@ def train(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), lang_column.alias("lang"))
     sample = (
         rows.join(F.broadcast(picked), "doc_id")  # at most as many ids as the bounds
-        .select("toxic", F.xxhash64("doc_id").alias("place"), "text")
+        .groupBy("doc_id", "toxic")
+        .agg(F.max(F.struct(F.xxhash64("text"), "text")).alias("row"))
+        .select("toxic", F.xxhash64("doc_id").alias("place"), "row.text")
         .mapInArrow(_hashed(s.sample_words), "toxic int, place bigint, words array<int>")
         .toArrow()
     )

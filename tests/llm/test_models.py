@@ -161,6 +161,18 @@ def test_all_labelled_rows_calibrate(spark, monkeypatch):
     assert network.thresholds.keys() == {"en", "long", "rare"}
 
 
+def test_a_repeated_id_is_one_text_of_the_sample(spark, monkeypatch):
+    rows = [(i, f"word{i} and more", "en") for i in range(40)] + [(1, f"copy {i}", "en") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    from pyspark.sql import functions as F
+
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda network, texts, *rest: sizes.append(len(texts)))
+    toxicity.train(docs, labels, check=F.col("doc_id") >= 30)
+    assert sizes == [30]
+
+
 def test_best_threshold_keeps_equal_scores_together():
     scores = np.array([0.9, 0.5, 0.5, 0.1])
     assert toxicity.best_threshold(scores, np.array([1.0, 1, 0, 0]), np.array([5.0, 1, 100, 1])) == pytest.approx(0.7)
