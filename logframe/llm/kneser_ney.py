@@ -1,4 +1,4 @@
-"""A modified Kneser-Ney model of word pairs, counted by Spark, kept in sorted arrays on disk."""
+"""A modified Kneser-Ney model of runs of words, counted by Spark, kept in sorted arrays on disk."""
 
 from __future__ import annotations
 
@@ -91,6 +91,16 @@ class Table:
                 out[part] = np.where(found, value, out[part])
         return out
 
+    def keys_at(self, rows: np.ndarray) -> np.ndarray:
+        """The keys of rows in ascending order."""
+        shards = sorted(self.files)
+        edges = np.searchsorted(rows, [*[self.starts[x] for x in shards], self.rows])
+        out = np.zeros(len(rows), dtype=np.int64)
+        for shard, low, high in zip(shards, edges[:-1], edges[1:]):
+            if high > low:
+                out[low:high] = self.column(shard, "key")[rows[low:high] - self.starts[shard]]
+        return out
+
 
 def local(path: str) -> str:
     """A file's path for mapping into memory: itself if it is in a mounted file system, else a copy.
@@ -213,54 +223,93 @@ def discounts(census: dict[str, int]) -> tuple[float, float, float]:
 
 @dataclass
 class Model:
-    """Words (hash, count), pairs (count), and per word its followers and forerunners."""
+    """Runs of 1, 2, ... words with their counts, and per run but the longest its followers and forerunners.
+
+    A run's key is the row of the run before its last word, and that word's
+    row. The row after a table's last is for a run of starts alone.
+    """
 
     folder: str
-    words: Table
-    pairs: Table
-    ids: Table
+    tables: list[Table]
     tokens: int
-    texts: int
-    kinds_of_pairs: int
-    pair_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
-    base_weight: float
+    texts: int = 0
+    # Of the runs of each length: followers once, twice and more often, forerunners; for shorter
+    # runs also all their followers' counts.
+    ids: list[Table] = field(default_factory=list)
+    discounts: list[tuple[float, float, float]] = field(default_factory=list)
+    base_weight: float = 1.0
+
+    @property
+    def words(self) -> Table:
+        return self.tables[0]
 
     def word_ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of words."""
         distinct, back = np.unique(hashes.view(np.int64), return_inverse=True)
         return self.words.find(distinct)[back], self.words.find(distinct, "n")[back]
 
-    def of_ids(self, ids: np.ndarray, *names: str) -> list[np.ndarray]:
-        """Columns for ids, 0 for -1."""
+    def found(self, level: int, before: np.ndarray, ids: np.ndarray, name: str | None = None) -> np.ndarray:
+        """Rows (-1: unknown) or counts of runs."""
+        known = (before >= 0) & (ids >= 0)
+        distinct, back = np.unique(np.where(known, pair_keys(before, ids), 0), return_inverse=True)
+        return np.where(known, self.tables[level].find(distinct, name)[back], -1 if name is None else 0)
+
+    def of_ids(self, level: int, ids: np.ndarray, *names: str) -> list[np.ndarray]:
+        """Columns for rows of runs, 0 for -1."""
         distinct, back = np.unique(ids, return_inverse=True)
         keys = distinct << np.int64(64 - ID_BITS)
         out = []
         for name in names:
-            value = self.ids.find(keys, name)
+            value = self.ids[level].find(keys, name)
             value[distinct < 0] = 0
             out.append(value[back])
         return out
 
-    def token_scores(self, before: np.ndarray, total: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log10 P(word | word before) for ids; -1 is any unknown word. ``total``: pairs that begin so."""
-        forerunners = self.of_ids(ids, "high")[0] & 0xFFFFFFFF
+    def words_before(self, ids: np.ndarray, places: np.ndarray, level: int) -> np.ndarray:
+        """The rows of the runs of ``level`` words before each token."""
+        before = _before(ids, places, self.words.rows)
+        for i in range(1, level):
+            before = _before(self.found(i, before, ids), places, self.tables[i].rows)
+        return before
+
+    def without_first(self, level: int, rows: np.ndarray) -> np.ndarray:
+        """The rows of runs without their first word."""
+        distinct, back = np.unique(rows, return_inverse=True)
+        before, ids = parts_of(self.tables[level].keys_at(distinct))
+        out = ids if level == 1 else self.found(level - 1, self.rest_of(level - 1, before), ids)
+        return out[back]
+
+    def rest_of(self, level: int, rows: np.ndarray) -> np.ndarray:
+        """As ``without_first``, also for the run of starts."""
+        starts = rows == self.tables[level].rows
+        inner = self.without_first(level, np.where(starts, 0, rows))
+        return np.where(starts, self.tables[level - 1].rows, inner)
+
+    def token_scores(self, ids: np.ndarray, counts: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """log10 P(word | words before) for the ids of texts' words; -1 is any unknown word."""
         uniform = 1 / (self.words.rows + 1)
-        if self.kinds_of_pairs:
-            low = taken(forerunners, self.word_discounts) / self.kinds_of_pairs
-            low = low + self.base_weight * uniform
-        else:
-            low = np.full(len(ids), uniform)
-        low_half, high_half = self.of_ids(before, "low", "high")
-        n1, n2, n3 = low_half >> 32, low_half & 0xFFFFFFFF, high_half >> 32
-        known = (before >= 0) & (ids >= 0)
-        keys = np.where(known, pair_keys(before, ids), 0)
-        distinct, back = np.unique(keys, return_inverse=True)
-        count = np.where(known, self.pairs.find(distinct, "n")[back], 0)
-        d1, d2, d3 = self.pair_discounts
-        rest = np.where(total > 0, (d1 * n1 + d2 * n2 + d3 * n3) / np.maximum(total, 1), 1.0)
-        own = np.where(total > 0, taken(count, self.pair_discounts) / np.maximum(total, 1), 0.0)
-        return np.log10(own + rest * low)
+        if not self.ids:
+            return np.log10(np.full(len(ids), uniform))
+        forerunners = self.of_ids(0, ids, "high")[0] & 0xFFFFFFFF
+        low = taken(forerunners, self.discounts[0]) / self.tables[1].rows + self.base_weight * uniform
+        # A run begins as many longer ones as it is there for, that of starts one per text.
+        before, total = _before(ids, places, self.words.rows), _before(counts, places, self.texts)
+        for level in range(1, len(self.tables)):
+            low_half, high_half = self.of_ids(level - 1, before, "low", "high")
+            n1, n2, n3 = low_half >> 32, low_half & 0xFFFFFFFF, high_half >> 32
+            count = number = self.found(level, before, ids, "n")
+            row = None
+            if level < len(self.tables) - 1:
+                row = self.found(level, before, ids)
+                count = self.of_ids(level, row, "high")[0] & 0xFFFFFFFF
+                total = self.of_ids(level - 1, before, "total")[0]
+            d1, d2, d3 = self.discounts[level]
+            rest = np.where(total > 0, (d1 * n1 + d2 * n2 + d3 * n3) / np.maximum(total, 1), 1.0)
+            own = np.where(total > 0, taken(count, self.discounts[level]) / np.maximum(total, 1), 0.0)
+            low = own + rest * low
+            if row is not None:
+                before, total = _before(row, places, self.tables[level].rows), _before(number, places, self.texts)
+        return np.log10(low)
 
 
 # Ids stand in the upper bits of their table's keys, so that they are dealt in ranges.
@@ -277,6 +326,12 @@ def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (joined * np.uint64(SPREAD)).view(np.int64)
 
 
+def parts_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``pair_keys`` joined."""
+    joined = keys.view(np.uint64) * np.uint64(GATHER)
+    return (joined >> np.uint64(32)).astype(np.int64), (joined & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def tokens_of(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts' words, each text followed by END, and each text's offset."""
     ends = places[1:] + np.arange(len(places) - 1)
@@ -316,60 +371,69 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _counted(keys)
 
 
-def _count_pairs(model: Model):
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_runs(model: Model, level: int):
+    def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column("text")):
                 tokens, places = tokens_of(*word_hashes(data, offsets))
                 ids, _ = model.word_ids(tokens)
-                keys.append(pair_keys(_before(ids, places, model.words.rows), ids))
+                keys.append(pair_keys(model.words_before(ids, places, level), ids))
                 if sum(map(len, keys)) >= COUNTED_TOKENS:
                     yield from _counted(keys)
                     keys = []
         if keys:
             yield from _counted(keys)
 
-    return count_pairs
+    return count_runs
 
 
-def _neighbours(pairs: Table):
-    """Per word, from a part of the pairs: pairs it begins, by count, and pairs that it ends.
+def _neighbours(model: Model, level: int):
+    """Per run, from a part of the runs of a word more: those it begins, by count, and those that it ends.
 
     Of the four numbers two share a long each, which may be added as they are:
-    none reaches 2**32, the number of words.
+    none reaches 2**32, the most runs. Where the longer runs are not the
+    longest, their counts are those of their forerunners, and are added up too.
     """
+    table, top = model.tables[level + 1], level + 2 == len(model.tables)
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            joined = np.concatenate([k for k, _ in held]).view(np.uint64)
-            joined *= np.uint64(GATHER)
-            second, ends = np.unique(joined.astype(np.uint32), return_counts=True)
-            # The first word and, in the lowest bits, 0 for a count of 1, 1 for 2, 2 for more.
-            joined >>= np.uint64(32)
-            joined <<= np.uint64(2)
-            joined |= np.minimum(np.concatenate([c for _, c in held]), 3).astype(np.uint8) - np.uint8(1)
-            first, times = np.unique(joined, return_counts=True)
-            del joined
-            begins, kind = (first >> np.uint64(2)).astype(np.int64), first & np.uint64(3)
-            ids = np.union1d(begins, second.astype(np.int64))
+            begin, second = parts_of(np.concatenate([k for k, _ in held]))
+            counts = np.concatenate([c for _, c in held]).astype(np.int64)
+            if level:
+                second = model.found(level, model.rest_of(level, begin), second)
+            second, ends = np.unique(second, return_counts=True)
+            # The first run and, in the lowest bits, 0 for a count of 1, 1 for 2, 2 for more.
+            first, times = np.unique((begin << 2) | (np.minimum(counts, 3) - 1), return_counts=True)
+            begins, kind = first >> 2, first & 3
+            ids = np.union1d(begins, second)
             low, high = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
             at = np.searchsorted(ids, begins)
             for value, out, shift in ((0, low, 32), (1, low, 0), (2, high, 32)):
                 own = kind == value
                 out[at[own]] += times[own] << shift
             high[np.searchsorted(ids, second)] += ends
-            return _batches(["key", "low", "high"], [ids << np.int64(64 - ID_BITS), low, high])
+            names, columns = ["key", "low", "high"], [ids << np.int64(64 - ID_BITS), low, high]
+            if not top:
+                total = np.bincount(np.searchsorted(ids, begin), weights=counts, minlength=len(ids))
+                names, columns = [*names, "total"], [*columns, total.astype(np.int64)]
+            return _batches(names, columns)
 
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
-                n = pairs.files[shard][1]
+                n = table.files[shard][1]
                 for low in range(0, n, PAIRS_PER_TASK):
                     part = slice(low, min(low + PAIRS_PER_TASK, n))
-                    held.append((pairs.column(shard, "key")[part], pairs.column(shard, "n")[part]))
+                    if top:
+                        counts = table.column(shard, "n")[part]
+                    else:
+                        rows = np.arange(part.start, part.stop) + table.starts[shard]
+                        counts = model.of_ids(level + 1, rows, "high")[0] & 0xFFFFFFFF
+                    held.append((table.column(shard, "key")[part], counts))
                     size += part.stop - low
                     if size >= PAIRS_PER_TASK:
                         yield from counted()
@@ -380,21 +444,25 @@ def _neighbours(pairs: Table):
     return neighbours
 
 
-def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> Model:
-    """Counts words and pairs of neighbouring words of all texts and writes the model's arrays.
+def train(docs: DataFrame, text: str = "text", folder: str | None = None, order: int = 2) -> Model:
+    """Counts runs of 1 to ``order`` neighbouring words of all texts and writes the model's arrays.
 
     A text's words are its runs without white space, A-Z lower-cased, and one
-    end; a pair is a word or the end with what stands before it, a start at
-    first. All counts cover all rows. Batches are counted before the shuffle,
-    so a word or pair that a third of all text is costs a row per batch.
-
-    Words are numbered by the order of their hashes (of 64 bits; at most 2**32
-    - 2 of them), a pair's key is made of its two numbers and is exact. Arrays
+    end; before the first stand ``order`` - 1 starts. All counts cover all rows.
+    Batches are counted before the shuffle, so a word or run that a third of all
+    text is costs a row per batch.
+
+    Words are numbered by the order of their hashes (of 64 bits); a longer run's
+    key is made of the number of the run before its last word and of that word's,
+    and is exact. There are at most 2**32 - 2 words, and runs of each length but
+    the longest. Arrays
     lie in ``folder`` (a new one in the checkpoint folder if None), which must
     be there as long as texts are scored and is the caller's to remove. The
     driver gets one row per file. NULL and empty texts are an end. No rows make
     a model without words, for which any token is as likely.
     """
+    if order < 2:
+        raise ValueError("order must be at least 2")
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "ngrams")
     texts = docs.select(F.col(text).alias("text"))
@@ -403,44 +471,51 @@ def train(docs: DataFrame, text: str = "text", folder: str | None = None) -> Mod
     counts = {"key": "<i8", "n": "<i8"}
     rows = texts.mapInArrow(_count_words, "key bigint, n bigint")
     words, seen = _write_table(rows, folder, "words", bits, counts, "n")
-    if words.rows > (1 << 32) - 2:
-        raise ValueError(f"{words.rows} different words are too many for numbers of 32 bits")
-    model = Model(
-        folder, words, Table(bits, {}), Table(bits, {}), seen["total"], 0, 0, (0, 0, 0), (0, 0, 0), 1.0
-    )
+    model = Model(folder, [words], seen["total"])
     model.texts = int(words.find(np.array([END], dtype=np.uint64).view(np.int64), "n")[0])
-    rows = texts.mapInArrow(_count_pairs(model), "key bigint, n bigint")
-    model.pairs, seen = _write_table(rows, folder, "pairs", bits, {"key": "<i8", "n": "<u4"}, "n")
-    model.pair_discounts = discounts(seen)
-    model.kinds_of_pairs = model.pairs.rows
-    if not model.pairs.rows:
-        return model
-
-    # Ids fill the lower of 2**33 numbers; so many bits of a key that their
-    # ranges are about as many as the other tables' shards.
-    id_bits = min(ID_BITS, ID_BITS - max(1, math.ceil(math.log2(words.rows + 1))) + bits)
-    tasks = max(1, -(-model.pairs.rows // PAIRS_PER_TASK), spark.sparkContext.defaultParallelism)
-    shards = spark.createDataFrame([(s,) for s in sorted(model.pairs.files)], "shard bigint")
-    rows = shards.repartition(tasks, "shard").mapInArrow(
-        _neighbours(model.pairs), "key bigint, low bigint, high bigint"
-    )
-    columns = {"key": "<i8", "low": "<i8", "high": "<i8"}
-    model.ids, seen = _write_table(rows, folder, "ids", id_bits, columns, "high")
-    model.word_discounts = discounts(seen)
+    for level in range(1, order):
+        if model.tables[-1].rows > (1 << 32) - 2:
+            raise ValueError(f"{model.tables[-1].rows} different runs are too many for numbers of 32 bits")
+        rows = texts.mapInArrow(_count_runs(model, level), "key bigint, n bigint")
+        name = "pairs" if level == 1 else f"runs{level + 1}"
+        table, seen = _write_table(rows, folder, name, bits, {"key": "<i8", "n": "<u4"}, "n")
+        if not table.rows:
+            return model
+        model.tables.append(table)
+
+    ids, found = [], [discounts(seen)]
+    for level in range(order - 2, -1, -1):
+        # Ids fill the lower of 2**33 numbers; so many bits of a key that their
+        # ranges are about as many as the other tables' shards.
+        table = model.tables[level + 1]
+        id_bits = min(ID_BITS, ID_BITS - max(1, math.ceil(math.log2(model.tables[level].rows + 1))) + bits)
+        tasks = max(1, -(-table.rows // PAIRS_PER_TASK), spark.sparkContext.defaultParallelism)
+        shards = spark.createDataFrame([(s,) for s in sorted(table.files)], "shard bigint")
+        columns = {"key": "<i8", "low": "<i8", "high": "<i8"}
+        if level < order - 2:
+            columns["total"] = "<i8"
+        model.ids = [Table(bits, {})] * (level + 1) + ids
+        rows = shards.repartition(tasks, "shard").mapInArrow(
+            _neighbours(model, level), ", ".join(f"{c} bigint" for c in columns)
+        )
+        own, seen = _write_table(rows, folder, f"ids{level + 1}", id_bits, columns, "high")
+        ids, found = [own, *ids], [discounts(seen), *found]
+    model.ids, model.discounts = ids, found
     # What the discounts take from all words: each word is one of n1, n2 or more.
-    d1, d2, d3 = model.word_discounts
+    d1, d2, d3 = model.discounts[0]
     more = words.rows - seen["n1"] - seen["n2"]
-    model.base_weight = (d1 * seen["n1"] + d2 * seen["n2"] + d3 * more) / model.kinds_of_pairs
+    model.base_weight = (d1 * seen["n1"] + d2 * seen["n2"] + d3 * more) / model.tables[1].rows
     return model
 
 
 def score(docs: DataFrame, model: Model, keys: list[str], text: str = "text") -> DataFrame:
     """Each text's log10 probability: the keys, n_tokens, n_known, train_tokens, base_score, score.
 
-    ``score`` adds log10 P(token | token before) over the text's words and its
-    end, by interpolated modified Kneser-Ney: a pair's discounted share of what
-    follows its first word, and for the rest the discounted share of different
-    words that the second one follows, and for the rest of that all known words
+    ``score`` adds log10 P(token | tokens before, one less than the order) over
+    the text's words and its end, by interpolated modified Kneser-Ney: the longest
+    run's discounted share of what follows its first words, and for the rest the
+    discounted share of different words that the run without its first word
+    follows, down to single words, and for the rest of that all known words
     and one unknown alike. ``base_score`` is that of single tokens with one
     added to every count. ``n_known`` counts tokens seen in training. Perplexity
     is ``10 ** (-score / n_tokens)``. NULL and empty texts are an end.
@@ -454,9 +529,7 @@ def score(docs: DataFrame, model: Model, keys: list[str], text: str = "text") ->
             for low, high, data, offsets in text_slices(batch.column(len(keys))):
                 tokens, places = tokens_of(*word_hashes(data, offsets))
                 ids, counts = model.word_ids(tokens)
-                # A word begins as many pairs as it has tokens, the start one per text.
-                before = _before(ids, places, model.words.rows)
-                tops = model.token_scores(before, _before(counts, places, model.texts), ids)
+                tops = model.token_scores(ids, counts, places)
                 base = np.log10((counts + 1) / (model.tokens + model.words.rows + 1))
                 part, first = batch.slice(low, high - low), places[:-1]
                 yield pa.RecordBatch.from_arrays(

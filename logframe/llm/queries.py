@@ -63,11 +63,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's probability under a model of six of seven folds."""
+    """Every document's probability under a model of runs of three words of six of seven folds."""
     docs = documents(spark, sf_dir).select(
         "doc_id", F.coalesce(fold(7) == 2, F.lit(False)).alias("held_out"), "text"
     )
-    model = kneser_ney.train(docs.filter("not held_out"))
+    model = kneser_ney.train(docs.filter("not held_out"), order=3)
     return kneser_ney.score(docs, model, ["doc_id", "held_out"])
 
 

@@ -98,6 +98,50 @@ def test_kneser_ney(spark):
     assert math.isclose(sum(p("start", x) for x in single) + p("start", "unknown"), 1)
 
 
+def kneser_ney_of_order(texts, order):
+    """P(word | tuple of words before) of any order, from the formulas."""
+    tokens = [["start"] * (order - 1) + [*(t or "").encode().lower().split(), None] for t in texts]
+    runs = Counter(tuple(w[i - order + 1 : i + 1]) for w in tokens for i in range(order - 1, len(w)))
+    levels = [runs]
+    for _ in range(order - 1):
+        levels.insert(0, Counter(r[1:] for r in levels[0]))
+    census = lambda counts: {f"n{i}": sum(n == i for n in counts) for i in (1, 2, 3, 4)}
+    d = [[0, *kneser_ney.discounts(census(level.values()))] for level in levels]
+    after = [defaultdict(list) for _ in levels]
+    for level, held in zip(levels, after):
+        for run, n in level.items():
+            held[run[:-1]].append(n)
+
+    def p(before, word, k=order - 1):
+        if k < 0:
+            return 1 / (len(levels[0]) + 1)
+        mine = before[len(before) - k :]
+        low = p(before, word, k - 1)
+        if mine not in after[k]:
+            return low
+        n, others = levels[k][(*mine, word)], after[k][mine]
+        return (n - d[k][min(n, 3)] + sum(d[k][min(m, 3)] for m in others) * low) / sum(others)
+
+    return {w[-1] for w in levels[0]}, p
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_kneser_ney_of_order(spark, order):
+    rows = tricky(n=60)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = kneser_ney.train(docs.filter("doc_id % 3 != 0"), order=order)
+    words, p = kneser_ney_of_order([t for i, t, *_ in rows if i is not None and i % 3], order)
+    found = defaultdict(list)
+    for r in kneser_ney.score(docs, model, ["doc_id"]).collect():
+        found[r.doc_id].append(r.score)
+    for i, t, *_ in rows:
+        w = ["start"] * (order - 1) + [*(t or "").encode().lower().split(), None]
+        score = sum(math.log10(p(tuple(w[j - order + 1 : j]), w[j])) for j in range(order - 1, len(w)))
+        assert any(math.isclose(x, score) for x in found[i])
+    some = ("start", "start", "start")[: order - 1]
+    assert math.isclose(sum(p(some, x) for x in words) + p(some, "unknown"), 1)
+
+
 def test_kneser_ney_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
     found = kneser_ney.score(docs, kneser_ney.train(docs.limit(0)), ["doc_id"]).collect()
