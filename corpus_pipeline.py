@@ -13,7 +13,7 @@ from logframe.llm.jaccard_join import jaccard_components
 from logframe.llm.line_dedup import line_dedup
 from logframe.llm.packing import pack
 from logframe.llm.queries import fold, labels
-from logframe.llm.shared import new_folder
+from logframe.llm.shared import WHITE, new_folder, unused
 from logframe.llm.toxicity import score, train
 
 
@@ -37,13 +37,25 @@ def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, 80 in 100): that with the least doc_id.
 
-    Documents without words are no copies of each other, and rows without a
-    doc_id all stay. Rows that repeat the id that stays are one row after.
+    Of rows with the same id in a group that with the least hash of its text
+    stays, and a row without an id only where no row has one. Documents without
+    words are no copies of each other. Rows that repeat both id and text are one
+    row after, but those without id and words all stay.
     """
-    classes = jaccard_components(docs, words=5, percent=80)
-    stays = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    classes = jaccard_components(docs, words=5, percent=80, keys=True)
+    group = F.coalesce("root", F.concat_ws("|", F.lit(""), F.col("doc_id").cast("string"), "text_hash"))
+    stays = (
+        classes.filter("doc_id is not null or n_shingles > 0")
+        .groupBy(group.alias("group"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("row"))
+        .select(F.col("row.doc_id").alias("stays_id"), F.col("row.text_hash").alias("stays_hash"))
+    )
+    (own,) = unused(docs, "text_hash")
+    same = F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.col(own) == F.col("stays_hash"))
+    rows = docs.withColumn(own, F.xxhash64("text"))
+    kept = rows.join(stays, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
+    blank = ~F.coalesce("text", F.lit("")).rlike(f"[^{WHITE}]")
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull() & blank)).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

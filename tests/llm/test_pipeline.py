@@ -31,6 +31,22 @@ def test_stages(spark, tmp_path):
     assert sum(r.n_words for r in packed) == sum(len(r.text.encode().split()) for r in docs.collect())
 
 
+def test_one_row_of_each_group_with_odd_ids(spark):
+    one, two, three, four = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [
+        (1, one), (1, two), (1, two), (2, one + " more"), (3, two),  # an id with two texts, both kept
+        (None, three), (None, three), (None, three + " more"), (None, one),  # copies without ids
+        (5, four), (6, four), (6, one),
+        (7, ""), (8, None), (8, None), (None, " "), (None, " "),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, ROOT).collect()), key=str)
+    threes = [r for r in kept if r[1] in (three, three + " more")]
+    assert len(threes) == 1 and threes[0][0] is None
+    rest = [(1, one), (1, two), (5, four), (7, ""), (8, None), (None, " "), (None, " ")]
+    assert sorted((r for r in kept if r not in threes), key=str) == sorted(rest, key=str)
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, ROOT).count() > 0
     assert len(corpus_pipeline.STAGES) == 4
