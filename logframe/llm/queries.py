@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logframe.llm import bpe, kneser_ney
+from logframe.llm import bpe, kneser_ney, pii
 from logframe.llm.exact_dedup import exact_dedup
 from logframe.llm.jaccard_join import jaccard_components
 from logframe.llm.line_dedup import line_dedup
+from logframe.llm.negatives import hard_negatives
 from logframe.llm.packing import pack
+from logframe.llm.resample import resample
 from logframe.llm.shared import new_folder
 from logframe.llm.simhash import likeness, order_marks, simhash, with_next, within_radius
 from logframe.llm.toxicity import score, train
@@ -255,6 +257,107 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", told.alias("told")).select("doc_id", "told.*")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight for the benchmark's texts, and its rank if it is drawn: a quarter are."""
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    drawn = resample(documents(spark, sf_dir), target, seed=7, percent=25, least_words=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+OP11_SQL = r"""
+with text as (
+  select doc_id as id, true as raw, text from documents
+  union all select item_id, false, text from benchmark
+), word as (
+  select id, raw, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w
+  from text
+), run as (
+  select id, raw, len(w) as n_words,
+    unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f
+  from word
+), byte as (
+  select f, list_transform(range(strlen(f)), lambda i: ('0x' || substr(hex(f), (2 * i + 1)::int, 2))::bigint) as b
+  from (select distinct f from run)
+), crc as (
+  select f, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: list_reduce(
+    list_prepend(xor(c, x), range(8)),
+    lambda d, k: xor(d >> 1, (d & 1) * 3988292384::bigint))), 4294967295::bigint) % 10000 as bucket
+  from byte
+), hit as (
+  select id, raw, n_words, bucket from run join crc using (f)
+), bucket as (
+  select bucket, count(*) filter (raw) as s, count(*) filter (not raw) as t from hit group by bucket
+), total as (
+  select count(*) filter (raw) as all_s, count(*) filter (not raw) as all_t from hit
+), gain as (
+  select bucket, floor(1000 * ln(((t + 1) * (all_s + 10000))::double
+    / ((s + 1) * (all_t + 10000))::double))::bigint as g
+  from bucket, total
+), weight as (
+  select id as doc_id, any_value(n_words) as n_words, count(*) as n_features,
+    floor(sum(g)::double / count(*))::bigint as weight
+  from hit join gain using (bucket) where raw group by id
+), score as (
+  select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_features, 0) as n_features,
+    coalesce(weight, 0) as weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from documents left join weight using (doc_id)
+), able as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n
+  from score where n_words >= 20
+)
+select doc_id, n_features::bigint as n_features, weight, score,
+  case when rank <= 25 * n // 100 then rank end as rank, n_words::bigint as n_words
+from score left join able using (doc_id)
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each hundredth vector's positives, and the hard negatives of each of them."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label=moved)
+
+
+OP12_SQL = """
+with vec as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pair as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+    list_inner_product(a.e, b.e)::bigint as score
+  from vec a join vec b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+), positive as (
+  select anchor_id, vec_id as positive_id, score as positive_score from pair where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+  (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positive join pair using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: the rules' spans counted and digested, and all spans."""
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs.select("doc_id", "text"), pii.train(docs)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: ~s["added"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_kneser_ney": op2_kneser_ney,
@@ -266,6 +369,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_pii": op13_pii,
 }
 
 ORACLE = {
@@ -273,4 +379,6 @@ ORACLE = {
     "op5_exact_dedup": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op7_url_filter": OP7_SQL,
+    "op11_importance_resampling": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }

@@ -1,0 +1,97 @@
+"""Hard negatives against all pairs; Strassen products against plain ones."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from logframe.llm import negatives as N
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, number int, tile_row string"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 40), st.integers(0, 40), st.integers(0, 40), st.integers(1, 5), st.integers(0, 9))
+def test_product(m, k, n, leaf, seed):
+    rng = np.random.default_rng(seed)
+    size = 10 ** rng.integers(1, 9)
+    a, b = rng.integers(-size, size, (m, k)), rng.integers(-size, size, (n, k))
+    assert (N.product(a, b, leaf) == a @ b.T).all()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 6), st.integers(0, 30), st.integers(1, 5), st.integers(0, 99))
+def test_best(m, n, size, seed):
+    rng = np.random.default_rng(seed)
+    scores, fits = rng.integers(-3, 3, (m, n)), rng.random((m, n)) < 0.6
+    wanted = [
+        (i, j)
+        for i in range(m)
+        for j in sorted(np.flatnonzero(fits[i]), key=lambda j: (-scores[i, j], j))[:size]
+    ]
+    assert list(zip(*map(list, N.best(scores, fits, size)))) == wanted
+
+
+def vectors(n, dim, seed, spread=1.0):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        size = dim if rng.random() < 0.9 else rng.randrange(dim)
+        vector = [rng.gauss(0, spread) for _ in range(size)]
+        rows.append([i, vector, rng.randrange(3)])
+        if i % 9 == 0:  # the same vector under many ids
+            rows[-1][1] = [0.25] * dim
+    rows += [[n, None, 1], [n + 1, [1.0, None], 1], [n + 2, [float("nan")], 1], [n + 3, [float("-inf")], 2]]
+    rows += [[n + 4, [1.0], None], [None, [1.0], 1], rows[20], rows[20], rows[3]]
+    return [(*row, k, "x") for k, row in enumerate(rows)]
+
+
+def all_pairs(rows, every, n_positives, n_negatives, low, high):
+    taken = []
+    for number, (ident, vector, label, *_) in enumerate(rows):
+        if ident is None or vector is None or label is None:
+            continue
+        if all(x is not None and math.isfinite(x) for x in vector):
+            taken.append((number, ident, [math.floor(256 * float(np.float32(x))) for x in vector], label))
+    out = []
+    for number, ident, vector, label in taken:
+        if ident % every:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(vector, other)), i, n, lab) for n, i, other, lab in taken if n != number
+        ]
+        scored.sort()
+        for p, positive, *_ in [s for s in scored if s[3] == label][:n_positives]:
+            fits = [s for s in scored if s[3] != label and low * -p <= 100 * -s[0] <= high * -p]
+            out += [(ident, positive, r, s[1], -p, -s[0]) for r, s in enumerate(fits[:n_negatives], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block, anchors, call, dim", [(4096, 1024, 4, 5), (7, 3, 2, 8), (16, 2, 1, 1)])
+def test_same_as_all_pairs(spark, monkeypatch, block, anchors, call, dim):
+    monkeypatch.setattr(N, "ANCHOR_ROWS", anchors)
+    monkeypatch.setattr(N, "CALL_BLOCKS", call)
+    rows = vectors(120, dim, block)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(block % 5 + 1)
+    found = N.hard_negatives(df, every=5, positives=3, negatives=4, low=20, high=80)
+    assert sorted(map(tuple, found.collect())) == all_pairs(rows, 5, 3, 4, 20, 80)
+
+
+def test_long_vectors_make_short_blocks(spark):
+    rows = spark.createDataFrame([(i, [0.5] * 3000, i % 2) for i in range(900)], "vec_id bigint, embedding array<float>, label int")
+    df = rows.coalesce(1)
+    found = N.hard_negatives(df, low=0, high=100).collect()
+    assert len(found) == 9 * 5 * 10
+    first = [row for row in found if row["anchor_id"] == 0 and row["positive_id"] == 2]
+    assert sorted(row["negative_id"] for row in first) == list(range(1, 20, 2))
+    assert {row["negative_score"] for row in first} == {128 * 128 * 3000}
+
+
+def test_empty_and_no_anchors(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert N.hard_negatives(empty).count() == 0
+    rows = spark.createDataFrame([(1, [1.0], 1, 1, ""), (2, [1.0], 2, 1, "")], SCHEMA)
+    assert N.hard_negatives(rows).count() == 0

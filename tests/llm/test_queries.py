@@ -25,5 +25,5 @@ def test_registered():
     import __spark_entry__ as driver
 
     assert set(QUERIES) <= set(driver.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(driver.oracle_sql())
