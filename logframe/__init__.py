@@ -24,7 +24,7 @@ from logframe.operators.compare import compare, compare_fields
 from logframe.operators.discover import discover_fields
 from logframe.operators.explain import match_explain, text_score
 from logframe.operators.histogram import auto_histogram, histogram
-from logframe.operators.retrieve import count, search, search_total
+from logframe.operators.retrieve import count, search, search_after, search_total, walk
 from logframe.plans.chain import Chain, chain
 from logframe.plans.workflows import (
     added_samples,

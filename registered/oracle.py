@@ -257,6 +257,14 @@ ORACLE: dict[str, str] = {
     "search_deep_text": """
       select c_custkey, c_mktsegment from customer
       order by c_mktsegment, c_custkey limit 100 offset 1000""",
+    "search_continued": """
+      select o_orderkey, o_orderdate from orders
+      where o_orderdate < date '1996-06-01' or o_orderdate is null
+        or (o_orderdate = date '1996-06-01' and o_orderkey > 0)
+      order by o_orderdate desc nulls last, o_orderkey limit 200""",
+    "search_walked": """
+      select user_id, event_id from events where event_type = 'error'
+      order by user_id, event_id limit 200""",
     "search_total": f"select count(*) as total from events where event_type = 'error' and {W1}",
     "terms_users": f"select * from {_top('events', 'user_id', 20, W1, 'user_id')}",
     "terms_long": f"select * from {_top('orders', 'o_custkey', 20000, 'true', 'o_custkey')}",

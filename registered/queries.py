@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -303,6 +304,34 @@ def search_deep_text(spark, root):
     )
 
 
+def search_continued(spark, root):
+    """The page after a row that is told by its date and key."""
+    return lf.search_after(
+        table(spark, root, "orders"),
+        ["1996-06-01", 0],
+        ts_field="o_orderdate",
+        limit=200,
+        source_fields=["o_orderkey", "o_orderdate"],
+        key="o_orderkey",
+    ).drop("_cursor")
+
+
+def search_walked(spark, root):
+    """Four pages, each by the cursor that the one before ended with."""
+    pages = lf.walk(
+        table(spark, root, "events"),
+        where="event_type = 'error'",
+        ts_field="ts",
+        sort_field="user_id",
+        sort_dir="asc",
+        pages=4,
+        limit=50,
+        source_fields=["user_id", "event_id"],
+        key="event_id",
+    )
+    return functools.reduce(DataFrame.unionByName, pages).drop("_cursor")
+
+
 def search_total(spark, root):
     events = table(spark, root, "events")
     return lf.search_total(events, lf.term(events, "event_type", "error"), *W1, "ts")
@@ -645,6 +674,8 @@ QUERIES: dict[str, Query] = {
         search_sorted_asc,
         search_deep_page,
         search_deep_text,
+        search_continued,
+        search_walked,
         search_total,
         terms_users,
         terms_long,
