@@ -24,6 +24,7 @@ from logframe.operators.compare import compare, compare_fields
 from logframe.operators.discover import discover_fields
 from logframe.operators.explain import match_explain, text_score
 from logframe.operators.histogram import auto_histogram, histogram
+from logframe.operators.postings import search_postings, word_counts, write_postings
 from logframe.operators.retrieve import count, search, search_after, search_total, walk
 from logframe.plans.chain import Chain, chain
 from logframe.plans.workflows import (
@@ -45,4 +46,14 @@ from logframe.sources.catalog import (
     tables,
 )
 
+from logframe.sources.folders import new_folder
+from logframe.sources.layout import (
+    during,
+    member_types,
+    shredded,
+    spike_rows,
+    write_daily,
+    write_shredded,
+)
+
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -102,7 +102,8 @@ def between(df: DataFrame, path: str | Column, low=None, high=None) -> Column:
 
     if isinstance(path, Column):
         dtype = df.select(path).schema[0].dataType
-        if re.fullmatch(r"Column<'[\w.@`]+'>", str(path)):
+        # A member of a variant is read by the scan, which then gets the range too.
+        if re.fullmatch(r"Column<'([\w.@`]+|try_variant_get\([\w.@`]+, [^()]*\))'>", str(path)):
             return inside(path, dtype)
         return F.exists(F.array(path), lambda column: inside(column, dtype))
     found = find_field(df, path)

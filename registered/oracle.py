@@ -214,6 +214,33 @@ ORACLE: dict[str, str] = {
     "count_json_between": f"""
       select count(*) as count from events
       where {W1} and cast(json_extract(props, '$.k') as int) between 12 and 40""",
+    "count_shredded_between": f"""
+      select count(*) as count from events
+      where {W1} and cast(json_extract(props, '$.k') as int) between 12 and 40""",
+    "terms_shredded": """
+      select cast(json_extract(props, '$.k') as bigint) as k, count(*) as doc_count, max(value) as most
+      from events group by 1""",
+    "daily_range": """
+      select strftime(ts, 'events-%Y.%m.%d') as _index, count(*) as docs, count(distinct user_id) as users
+      from events where ts >= timestamp '2024-01-01' and ts < timestamp '2024-01-10' group by 1""",
+    "spike_rows": f"""
+      with c as ({_histogram("events", "ts", "1 hour", "2024-01-01", "2024-01-30 23:59:59")}),
+      m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c),
+      peak as (select bucket from c, m where (doc_count - mean) / dev > 2)
+      select bucket, event_type, count(*) as doc_count, count(distinct user_id) as users
+      from (select *, time_bucket(interval '1 hour', ts, timestamp '1970-01-01') as bucket
+            from events where ts <= timestamp '2024-01-30 23:59:59')
+      where bucket in (select bucket from peak) group by 1, 2""",
+    "postings_search": f"""
+      with w as (select doc_id, {_words("text")} as w from documents)
+      select 'any' as mode, doc_id from w where list_has_any(w, ['license', 'the'])
+      union all select 'all', doc_id from w where list_has_all(w, ['apache', 'license'])
+      union all select 'phrase', doc_id from w
+      where contains(' ' || array_to_string(w, ' ') || ' ', ' apache license version 2 0 ')""",
+    "postings_words": f"""
+      select word, count(distinct doc_id) as doc_count, count(*) as uses
+      from (select doc_id, unnest({_words("text")}) as word from documents)
+      where word <> '' group by 1""",
     "count_term_mixed": "select count(*) as count from events where user_id = 149",
     "count_between_text": """
       select count(*) as count from events where event_id % 3 <> 0 and value between 10 and 20""",

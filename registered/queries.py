@@ -168,6 +168,56 @@ def count_json_between(spark, root):
     return lf.count(events, lf.between(events, k, 12, 40), *W1, "ts")
 
 
+def count_shredded_between(spark, root):
+    """A range on a JSON member that has a column of its own."""
+    path = lf.new_folder(spark, "shredded")
+    events = lf.write_shredded(table(spark, root, "events"), path, ["props"])
+    k = lf.json_field(events, "props", "k", "int")
+    return lf.count(events, lf.between(events, k, 12, 40), *W1, "ts")
+
+
+def terms_shredded(spark, root):
+    """The most frequent values of a JSON member, with their largest value of another field."""
+    path = lf.new_folder(spark, "shredded")
+    events = lf.write_shredded(table(spark, root, "events"), path, ["props"])
+    k = lf.json_field(events, "props", "k", "bigint")
+    opened = events.select(k.alias("k"), "value")
+    return opened.groupBy("k").agg(F.count(F.lit(1)).alias("doc_count"), F.max("value").alias("most"))
+
+
+def daily_range(spark, root):
+    """Events and users of some days of a table that has a partition for each day."""
+    events = lf.write_daily(table(spark, root, "events"), lf.new_folder(spark, "daily"), "ts")
+    days = lf.scan_daily(events, "events", "events-2024.01.0*", "ts", day_column="day")
+    return days.groupBy("_index").agg(
+        F.count(F.lit(1)).alias("docs"), F.count_distinct("user_id").alias("users")
+    )
+
+
+def spike_rows(spark, root):
+    """Event types in the hours that hold unusually many events, from a table by day."""
+    events = lf.write_daily(table(spark, root, "events"), lf.new_folder(spark, "daily"), "ts")
+    rows = lf.spike_rows(events, "2024-01-01", "2024-01-30T23:59:59", "ts", "1h", day_column="day")
+    return rows.groupBy("bucket", "event_type").agg(
+        F.count(F.lit(1)).alias("doc_count"), F.count_distinct("user_id").alias("users")
+    )
+
+
+def postings_search(spark, root):
+    """Documents with any or all of some words, and with a phrase, found by an index."""
+    documents = table(spark, root, "documents")
+    index = lf.write_postings(documents, lf.new_folder(spark, "postings"), "text", "doc_id")
+    asked = [("any", "license the"), ("all", "apache license"), ("phrase", "Apache License, version 2.0")]
+    found = [lf.search_postings(index, words, mode).withColumn("mode", F.lit(mode)) for mode, words in asked]
+    return functools.reduce(DataFrame.unionByName, found).withColumnRenamed("doc", "doc_id")
+
+
+def postings_words(spark, root):
+    """How many documents have each word, and how often they use it."""
+    documents = table(spark, root, "documents")
+    return lf.word_counts(lf.write_postings(documents, lf.new_folder(spark, "postings"), "text", "doc_id"))
+
+
 def count_term_mixed(spark, root):
     """A number asked of a text column."""
     events = table(spark, root, "events").withColumn("code", F.col("user_id").cast("string"))
@@ -657,6 +707,12 @@ QUERIES: dict[str, Query] = {
         count_all,
         count_range,
         count_json_between,
+        count_shredded_between,
+        terms_shredded,
+        daily_range,
+        spike_rows,
+        postings_search,
+        postings_words,
         count_term_mixed,
         count_between_text,
         count_text_time,
