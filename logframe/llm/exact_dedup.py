@@ -28,9 +28,11 @@ def exact_dedup(
     the id that stays are kept. A NULL doc_id stays only where the whole group
     has none. No rows in, no rows out. Other columns are ignored.
 
-    Groups are counted before they are shuffled and joined back, so a group of
-    copies of any size is split over tasks. One shuffle moves texts: that of
-    the full-hash step.
+    Groups are counted before they are shuffled. Rows are joined with the counts
+    by the group's key, so a large group's rows, of some 50 bytes, meet where
+    adaptive execution does not split them. With ``digests`` whole hashes are
+    taken in the task that reads a text, and no text is shuffled; without, the
+    shuffle before the full hash moves texts.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -47,15 +49,15 @@ def exact_dedup(
         .select("start", F.lit(True).alias("shared"))
     )
     digest = F.sha2(ascii_lower(F.col("text")), 256)
-    read = checkpointed(
-        rows.select("doc_id", "text", start.alias("start"))
-        .join(starts, "start", "left")
-        .select(
-            "doc_id",
-            F.coalesce("shared", F.lit(False)).alias("shared"),
-            (digest if digests else F.when(F.col("shared"), digest)).alias("text_sha256"),
-        )
-    )
+    shared = F.coalesce("shared", F.lit(False))
+    if digests:
+        # Owed for every row, so it is taken where the text is read and sent instead of it.
+        read = rows.select("doc_id", start.alias("start"), F.unhex(digest).alias("digest")).join(starts, "start", "left")
+        own = F.lower(F.hex("digest"))
+    else:
+        read = rows.select("doc_id", "text", start.alias("start")).join(starts, "start", "left")
+        own = F.when(F.col("shared"), digest)
+    read = checkpointed(read.select("doc_id", shared.alias("shared"), own.alias("text_sha256")))
     groups = (
         read.filter("shared")
         .groupBy("text_sha256")

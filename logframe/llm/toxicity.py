@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,8 +42,6 @@ class Settings:
     # Labelled rows taken at most for fitting, of each class.
     fit_toxic: int = 1500
     fit_clean: int = 2500
-    # Longer texts are left out of the sample, never out of calibrating and scoring.
-    sample_words: int = 3000
     # A language with fewer toxic rows to calibrate on has the common threshold.
     language_rows: int = 20
 
@@ -97,10 +96,14 @@ class Network:
             z += (x[j : n + j] * (left >= j)[:, None]) @ kernel[j]
         return z
 
-    def greatest(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Each text's greatest answer of every filter, at least 0; texts of any length, in blocks."""
+    def greatest(self, hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's greatest answer of every filter, at least 0, and the word that first gives it.
+
+        Texts of any length: blocks of words are answered one after the other.
+        """
         n_rows, most = len(places) - 1, max(len(k) for k in self.kernels)
         best = np.zeros((n_rows, len(self.out)), dtype=np.float32)
+        at = np.zeros((n_rows, len(self.out)), dtype=np.int64)
         row = np.repeat(np.arange(n_rows), np.diff(places))
         for low in range(0, len(hashes), BLOCK_WORDS):
             high = min(low + BLOCK_WORDS, len(hashes))
@@ -108,13 +111,27 @@ class Network:
             own = row[low:high]
             left = places[own + 1] - 1 - np.arange(low, high)
             starts = np.flatnonzero(np.diff(own, prepend=-1))
-            z = [self.answers(x, left, k, b) for k, b in zip(self.kernels, self.biases)]
-            top = np.maximum.reduceat(np.concatenate(z, axis=1), starts, axis=0)
-            best[own[starts]] = np.maximum(best[own[starts]], top)
-        return best
+            z = np.concatenate([self.answers(x, left, k, b) for k, b in zip(self.kernels, self.biases)], axis=1)
+            top = np.maximum.reduceat(z, starts, axis=0)
+            texts = own[starts]
+            better = top > best[texts]
+            if better.any():
+                first = self._first(z, top, starts)
+                at[texts] = np.where(better, first + low, at[texts])
+                best[texts] = np.where(better, top, best[texts])
+        return best, at
+
+    @staticmethod
+    def _first(z: np.ndarray, top: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each part of rows and each column the first row that holds the part's greatest value."""
+        part = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(z)))
+        row, column = np.nonzero(z == top[part])
+        first = np.zeros(top.shape, dtype=np.int64)
+        first[part[row[::-1]], column[::-1]] = row[::-1]
+        return first
 
     def raw(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-        return (self.greatest(hashes, places) @ self.out + self.bias).astype(np.float64)
+        return (self.greatest(hashes, places)[0] @ self.out + self.bias).astype(np.float64)
 
     def scores(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
         return self.scaled(self.raw(hashes, places))
@@ -161,43 +178,30 @@ def fit(network: Network, texts: list[np.ndarray], toxic: np.ndarray, weight: np
             hashes = np.concatenate([texts[i] for i in part])
             sizes = np.array([len(texts[i]) for i in part])
             places = np.concatenate([[0], np.cumsum(sizes)])
-            row = np.repeat(np.arange(len(part)), sizes)
-            left = places[row + 1] - 1 - np.arange(len(hashes))
-            rows = network.rows_of(hashes)
-            most = max(s.widths)
-            x = network.embed(rows, most)
-            tops, chosen = [], []
-            for kernel, bias in zip(network.kernels, network.biases):
-                z = network.answers(x, left, kernel, bias)
-                top = np.maximum.reduceat(z, places[:-1], axis=0)
-                hit = z == top[row]
-                at = np.zeros(top.shape, dtype=np.int64)
-                where, which = np.nonzero(hit)
-                at[row[where], which] = where
-                tops.append(np.maximum(top, 0))
-                chosen.append(at)
-            pooled = np.concatenate(tops, axis=1)
+            pooled, chosen = network.greatest(hashes, places)
+            last = (places[1:] - 1)[:, None]
             raw = pooled @ network.out + network.bias
             error = (1 / (1 + np.exp(-raw)) - toxic[part]) * weight[part] / len(part)
             back = error[:, None] * network.out[None, :] * (pooled > 0)
             moved, moves = [], []
             for i, (kernel, bias) in enumerate(zip(network.kernels, network.biases)):
-                g = back[:, i * s.filters : (i + 1) * s.filters].astype(np.float32)
+                own = slice(i * s.filters, (i + 1) * s.filters)
+                g = back[:, own].astype(np.float32)
                 change = np.zeros_like(kernel)
                 for j in range(len(kernel)):
-                    at = chosen[i] + j
-                    inside = (left[chosen[i]] >= j)[:, :, None]
-                    seen = x[at] * inside
+                    inside = (chosen[:, own] + j <= last)[:, :, None]
+                    at = np.minimum(chosen[:, own] + j, last).ravel()
+                    seen = network.embed(network.rows_of(hashes[at]), 0).reshape(*g.shape, s.size) * inside
                     change[j] = np.einsum("bf,bfd->df", g, seen)
                     moves.append((g[:, :, None] * kernel[j].T[None] * inside).reshape(-1, s.size))
-                    moved.append(np.minimum(at, len(hashes) - 1).ravel())
+                    moved.append(network.rows_of(hashes[at]))
                 move(bias, g.sum(axis=0))
                 move(kernel, change)
             move(network.out, pooled.T @ error.astype(np.float32))
             bias_slow += float(error.sum()) ** 2
             network.bias -= s.rate * float(error.sum()) / bias_slow**0.5
-            at, g = np.concatenate(moved), np.concatenate(moves)
-            at, g = rows[at].T.ravel(), np.concatenate([g] * rows.shape[1])
+            at = np.concatenate(moved).T
+            at, g = at.ravel(), np.concatenate([np.concatenate(moves)] * len(at))
             at, g = at[at > 0], g[at > 0]
             used, index = np.unique(at, return_inverse=True)
             total = np.zeros((len(used), s.size), dtype=np.float32)
@@ -253,8 +257,8 @@ def train(
     ``learn`` and ``check`` are conditions on the column ``doc_id`` of the labels: which rows may
     be used at all, and which of them calibrate instead of fit. The sample for
     fitting is the rows with the least hashes of their id, ``settings`` bounds it;
-    of documents that repeat an id it has one. Only their words' hashes reach
-    the driver. Labels other than 0 and 1, NULL ids and labels without a
+    of documents that repeat an id it has one. Of these rows' whole texts, whatever
+    their length, the words' hashes reach the driver, 12 bytes a word. Labels other than 0 and 1, NULL ids and labels without a
     document are ignored; of repeated labels 1 wins. Without a row of each
     class to fit every score is about 0.5.
 
@@ -290,7 +294,7 @@ def train(
         .groupBy("doc_id", "toxic")
         .agg(F.max(F.struct(F.xxhash64("text"), "text")).alias("row"))
         .select("toxic", F.xxhash64("doc_id").alias("place"), "row.text")
-        .mapInArrow(_hashed(s.sample_words), "toxic int, place bigint, words array<int>")
+        .mapInArrow(_hashed, "toxic int, place bigint, words array<int>")
         .toArrow()
     )
     sample = sample.sort_by("place")
@@ -360,25 +364,20 @@ def _arrays(found: pa.Table) -> Bins:
     return columns[0] / BINS, columns[1], columns[2]
 
 
-def _hashed(most: int):
-    def hashed(batches):
-        for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
-                hashes, places = features(data, offsets)
-                part = batch.slice(low, high - low)
-                stays = np.flatnonzero(np.diff(places) <= most)
-                words = [hashes[places[i] : places[i + 1]].ravel().view(np.int32) for i in stays]
-                kept = part.take(pa.array(stays, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        kept.column("toxic").cast(pa.int32()),
-                        kept.column("place"),
-                        pa.array(words, pa.list_(pa.int32())),
-                    ],
-                    ["toxic", "place", "words"],
-                )
-
-    return hashed
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low, high, data, offsets in text_slices(batch.column("text")):
+            hashes, places = features(data, offsets)
+            part = batch.slice(low, high - low)
+            words = [hashes[a:b].ravel().view(np.int32) for a, b in zip(places[:-1], places[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("toxic").cast(pa.int32()),
+                    part.column("place"),
+                    pa.array(words, pa.list_(pa.int32())),
+                ],
+                ["toxic", "place", "words"],
+            )
 
 
 def score(docs: DataFrame, network: Network, text: str = "text", lang: str = "lang") -> DataFrame:
