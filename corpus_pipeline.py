@@ -42,16 +42,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     words are no copies of each other. Rows that repeat both id and text are one
     row after, but those without id and words all stay.
     """
+    own, stays_id, stays_hash = unused(docs, "text_hash", "stays_id", "stays_hash")
     classes = jaccard_components(docs, words=5, percent=80, keys=True)
     group = F.coalesce("root", F.concat_ws("|", F.lit(""), F.col("doc_id").cast("string"), "text_hash"))
     stays = (
         classes.filter("doc_id is not null or n_shingles > 0")
         .groupBy(group.alias("group"))
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("row"))
-        .select(F.col("row.doc_id").alias("stays_id"), F.col("row.text_hash").alias("stays_hash"))
+        .select(F.col("row.doc_id").alias(stays_id), F.col("row.text_hash").alias(stays_hash))
     )
-    (own,) = unused(docs, "text_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.col(own) == F.col("stays_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(stays_id)) & (F.col(own) == F.col(stays_hash))
     rows = docs.withColumn(own, F.xxhash64("text"))
     kept = rows.join(stays, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
     blank = ~F.coalesce("text", F.lit("")).rlike(f"[^{WHITE}]")
