@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import functools
 import operator
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +20,12 @@ from logframe.functions.text import WORD_BREAK, query_words
 FOLDERS = 64
 PARTS = 4
 
+# Words that are sorted together; a longer text is alone.
+SLICE_WORDS = 2_000_000
+
 
 def _folder(word: Column, folders: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(folders)).cast("int")
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(folders)).cast("int")
 
 
 def write_postings(
@@ -27,26 +35,25 @@ def write_postings(
 
     Words are those of :func:`match_text`; ``places`` are their numbers among
     the document's words, rising. ``key`` tells documents apart: rows that
-    share one are one document, in which any words may be in a row, and rows
-    without one cannot be found and are left out. Words are dealt to folders by
-    hash and sorted, so that a search opens one folder a word and only that
-    word's row groups. A word of nearly all documents is written by ``parts``
-    tasks, by document; the index is one shuffle of the words.
+    share one are found as one document, in which any words may be in a row;
+    rows without one cannot be found and are left out. Words are dealt to
+    folders by hash and sorted there, so that a search opens one folder a word
+    and only that word's row groups. A folder is written by ``parts`` tasks, by
+    document, so a word of nearly all documents is not one task's.
+
+    A text's words are sorted and grouped in the task that reads it, in Arrow
+    and numpy. One row for each document and folder is shuffled, its words and
+    places as text: a fraction of what a row for each word takes.
     """
-    rows = df.select(field(df, key).alias("doc"), F.split(F.lower(field(df, text)), WORD_BREAK).alias("words"))
-    words = (
-        rows.filter("doc is not null")
-        .select("doc", F.posexplode("words").alias("place", "word"))
-        .filter("word <> ''")
-        .withColumns({"folder": _folder(F.col("word"), folders), "part": F.pmod(F.xxhash64("doc"), F.lit(parts))})
-    )
-    dealt = words.repartition("folder", "part")
-    # Rows of one word and document are in one task already: no second shuffle.
-    postings = dealt.groupBy("folder", "part", "word", "doc").agg(
-        F.array_sort(F.collect_list("place")).alias("places")
-    )
+    doc, words = field(df, key), F.split(F.lower(field(df, text)), WORD_BREAK)
+    rows = df.select(doc.alias("doc"), words.alias("words")).filter("doc is not null and words is not null")
+    kind = rows.schema["doc"].dataType.simpleString()
+    runs = rows.mapInArrow(_runs(folders), f"doc {kind}, folder int, words string, places string")
+    dealt = runs.repartition("folder", F.pmod(F.xxhash64("doc"), F.lit(parts)))
+    each = F.explode(F.arrays_zip(F.split("words", " ").alias("word"), F.split("places", " ").alias("places")))
+    postings = dealt.select("folder", "doc", each.alias("own"))
     (
-        postings.drop("part")
+        postings.select("folder", "own.word", "doc", F.split("own.places", ",").cast("array<int>").alias("places"))
         .sortWithinPartitions("folder", "word", "doc")
         .write.partitionBy("folder")
         .parquet(path)
@@ -54,6 +61,55 @@ def write_postings(
     return df.sparkSession.read.parquet(path)
 
 
+def _runs(folders: int) -> Callable:
+    """Each document's words by folder, every word once, and the places of each."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(batch["words"].value_lengths().to_numpy(zero_copy_only=False))
+            low = 0
+            while low < batch.num_rows:
+                before = ends[low - 1] if low else 0
+                high = max(int(np.searchsorted(ends, before + SLICE_WORDS, side="right")), low + 1)
+                yield _grouped(batch.slice(low, high - low), folders)
+                low = high
+
+    return runs
+
+
+def _grouped(batch: pa.RecordBatch, folders: int) -> pa.RecordBatch:
+    lists = batch["words"]
+    row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    flat = pc.list_flatten(lists)
+    real = pc.not_equal(flat, "")
+    coded = flat.filter(real).dictionary_encode()
+    kept = real.to_numpy(zero_copy_only=False)
+    row, place = row[kept], place[kept]
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    hashes = [zlib.crc32(word.encode()) for word in coded.dictionary.to_pylist()]
+    folder = (np.array(hashes, dtype=np.int64) % folders)[code]
+    order = np.lexsort((code, folder, row))  # stable, so a word's places rise
+    row, place, code, folder = row[order], place[order], code[order], folder[order]
+    new_run = np.diff(row * folders + folder, prepend=-1) != 0
+    new_word = new_run | (np.diff(code, prepend=-1) != 0)
+    of_word, of_run = np.flatnonzero(new_word), np.flatnonzero(new_run)
+    texts = pa.array(place).cast(pa.string())
+    joined = lambda values, starts, mark: pc.binary_join(
+        pa.ListArray.from_arrays(pa.array([*starts, len(values)], pa.int32()), values), mark
+    )
+    runs = np.searchsorted(of_word, of_run)
+    return pa.RecordBatch.from_arrays(
+        [
+            batch["doc"].take(pa.array(row[of_run])),
+            pa.array(folder[of_run].astype(np.int32)),
+            joined(coded.dictionary.take(pa.array(code[of_word])), runs, " "),
+            joined(joined(texts, of_word, ","), runs, " "),
+        ],
+        ["doc", "folder", "words", "places"],
+    )
+
+
 def search_postings(
     postings: DataFrame, words: str | list[str], mode: str = "any", folders: int = FOLDERS
 ) -> DataFrame:
@@ -89,9 +145,9 @@ def search_postings(
     )
     begins = met.select("doc", F.explode("places").alias("place"), own.alias("own"))
     begins = begins.select("doc", "place", F.explode("own").alias("n")).select(
-        "doc", (F.col("place") - F.col("n")).alias("start")
+        "doc", "n", (F.col("place") - F.col("n")).alias("start")
     )
-    whole = begins.groupBy("doc", "start").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(asked))
+    whole = begins.groupBy("doc", "start").agg(F.count_distinct("n").alias("n")).filter(F.col("n") == len(asked))
     return whole.select("doc").distinct()
 
 
