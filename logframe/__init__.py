@@ -26,6 +26,9 @@ from logframe.operators.explain import match_explain, text_score
 from logframe.operators.histogram import auto_histogram, histogram
 from logframe.operators.postings import search_postings, word_counts, write_postings
 from logframe.operators.retrieve import count, search, search_after, search_total, walk
+from logframe.operators.rollup import rolled_histogram, write_rollup
+from logframe.operators.sketches import fan_out_of, fan_out_sketches, top_of, top_sketches
+from logframe.operators.windows import in_windows
 from logframe.plans.chain import Chain, chain
 from logframe.plans.workflows import (
     added_samples,
@@ -55,5 +58,6 @@ from logframe.sources.layout import (
     write_daily,
     write_shredded,
 )
+from logframe.sources.trigrams import files_like, index_trigrams, scan_like
 
 __all__ = [name for name in dir() if not name.startswith("_")]

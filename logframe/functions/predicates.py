@@ -119,19 +119,36 @@ def wildcard(df: DataFrame, path: str, pattern: str) -> Column:
     Written as LIKE, which Catalyst turns into a pushed-down prefix, suffix or
     substring test where the pattern allows it.
     """
-    like, literal = [], False
+    like = "".join(
+        {"*": "%", "?": "_"}[char] if special else "\\" + char if char in "%_\\" else char
+        for char, special in _wildcard_parts(pattern)
+    )
+    return _test(df, path, lambda c: c.like(like))
+
+
+def _wildcard_parts(pattern: str) -> list[tuple[str, bool]]:
+    """Each character that the pattern means, and whether it is a wildcard; a last backslash means itself."""
+    parts, literal = [], False
     for char in pattern:
         if not literal and char == "\\":
             literal = True
             continue
-        if not literal and char in "*?":
-            like.append("%" if char == "*" else "_")
-        else:
-            like.append("\\" + char if char in "%_\\" else char)
+        parts.append((char, not literal and char in "*?"))
         literal = False
     if literal:
-        like.append("\\\\")
-    return _test(df, path, lambda c: c.like("".join(like)))
+        parts.append(("\\", False))
+    return parts
+
+
+def wildcard_runs(pattern: str) -> list[str]:
+    """The pattern's longest pieces without a wildcard, as they stand in every text that matches."""
+    runs = [""]
+    for char, special in _wildcard_parts(pattern):
+        if special:
+            runs.append("")
+        else:
+            runs[-1] += char
+    return [run for run in runs if run]
 
 
 def text_fields(df: DataFrame) -> list[str]:

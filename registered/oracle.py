@@ -423,6 +423,23 @@ ORACLE: dict[str, str] = {
       m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c)
       select bucket, doc_count, round((doc_count - mean) / dev, 4) as z from c, m
       where (doc_count - mean) / dev > 2""",
+    "wildcard_by_file": "select p_partkey, p_name from part where p_name like '%all g_z%'",
+    "window_events": f"""
+      with c as ({_histogram("events", "ts", "1 hour", "2024-01-01", "2024-01-30 23:59:59")}),
+      m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c),
+      peak as (select bucket from c, m where (doc_count - mean) / dev > 2)
+      select bucket, event_type, count(*) as doc_count, count(distinct user_id) as users
+      from peak join events
+        on ts >= bucket - interval '30 minutes' and ts <= bucket + interval '90 minutes'
+      group by 1, 2""",
+    "rollup_histogram": _histogram("events", "ts", "6 hours", "2024-01-02 03:04:05", "2024-01-27 22:10:59"),
+    "fan_out_sketched": """
+      select event_type, count(distinct user_id) as exact, true as near from events
+      where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-19' group by 1""",
+    "top_sketched": """
+      select event_type as key, count(*) as doc_count from events
+      where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-19'
+      group by 1 order by 2 desc, 1 limit 3""",
     "spike_causes": f"""
       with c as ({_histogram("events", "ts", "1 hour", "2024-01-01", "2024-01-30 23:59:59")}),
       m as (select avg(doc_count) as mean, stddev_pop(doc_count) as dev from c),

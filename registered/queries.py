@@ -273,6 +273,17 @@ def wildcard_inner(spark, root):
     return parts.filter(found).select("p_partkey", "p_brand")
 
 
+def wildcard_by_file(spark, root):
+    """Parts by an inner wildcard, from the files whose trigrams allow a match."""
+    path = lf.new_folder(spark, "parts")
+    table(spark, root, "part").repartitionByRange(16, "p_name").write.parquet(path)
+    parts = spark.read.parquet(path)
+    index_path = lf.new_folder(spark, "trigrams")
+    lf.index_trigrams(parts, "p_name").write.parquet(index_path)
+    found = lf.scan_like(spark, path, spark.read.parquet(index_path), "p_name", "*all g?z*")
+    return found.select("p_partkey", "p_name")
+
+
 def text_any(spark, root):
     documents = table(spark, root, "documents")
     return documents.filter(lf.match_text(documents, "text", "license the")).select("doc_id")
@@ -620,6 +631,48 @@ def spikes(spark, root):
     return rounded(found, "z")
 
 
+def window_events(spark, root):
+    """Events of each type around every spike: from half an hour before it to half an hour after."""
+    events = table(spark, root, "events")
+    peaks = lf.spikes(events, "2024-01-01", "2024-01-30T23:59:59", "ts", "1h")
+    around = peaks.select(
+        "bucket",
+        (F.col("bucket") - F.expr("interval 30 minutes")).alias("start"),
+        (F.col("bucket") + F.expr("interval 90 minutes")).alias("end"),
+    )
+    rows = lf.in_windows(events, around, "ts", interval="2h")
+    return rows.groupBy("bucket", "event_type").agg(
+        F.count(F.lit(1)).alias("doc_count"), F.count_distinct("user_id").alias("users")
+    )
+
+
+def rollup_histogram(spark, root):
+    """Events by six hours from counts by minute, hour and day."""
+    events = table(spark, root, "events")
+    kept = lf.write_rollup(events, lf.new_folder(spark, "rollup"), "ts")
+    return lf.rolled_histogram(events, kept, "2024-01-02T03:04:05", "2024-01-27T22:10:59", "ts", "6h")
+
+
+def fan_out_sketched(spark, root):
+    """Users of each event type over two weeks, merged from sketches by day: whether near the exact number."""
+    events = table(spark, root, "events")
+    path = lf.new_folder(spark, "sketches")
+    lf.fan_out_sketches(events, "event_type", "user_id", "ts").write.parquet(path)
+    about = lf.fan_out_of(spark.read.parquet(path), "event_type", "2024-01-05", "2024-01-18")
+    exact = lf.fan_out(events, "event_type", "user_id", None, "2024-01-05", "2024-01-18T23:59:59.999999", "ts")
+    exact = exact.withColumnRenamed("fan_out", "exact")
+    near = F.abs(F.col("fan_out") - F.col("exact")) <= F.col("exact") / 10
+    return about.join(exact, "event_type").select("event_type", "exact", near.alias("near"))
+
+
+def top_sketched(spark, root):
+    """The most frequent event types over two weeks, merged from sketches by day."""
+    events = table(spark, root, "events")
+    path = lf.new_folder(spark, "sketches")
+    lf.top_sketches(events, "event_type", "ts").write.parquet(path)
+    return lf.top_of(spark.read.parquet(path), 3, "2024-01-05", "2024-01-18")
+
+
 def spike_causes(spark, root):
     found = lf.top_offenders(
         table(spark, root, "events"), ["event_type"], "2024-01-01", "2024-01-30T23:59:59", "ts",
@@ -721,6 +774,7 @@ QUERIES: dict[str, Query] = {
         count_array_term,
         wildcard_part,
         wildcard_inner,
+        wildcard_by_file,
         text_any,
         text_all,
         text_phrase,
@@ -766,6 +820,10 @@ QUERIES: dict[str, Query] = {
         pivot_nations,
         anomalous_users,
         spikes,
+        window_events,
+        rollup_histogram,
+        fan_out_sketched,
+        top_sketched,
         spike_causes,
         fan_out,
         fan_out_approximate,
