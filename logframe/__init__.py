@@ -20,6 +20,7 @@ from logframe.functions.predicates import (
 )
 from logframe.operators.aggregate import extended_stats, multi_terms, terms, value_diversity
 from logframe.operators.anomaly import anomalous_terms, fan_out, outliers, pivot_values, spikes
+from logframe.operators.chains import reachable
 from logframe.operators.compare import compare, compare_fields
 from logframe.operators.discover import discover_fields
 from logframe.operators.explain import match_explain, text_score
@@ -59,5 +60,6 @@ from logframe.sources.layout import (
     write_shredded,
 )
 from logframe.sources.trigrams import files_like, index_trigrams, scan_like
+from logframe.sources.zorder import write_zordered
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -18,8 +18,10 @@ MERGED_ROWS = 10_000
 CELLS = 256
 ACCURACY = 10 * CELLS
 
-# Parts that a group's rows are ranked in before its own best rows are.
+# Parts that a group's rows are ranked in before its own best rows are, where
+# more rows of a group than this may come together from all tasks.
 PARTS = 64
+GROUP_ROWS = 100_000
 
 
 def ordered(df: DataFrame, order: list[Column], most: int | None) -> DataFrame:
@@ -204,18 +206,23 @@ def top_per_group(
     """The first ``size`` rows of each group.
 
     The literal bound lets every task drop all but its own best rows of a
-    group before the shuffle. What they send is ranked in parts first, so that
-    the best rows of many tasks never meet in one. ``own_size`` is a tighter
-    bound that may differ by row.
+    group before the shuffle. Where tasks are so many that what they send
+    would still be a long list, it is ranked in parts first, so that it never
+    meets in one task. ``own_size`` is a tighter bound that may differ by row.
     """
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
-    window = Window.partitionBy(*group, "_part").orderBy(*order)
-    df = (
-        df.withColumn("_part", part)
-        .withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") <= size)
-        .drop("_rank", "_part")
+    tasks = max(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        df.sparkSession.sparkContext.defaultParallelism,
     )
+    if tasks * size > GROUP_ROWS:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+        window = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", part)
+            .withColumn("_rank", F.row_number().over(window))
+            .filter(F.col("_rank") <= size)
+            .drop("_rank", "_part")
+        )
     window = Window.partitionBy(*group).orderBy(*order)
     ranked = df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= size)
     if own_size is not None:

@@ -50,6 +50,25 @@ def _top_text(ident: str, table: str, field: str, size: int, where: str = "true"
     )
 
 
+def _reachable(steps: str, start: list[str], hops: int) -> str:
+    """Values by least number of steps and the earliest time of so many, a step after the other."""
+    values = ", ".join(f"('{value}')" for value in start)
+    parts = [f"steps as ({steps})", f"r0 as (select value, 0 as hop, cast(null as timestamp) as t from (values {values}) v(value))"]
+    known = "select * from r0"
+    for hop in range(1, hops + 1):
+        parts.append(
+            f"""r{hop} as (
+              select dst as value, {hop} as hop, min(s.t) as t
+              from steps s join ({known}) k on s.src = k.value and (k.t is null or s.t >= k.t)
+              group by 1)"""
+        )
+        known += f" union all select * from r{hop}"
+    return f"""
+      with {", ".join(parts)}
+      select value, min(hop) as hop, arg_min_null(t, hop) as "at" from (
+        select value, hop, min(t) as t from ({known}) group by 1, 2) group by 1"""
+
+
 def _histogram(table: str, ts: str, step: str, low: str, high: str, where: str = "true") -> str:
     bucket = f"time_bucket(interval '{step}', {{0}}, timestamp '1970-01-01')"
     grid_low = bucket.format(f"timestamp '{low}'")
@@ -403,6 +422,25 @@ ORACLE: dict[str, str] = {
         "o_orderdate",
         "o_orderdate >= timestamp '1995-01-01' and o_orderdate <= timestamp '1996-01-01'",
     ),
+    "zordered_range": """
+      select o_orderkey, o_orderdate, o_totalprice from orders
+      where o_orderdate >= date '1995-01-01' and o_orderdate <= date '1995-12-31'
+        and o_totalprice between 200000 and 300000""",
+    "reachable_nations": _reachable(
+        """select cast(s_nationkey as varchar) as src, cast(c_nationkey as varchar) as dst, o_orderdate as t
+        from lineitem join orders on l_orderkey = o_orderkey
+        join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey""",
+        ["3"],
+        3,
+    ),
+    "reachable_parts": _reachable(
+        """select 's' || l_suppkey as src, 'p' || l_partkey as dst, l_shipdate as t
+        from lineitem where l_shipdate >= timestamp '1998-06-01'
+        union all select 'p' || l_partkey, 's' || l_suppkey, l_shipdate
+        from lineitem where l_shipdate >= timestamp '1998-06-01'""",
+        ["s1", "s2"],
+        2,
+    ),
     "pivot_nations": f"""
       with t as (
         select s_nationkey, c_nationkey from lineitem

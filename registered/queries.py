@@ -617,6 +617,32 @@ def top_offenders_timeline(spark, root):
     return _offenders(spark, root)["timeline"]
 
 
+def zordered_range(spark, root):
+    """Orders in a range of dates and of prices, from files sorted by both."""
+    path = lf.new_folder(spark, "zordered")
+    orders = lf.write_zordered(table(spark, root, "orders"), path, ["o_orderdate", "o_totalprice"], parts=8)
+    rich = lf.between(orders, "o_totalprice", 200_000.0, 300_000.0)
+    rows = lf.matching(orders, rich, "1995-01-01", "1995-12-31", "o_orderdate")
+    return rows.select("o_orderkey", "o_orderdate", "o_totalprice")
+
+
+def reachable_nations(spark, root):
+    """Where goods of one nation's suppliers may have come in three steps of rising order dates."""
+    found = lf.reachable(trade(spark, root), [3], "s_nationkey", "c_nationkey", 3, ts_field="o_orderdate")
+    return found.select("value", "hop", "at")
+
+
+def reachable_parts(spark, root):
+    """Steps from a supplier by a part to the suppliers that ship it later, and on from these."""
+    lines = table(spark, root, "lineitem")
+    out = lines.select(
+        F.concat(F.lit("s"), "l_suppkey").alias("one"), F.concat(F.lit("p"), "l_partkey").alias("other"), "l_shipdate"
+    )
+    back = out.select(F.col("other").alias("one"), F.col("one").alias("other"), "l_shipdate")
+    steps = out.unionByName(back)
+    return lf.reachable(steps, ["s1", "s2"], "one", "other", 2, from_ts="1998-06-01", ts_field="l_shipdate")
+
+
 def pivot_nations(spark, root):
     return lf.pivot_values(trade(spark, root), "s_nationkey", "c_nationkey", size=10)
 
@@ -817,6 +843,9 @@ QUERIES: dict[str, Query] = {
         investigate_events,
         top_offenders,
         top_offenders_timeline,
+        zordered_range,
+        reachable_nations,
+        reachable_parts,
         pivot_nations,
         anomalous_users,
         spikes,

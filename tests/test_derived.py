@@ -176,3 +176,76 @@ def test_merged_tops(spark):
     counts = {row[0]: row[1] for row in exact}
     assert [n for _, n in found] == sorted(counts.values(), reverse=True)[:5]
     assert all(counts[key] == n for key, n in found)
+
+
+# Several fields in order.
+
+
+def test_zordered_files_are_boxes(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [
+        (n, rng.gauss(0, 1), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(50_000)), None if n % 50 == 0 else f"v{rng.randrange(90)}")
+        for n in range(6000)
+    ]
+    rows += [(6000, None, None, None), (6001, float("nan"), None, "")] + [(6002 + n, 0.5, rows[0][2], "same") for n in range(3000)]
+    df = spark.createDataFrame(rows, "n int, x double, at timestamp_ntz, s string")
+    stored = lf.write_zordered(df, str(tmp_path / "z"), ["x", "at"], parts=16)
+    assert sorted(row["n"] for row in stored.collect()) == [row[0] for row in rows]
+    df.repartition(16).write.parquet(str(tmp_path / "plain"))
+    plain = spark.read.parquet(str(tmp_path / "plain"))
+    read = {}
+    for name, table_ in (("z", stored), ("plain", plain)):
+        where = lf.all_of(lf.between(table_, "x", 0.6, 1.2), lf.time_range(table_, "at", "2024-01-05", "2024-01-10"))
+        found = table_.filter(where)
+        numbers = sorted(row["n"] for row in found.collect())
+        read[name] = (numbers, scanned_rows(found))
+    assert read["z"][0] == read["plain"][0] and read["z"][0]
+    assert read["z"][1] < read["plain"][1] / 3
+    three = lf.write_zordered(df, str(tmp_path / "three"), ["x", "at", "s"], parts=4, bits=3)
+    assert three.count() == len(rows)
+    assert lf.write_zordered(df.limit(0), str(tmp_path / "none"), ["x", "at"], parts=4).count() == 0
+    for fields, bits in ((["x"], 6), (["x", "x"], 6), (["x", "at"], 32)):
+        with pytest.raises(ValueError):
+            lf.write_zordered(df, "nowhere", fields, 4, bits)
+
+
+def scanned_rows(df):
+    """Rows that the scan of a plain filter handed on."""
+    stack = [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            return node.metrics().apply("numOutputRows").value()
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+
+
+# Chains.
+
+
+def test_reachable_like_a_search(spark):
+    rng = random.Random(12)
+    start = dt.datetime(2024, 1, 1)
+    rows = [
+        (f"h{rng.randrange(40)}", f"h{rng.randrange(40)}", start + dt.timedelta(hours=rng.randrange(200))) for _ in range(150)
+    ]
+    rows += [("hub", f"h{n}", start + dt.timedelta(hours=n)) for n in range(40)] + [(f"h{n}", "hub", start) for n in range(20)]
+    rows += [(None, "h1", start), ("h1", None, start), ("h1", "h2", None)]
+    df = spark.createDataFrame(rows, "src string, dst string, at timestamp_ntz")
+    for hops in (1, 2, 4):
+        best = {"h1": None, "h7": None}  # the earliest time within the hops so far
+        wanted = {value: (0, None) for value in best}
+        for hop in range(1, hops + 1):
+            met = {}
+            for src, dst, at in rows:
+                if src in best and dst and at and (best[src] is None or at >= best[src]):
+                    met[dst] = min(met.get(dst, at), at)
+            for value, at in met.items():
+                wanted.setdefault(value, (hop, at))
+                if value not in best or best[value] is not None and at < best[value]:
+                    best[value] = at
+        for parts in (1, 5):
+            found = lf.reachable(df, ["h1", "h7"], "src", "dst", hops, ts_field="at", parts=parts)
+            assert {row["value"]: (row["hop"], row["at"]) for row in found.collect()} == wanted
+    assert lf.reachable(df.limit(0), ["h1"], "src", "dst", 3, ts_field="at").count() == 1
+    with pytest.raises(ValueError):
+        lf.reachable(df, ["h1"], "src", "dst", 0, ts_field="at")
