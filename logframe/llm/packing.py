@@ -71,8 +71,8 @@ def pack(
     length 0 in the first bucket. Repeated rows and ids are placed each.
     No rows in, no rows out. Other columns are ignored.
 
-    A bucket's pieces are numbered in parallel: dealt by a hash of the id and
-    piece into salts, numbered in each, and moved by the sizes of the salts
+    A bucket's pieces are numbered in parallel: dealt by a hash of the id, piece
+    and row as it was kept, so that an id on many rows is spread too, into salts, numbered in each, and moved by the sizes of the salts
     before.
     """
     if max_length % multiple:
@@ -89,7 +89,8 @@ def pack(
         F.least(F.col("n_all") - F.col("piece") * max_length, F.lit(max_length)).alias("n_words"),
     )
     cell = F.greatest(F.ceil(F.col("n_words") / multiple), F.lit(1)) * multiple
-    pieces = checkpointed(pieces.withColumn("cell", cell.cast("int")))
+    # The row number is kept with the rows, so it is the same whoever reads them.
+    pieces = checkpointed(pieces.withColumns({"cell": cell.cast("int"), "kept": F.monotonically_increasing_id()}))
     histogram = pieces.groupBy("cell").count().collect()
     total = sum(row["count"] for row in histogram)
     ends = best_boundaries(
@@ -103,7 +104,7 @@ def pack(
     for end in reversed(ends[:-1]):
         length = F.when(F.col("cell") <= end, F.lit(end)).otherwise(length)
     dealt = pieces.withColumn("bucket_length", length).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
+        "salt", F.pmod(F.xxhash64("doc_id", "piece", "kept"), F.lit(salts)).cast("int")
     )
     before = Window.partitionBy("bucket_length").orderBy("salt")
     offsets = (
@@ -113,7 +114,7 @@ def pack(
         .drop("here")
     )
     inside = Window.partitionBy("bucket_length", "salt").orderBy(
-        "doc_id", "piece", "n_words", "first_word"
+        "doc_id", "piece", "n_words", "first_word", "kept"
     )
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.col("bucket_length")))
     return (

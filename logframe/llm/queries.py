@@ -136,7 +136,11 @@ def _hex64(name: str):
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without its source's boilerplate lines."""
+    """What is left of every document without its source's boilerplate lines.
+
+    A line needs five of the source's documents besides a tenth of them, so a
+    source of fewer than five keeps all its lines.
+    """
     return line_dedup(documents(spark, sf_dir)).select(
         "doc_id",
         "n_lines",

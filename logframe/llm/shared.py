@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logframe.sources.folders import new_folder, shared_folder
+
 # The characters between words, inside a character class.
 WHITE = r"\x20\x09-\x0D"
 
@@ -18,26 +18,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or a temporary one where it is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="logframe-checkpoints-"))
-    return context.getCheckpointDir()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows computed once and kept in the checkpoint folder, without their lineage."""
-    checkpoint_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new folder's address below the checkpoint folder."""
-    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows kept as compressed Parquet in the checkpoint folder, for those with texts in them."""
     folder = new_folder(df.sparkSession, name)

@@ -25,6 +25,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 1 << 20
 PROBE = 1 << 10
 
+# Bytes of the buffer that are looked at and decoded at once: what decoding leaves is copied.
+PIECE = 1 << 14
+
 RECORDS = (
     "file string, offset bigint, record_type string, record_id string, refers_to string, "
     "url string, payload_digest string, payload_bytes bigint, payload binary, intact boolean"
@@ -195,16 +198,16 @@ class Window:
     at: int = 0
     held: bytes = b""
 
-    def bytes_from(self, offset: int, least: int) -> bytes:
-        """The bytes from an offset on, ``least`` of them at least unless the file ends."""
-        if offset < self.at or offset > self.at + len(self.held):
-            self.at, self.held = offset, b""
-        elif offset > self.at:
-            self.held, self.at = self.held[offset - self.at :], offset
-        if len(self.held) < least and self.at + len(self.held) < self.size:
-            self.file.seek(self.at + len(self.held))
-            self.held += self.file.read(max(CHUNK, least - len(self.held)))
-        return self.held
+    def view(self, offset: int, least: int = 1) -> bytes:
+        """Up to PIECE bytes from an offset on, ``least`` of them at least unless the file ends.
+
+        Only the piece is copied; the buffer is read anew where it ends.
+        """
+        low = offset - self.at
+        if low < 0 or low + least > len(self.held) and self.at + len(self.held) < self.size:
+            self.file.seek(offset)
+            self.at, self.held, low = offset, self.file.read(CHUNK), 0
+        return self.held[low : low + PIECE]
 
 
 def records_in(file: str, size: int, start: int, end: int) -> Iterator[dict]:
@@ -213,7 +216,7 @@ def records_in(file: str, size: int, start: int, end: int) -> Iterator[dict]:
     with system.open_input_file(path) as opened:
         window, at = Window(opened, size), start
         while at < end:
-            seen = window.bytes_from(at, CHUNK)
+            seen = window.view(at, len(MAGIC))
             found = seen.find(MAGIC, 0, min(len(seen), end - at + len(MAGIC) - 1))
             if found < 0:
                 at += max(1, len(seen) - len(MAGIC) + 1)
@@ -234,10 +237,9 @@ def _starts_record(window: Window, at: int) -> bool:
     """Whether a gzip member starts here that decodes to a WARC version at first."""
     unpack, head = zlib.decompressobj(31), b""
     try:
-        while len(head) < len(VERSION) and not unpack.eof and (seen := window.bytes_from(at, 1)):
-            part = seen[:PROBE]  # what decoding leaves is copied, so not the whole window
-            head += unpack.decompress(part, len(VERSION) - len(head))
-            at += len(part)
+        while len(head) < len(VERSION) and not unpack.eof and (seen := window.view(at)):
+            head += unpack.decompress(seen[:PROBE], len(VERSION) - len(head))
+            at += len(seen[:PROBE])
     except zlib.error:
         return False
     return head == VERSION
@@ -247,7 +249,7 @@ def _whole(window: Window, at: int) -> tuple[bytes, int]:
     """A member's bytes, and where it ends."""
     unpack, parts = zlib.decompressobj(31), []
     while not unpack.eof:
-        seen = window.bytes_from(at, 1)
+        seen = window.view(at)
         if not seen:
             raise ValueError(f"a record ends early at byte {at}")
         parts.append(unpack.decompress(seen))
