@@ -1,6 +1,7 @@
 """Exact dedup, line dedup and the Jaccard join against brute force."""
 
 import hashlib
+import random
 import re
 import string
 from collections import Counter, defaultdict
@@ -132,3 +133,27 @@ def test_components(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "one bigint, other bigint")).collect()}
     wanted = {i: 0 for i in range(31)} | {i: 100 for i in range(100, 140)} | {500: 450, 450: 450}
     assert found == wanted
+
+
+@pytest.mark.parametrize("k,percent", [(2, 80), (3, 60)])
+def test_a_shared_passage_chains_nothing(spark, k, percent):
+    """Documents with one of few passages, and near copies among them, in regions that have to be divided."""
+    rng = random.Random(k)
+    passages = [[f"p{n}-{i}" for i in range(12)] for n in range(3)]
+    rows = []
+    for n in range(220):
+        own = [f"w{rng.randrange(4000)}" for _ in range(rng.randint(8, 30))]
+        if n % 3 == 0:
+            at = rng.randrange(len(own))
+            own[at:at] = passages[n % 9 // 3]
+        rows.append((n, " ".join(own)))
+        if n % 7 == 0:
+            near = list(own)
+            near[rng.randrange(len(near))] = "other"
+            rows.append((1000 + n, " ".join(near)))
+    rows += [(2000 + n, " ".join(passages[0] + [f"t{n}"])) for n in range(40)]  # hardly more than the passage
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = jaccard_components(docs, words=k, percent=percent, region_sets=6)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in found.collect())
+    assert found == Counter(brute_jaccard(rows, k, percent))
+    assert max(n for *_, n in found) > 20
