@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import calendar
 import fnmatch
-import functools
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -252,8 +251,8 @@ def _named(path: Column, names: dict[str, str]) -> Column:
 def _file_totals(spark: SparkSession, root: str, pattern: Pattern) -> DataFrame:
     """Rows, files, bytes and file times of each table, without reading a data column.
 
-    Files come from a listing, so those without rows count too; rows from scans
-    of no column, one for each family of tables.
+    Files come from a listing, so those without rows count too; rows from one
+    scan of no column over all tables.
     """
     paths = _table_paths(spark, root, pattern, "parquet")
     files = (
@@ -268,26 +267,19 @@ def _file_totals(spark: SparkSession, root: str, pattern: Pattern) -> DataFrame:
             F.col("modificationTime").alias("time"),
         )
     )
-    arms = []
-    for names in _families(paths).values():
-        # An empty schema: no column is read, and none has to be inferred.
-        rows = spark.read.schema(T.StructType()).parquet(*[paths[name] for name in names])
-        if len(names) == 1:
-            counts = rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("index", F.lit(names[0]))
-        else:
-            counts = rows.groupBy(_named(F.col("_metadata.file_path"), paths).alias("index")).agg(
-                F.count(F.lit(1)).alias("rows")
-            )
-        arms.append(
-            counts.select(
-                "index",
-                "rows",
-                F.lit(None).cast("bigint").alias("bytes"),
-                F.lit(None).cast("timestamp").alias("time"),
-            )
-        )
+    # An empty schema: no column is read, and none has to be inferred.
+    rows = spark.read.schema(T.StructType()).option("recursiveFileLookup", "true").parquet(*paths.values())
+    counts = rows.groupBy(_named(F.col("_metadata.file_path"), paths).alias("index")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    counts = counts.select(
+        "index",
+        "rows",
+        F.lit(None).cast("bigint").alias("bytes"),
+        F.lit(None).cast("timestamp").alias("time"),
+    )
     totals = (
-        functools.reduce(DataFrame.unionByName, arms, files)
+        files.unionByName(counts)
         .groupBy("index")
         .agg(
             F.sum("rows").alias("doc_count"),
