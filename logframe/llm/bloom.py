@@ -28,11 +28,11 @@ def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> np.ndarray:
         keys.select(block.alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(bits)])
         .groupBy("block")
         .agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-        .toPandas()
+        .toArrow()
     )
     table = np.zeros((blocks, WORDS), dtype=np.int64)
-    if len(rows):
-        table[rows["block"].to_numpy()] = rows[[f"w{i}" for i in range(WORDS)]].to_numpy()
+    for i in range(WORDS):
+        table[rows["block"].to_numpy(), i] = rows[f"w{i}"].to_numpy()
     return table.view(np.uint64)
 
 
