@@ -1,6 +1,7 @@
 """Wildcard scans over tables written for the test."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,3 +179,11 @@ def test_nested_times_and_dates(spark, tmp_path):
     spark.sql("select date'2024-01-01' as day").write.parquet(f"{tmp_path}/d")
     found = {r.title: r.time_field for r in lf.list_time_fields(spark, str(tmp_path)).collect()}
     assert found == {"n": "meta.at", "d": "day"}
+
+
+def test_bytes_and_files_are_those_of_the_file_system(spark):
+    sizes = {path.stem: path.stat().st_size for path in Path("/root/testdata/sf0.01").glob("*.parquet")}
+    listed = lf.list_tables(spark, "/root/testdata/sf0.01").collect()
+    assert {row["index"]: row["store_bytes"] for row in listed} == sizes
+    layout = lf.table_layout(spark, "/root/testdata/sf0.01").collect()
+    assert {row["index"]: (row["files"], row["store_bytes"]) for row in layout} == {n: (1, b) for n, b in sizes.items()}
