@@ -27,10 +27,9 @@ PIVOTS = 8
 SHRINK = 0.7
 # Added to distances before they are compared, against rounding.
 SLACK = 1e-9
-# How often shingles occur is counted in so many cells, over so many shingles
-# about: it orders them, and no result depends on the order.
+# How often shingles occur is counted in so many cells: it orders them, and no
+# result depends on the order.
 CELLS = 1 << 20
-COUNTED = 50_000_000
 
 ROW_KEY = ["row_hash", "row_id", "no_id", "row_text"]
 
@@ -253,23 +252,11 @@ def _by_rare_shingles(members: DataFrame, words: int, percent: int) -> DataFrame
     order, they share one of the first ``n - ceil(n * percent / 100) + 1`` of
     each. Rare shingles come first: a passage that many documents share is in
     hardly any document's first ones, and joins nothing. How often shingles
-    occur is counted in CELLS cells over a sample of some COUNTED shingles; a bad
-    guess costs comparisons, never a link. Sets go on alone where nothing is
+    occur is counted in CELLS cells over all sets; where shingles share a cell that
+    costs comparisons, never a link. Sets go on alone where nothing is
     shared. Rows with shingles' hashes are two numbers; each text is sent once.
     """
-    total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    each = max(1, total // COUNTED)
-    counted = (
-        members.filter(F.pmod(F.xxhash64("node"), F.lit(each)) == 0)
-        .select("text")
-        .mapInArrow(_cell_counts(words), "cell int, n bigint")
-        .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
-    )
-    often = np.zeros(CELLS, dtype=np.int64)
-    often[counted["cell"].to_numpy()] = counted["n"].to_numpy()
-    held = members.sparkSession.sparkContext.broadcast(often)
+    held = members.sparkSession.sparkContext.broadcast(_often(members, words))
     told = members.withColumn("place", F.xxhash64("region", "node"))
     rare = checkpointed(
         told.select("region", "place", "text")
@@ -297,6 +284,20 @@ def _by_rare_shingles(members: DataFrame, words: int, percent: int) -> DataFrame
     )
 
 
+def _often(members: DataFrame, words: int) -> np.ndarray:
+    """How many sets have shingles of each cell, over all members; the driver gets a row per cell."""
+    counted = (
+        members.select("text")
+        .mapInArrow(_cell_counts(words), "cell int, n bigint")
+        .groupBy("cell")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    often = np.zeros(CELLS, dtype=np.int64)
+    often[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    return often
+
+
 def _cell(items: np.ndarray) -> np.ndarray:
     return (items >> np.uint64(20)).astype(np.int64) & (CELLS - 1)
 

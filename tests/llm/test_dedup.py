@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from logframe.llm import jaccard_join
 from logframe.llm.components import components
 from logframe.llm.exact_dedup import exact_dedup
 from logframe.llm.jaccard_join import class_keys, jaccard_components
@@ -157,3 +158,22 @@ def test_a_shared_passage_chains_nothing(spark, k, percent):
     found = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in found.collect())
     assert found == Counter(brute_jaccard(rows, k, percent))
     assert max(n for *_, n in found) > 20
+
+
+def test_rare_shingles_are_counted_over_all_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COUNTED", 10, raising=False)
+    seen, rare = [], jaccard_join._rare_shingles
+
+    def spy(words, percent, held):
+        seen.append(held.value)
+        return rare(words, percent, held)
+
+    monkeypatch.setattr(jaccard_join, "_rare_shingles", spy)
+    rows = [("r", f"n{i}", True, 18, " ".join(f"w{i % 7}x{j}" for j in range(20))) for i in range(50)]
+    members = spark.createDataFrame(rows, "region string, node string, home boolean, n_shingles bigint, text string")
+    regions = jaccard_join._by_rare_shingles(members, 3, 80).select("region", "node").collect()
+    assert seen[0].sum() == 50 * 18 and sorted(set(seen[0][seen[0] > 0])) == [7, 8]
+    groups = defaultdict(set)
+    for region, node in regions:
+        groups[region].add(int(node[1:]) % 7)
+    assert sorted(groups.values(), key=min) == [{i} for i in range(7)]
