@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logframe.llm.shared import tidy
+
 # A block is one cache line: eight words of 64 bits, of which a key sets one bit each.
 WORDS = 8
 # Blocks at most, 128 MB: a longer list makes more false hits, which the join removes.
@@ -24,12 +26,13 @@ def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> np.ndarray:
     """
     blocks = min(MOST_BLOCKS, 1 << max(4, math.ceil(math.log2(max(1, n_keys) * 16 / (64 * WORDS)))))
     block, bits = _places(F.col(key), blocks)
-    rows = (
-        keys.select(block.alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(bits)])
-        .groupBy("block")
-        .agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-        .toArrow()
-    )
+    with tidy(keys.sparkSession):
+        rows = (
+            keys.select(block.alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(bits)])
+            .groupBy("block")
+            .agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
+            .toArrow()
+        )
     table = np.zeros((blocks, WORDS), dtype=np.int64)
     for i in range(WORDS):
         table[rows["block"].to_numpy(), i] = rows[f"w{i}"].to_numpy()

@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 
 from logframe.llm.bloom import bloom_blocks, may_hold, possible
 from logframe.llm.components import components
-from logframe.llm.shared import checkpointed, written
+from logframe.llm.shared import checkpointed, tidy, written
 from logframe.llm.words import mix, shingles, text_slices, word_hashes
 
 # A region of at most so many sets, and shingles in all, is joined in one task.
 REGION_SETS = 256
 REGION_SHINGLES = 4_000_000
+# Sets that are compared with so many others at a time, and how many times REGION_SETS
+# are a block of a region that cannot be cut: each text is sent once for every block.
+TILE = 128
+BLOCK = 4
 # Tasks that a larger region's sets are dealt to when it is cut.
 PARTS = 8
 # Pivots of a larger region, and the share of it that a new region may have at most.
@@ -237,9 +241,10 @@ def region_links(
             .withColumn("stuck", F.col("most") > F.col("n") * SHRINK)
         )
         grown = written(grown, "jaccard-grown")
-        stuck = grown.filter("stuck").select(F.col("parent").alias("region"), "n", "weight")
-        blocks = _blocks(work.join(stuck, "region"), region_sets)
-        out = _join(out, _compared(blocks, words, percent, blocked=True))
+        stuck = grown.filter("stuck").select(F.col("parent").alias("region"))
+        if not stuck.isEmpty():
+            blocks = _blocks(work.join(stuck, "region", "left_semi"), region_sets, percent)
+            out = _join(out, _compared(blocks, words, percent, blocked=True))
         cells = cells.join(grown.filter("not stuck").select("parent"), "parent", "left_semi").drop("parent")
         cells = cells.withColumn("rare", F.lit(True))
         work = cells if parted is None else parted.unionByName(cells)
@@ -286,13 +291,14 @@ def _by_rare_shingles(members: DataFrame, words: int, percent: int) -> DataFrame
 
 def _often(members: DataFrame, words: int) -> np.ndarray:
     """How many sets have shingles of each cell, over all members; the driver gets a row per cell."""
-    counted = (
-        members.select("text")
-        .mapInArrow(_cell_counts(words), "cell int, n bigint")
-        .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
-    )
+    with tidy(members.sparkSession):
+        counted = (
+            members.select("text")
+            .mapInArrow(_cell_counts(words), "cell int, n bigint")
+            .groupBy("cell")
+            .agg(F.sum("n").alias("n"))
+            .toArrow()
+        )
     often = np.zeros(CELLS, dtype=np.int64)
     often[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     return often
@@ -342,32 +348,46 @@ def _join(one: DataFrame | None, other: DataFrame) -> DataFrame:
     return other if one is None else one.unionByName(other)
 
 
-def _blocks(members: DataFrame, region_sets: int) -> DataFrame:
-    """Regions that pivots do not cut: all pairs of blocks of their sets, a region each.
+def _blocks(members: DataFrame, region_sets: int, percent: int) -> DataFrame:
+    """Regions that pivots do not cut: pairs of blocks of their sets, a region each.
 
-    Every set goes with every block of its region once, in the order of the two
-    blocks, so two sets meet exactly once and no region is larger than two blocks.
+    A block has sets of one shell of sizes, and goes with the blocks of its own and
+    the neighbouring shells: sets of others cannot link. So two sets that may
+    link meet exactly once and no region is larger than two blocks.
     """
-    half = max(1, region_sets // 2)
-    blocks = F.greatest(
-        F.ceil(F.col("n") / half), F.ceil(2 * F.col("weight") / REGION_SHINGLES)
+    half = BLOCK * region_sets
+    shell = F.floor(F.log("n_shingles") / F.lit(_shell_width(percent))).cast("int")
+    members = members.withColumn("shell", shell)
+    needed = F.greatest(
+        F.ceil(F.count(F.lit(1)) / half), F.ceil(2 * F.sum("n_shingles") / REGION_SHINGLES)
     ).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    return (
-        members.withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            F.concat_ws(
-                "/", "region", F.lit("pair"), F.least("own", "with"), F.greatest("own", "with")
-            ).alias("region"),
-            "node",
-            "home",
-            "text",
-            F.when(F.col("own") == F.col("with"), 2)
-            .otherwise((F.col("own") > F.col("with")).cast("int"))
-            .alias("side"),
-        )
+    # One short row for each region.
+    shells = written(
+        members.groupBy("region", "shell")
+        .agg(needed.alias("blocks"))
+        .groupBy("region")
+        .agg(F.map_from_entries(F.collect_list(F.struct("shell", "blocks"))).alias("blocks")),
+        "jaccard-shells",
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")[F.col("shell")]).cast("int")
+    met = F.explode(F.sequence(F.col("shell") - 1, F.col("shell") + 1))
+    dealt = (
+        members.join(shells, "region")
+        .withColumn("own", F.struct("shell", own.alias("block")))
+        .withColumn("met", met)
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.try_element_at("blocks", "met") - 1)))
+        .withColumn("with", F.struct(F.col("met").alias("shell"), "block"))
+    )
+    first, second = F.least("own", "with"), F.greatest("own", "with")
+    pair = [end.getField(name) for end in (first, second) for name in ("shell", "block")]
+    return dealt.select(
+        F.concat_ws("/", "region", F.lit("pair"), *pair).alias("region"),
+        "node",
+        "home",
+        "text",
+        F.when(F.col("own") == F.col("with"), 2)
+        .otherwise((F.col("own") > F.col("with")).cast("int"))
+        .alias("side"),
     )
 
 
@@ -384,7 +404,11 @@ def _compared(members: DataFrame, words: int, percent: int, blocked: bool = Fals
 @lru_cache(maxsize=4096)
 def _shell(size: int, percent: int) -> int:
     """Sets that may link are in the same shell of sizes or in neighbouring ones."""
-    return int(math.log(size) / (math.log(100 / percent) * (1 + 1e-9)))
+    return int(math.log(size) / _shell_width(percent))
+
+
+def _shell_width(percent: int) -> float:
+    return math.log(100 / percent) * (1 + 1e-9)
 
 
 @lru_cache(maxsize=4096)
@@ -545,16 +569,11 @@ def _links(words: int, percent: int, blocked: bool):
         side = table.column("side").to_numpy()
         sets = [own for chunk in table.column("text").chunks for _, _, part in _sets(chunk, words) for own in part]
         sizes = np.array([len(own) for own in sets])
-        flat = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(nodes)), sizes)
-        both = _overlaps(flat, owner, len(nodes))
-        union = sizes[:, None] + sizes[None, :] - both
-        linked = 100 * both >= percent * union
-        np.fill_diagonal(linked, False)
-        linked &= home[:, None] | home[None, :]
-        if blocked:  # sets of one of two different blocks meet elsewhere
-            linked &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
+        order = np.argsort(sizes, kind="stable")
+        tiles = [order[low : low + TILE] for low in range(0, len(order), TILE)]
+        items = [np.unique(np.concatenate([sets[i] for i in tile])) for tile in tiles]
         one, other, counts = [], [], []
+        degrees = np.zeros(len(nodes), dtype=np.int64)
         parent = list(range(len(nodes)))
 
         def root(x: int) -> int:
@@ -563,17 +582,31 @@ def _links(words: int, percent: int, blocked: bool):
                 x = parent[x]
             return x
 
-        for a, b in zip(*np.nonzero(np.triu(linked))):
-            ra, rb = root(int(a)), root(int(b))
-            if ra != rb:
-                parent[rb] = ra
-                one.append(nodes[a])
-                other.append(nodes[b])
-                counts.append(None)
-        for i in np.flatnonzero(linked.any(axis=1) & home):
+        for t, a in enumerate(tiles):
+            for u, b in enumerate(tiles[t:], t):
+                if 100 * sizes[a[-1]] < percent * sizes[b[0]]:
+                    break  # and the sets of later tiles are larger still
+                shared = np.intersect1d(items[t], items[u], assume_unique=True)
+                both = _overlaps([sets[i] for i in a], [sets[i] for i in b], shared)
+                linked = 100 * both >= percent * (sizes[a][:, None] + sizes[b][None, :] - both)
+                if t == u:
+                    linked = np.triu(linked, 1)
+                linked &= home[a][:, None] | home[b][None, :]
+                if blocked:  # sets of one of two different blocks meet elsewhere
+                    linked &= (side[a][:, None] != side[b][None, :]) | (side[a][:, None] == 2)
+                degrees[a] += linked.sum(axis=1)
+                degrees[b] += linked.sum(axis=0)
+                for x, y in zip(*np.nonzero(linked)):
+                    rx, ry = root(int(a[x])), root(int(b[y]))
+                    if rx != ry:
+                        parent[ry] = rx
+                        one.append(nodes[a[x]])
+                        other.append(nodes[b[y]])
+                        counts.append(None)
+        for i in np.flatnonzero((degrees > 0) & home):
             one.append(nodes[i])
             other.append(None)
-            counts.append(int(linked[i].sum()))
+            counts.append(int(degrees[i]))
         return pa.table(
             {
                 "one": pa.array(one, pa.string()),
@@ -585,21 +618,20 @@ def _links(words: int, percent: int, blocked: bool):
     return links
 
 
-def _overlaps(flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """How many items each two sets have in common."""
-    both = np.zeros((n, n), dtype=np.int64)
-    _, item, times = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = times[item] > 1
-    item, owner = item[shared], owner[shared]
-    if len(item) == 0:
-        return both
-    _, item = np.unique(item, return_inverse=True)
-    order = np.argsort(item, kind="stable")
-    item, owner = item[order], owner[order]
-    step = max(1, 8_000_000 // n)  # columns of a part of the matrix of sets by items
-    for low in range(0, int(item[-1]) + 1, step):
-        a, b = np.searchsorted(item, [low, low + step])
-        has = np.zeros((n, step), dtype=np.float32)
-        has[owner[a:b], item[a:b] - low] = 1
-        both += np.rint(has @ has.T).astype(np.int64)
+def _overlaps(one: list[np.ndarray], other: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
+    """How many items each set of ``one`` has in common with each of ``other``; ``shared`` holds what both sides have."""
+    both = np.zeros((len(one), len(other)), dtype=np.int64)
+    step = max(1, 8_000_000 // max(len(one), len(other)))  # columns of a part of the matrices of sets by items
+
+    def placed(sets: list[np.ndarray], items: np.ndarray) -> np.ndarray:
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(own) for own in sets])
+        at = np.minimum(np.searchsorted(items, flat), len(items) - 1)
+        met = items[at] == flat
+        has = np.zeros((len(sets), len(items)), dtype=np.float32)
+        has[owner[met], at[met]] = 1
+        return has
+
+    for low in range(0, len(shared), step):
+        items = shared[low : low + step]
+        both += np.rint(placed(one, items) @ placed(other, items).T).astype(np.int64)
     return both

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logframe.sources.folders import new_folder, shared_folder
@@ -18,16 +20,36 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+# Whether Spark removes a query's shuffle files when it ends, not when the driver's JVM collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries that are built and run inside leave no shuffle files.
+
+    For results that are kept elsewhere: a frame that is run twice inside would shuffle twice.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows computed once and kept in the checkpoint folder, without their lineage."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    with tidy(df.sparkSession):
+        return df.select("*").checkpoint()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows kept as compressed Parquet in the checkpoint folder, for those with texts in them."""
     folder = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    with tidy(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

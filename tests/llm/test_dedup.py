@@ -14,6 +14,7 @@ from logframe.llm.components import components
 from logframe.llm.exact_dedup import exact_dedup
 from logframe.llm.jaccard_join import class_keys, jaccard_components
 from logframe.llm.line_dedup import line_dedup
+from logframe.llm.shared import CLEANUP, checkpointed, written
 from tests.llm.fixtures import SCHEMA, tricky
 
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -177,3 +178,38 @@ def test_rare_shingles_are_counted_over_all_sets(spark, monkeypatch):
     for region, node in regions:
         groups[region].add(int(node[1:]) % 7)
     assert sorted(groups.values(), key=min) == [{i} for i in range(7)]
+
+
+def test_blocks_send_texts_few_times_and_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE", 7, raising=False)
+    rng = random.Random(5)
+    rows, sets = [], []
+    for n in range(90):
+        own = [f"w{n // 6}x{i}" for i in range(10 + n // 4)]
+        own[rng.randrange(len(own))] = f"o{n}"
+        sets.append({" ".join(own[i : i + 2]) for i in range(len(own) - 1)})
+        rows.append(("r", f"n{n}", True, len(sets[-1]), " ".join(own)))
+    kinds = "region string, node string, home boolean, n_shingles bigint, text string"
+    blocks = jaccard_join._blocks(spark.createDataFrame(rows, kinds), 8, 70).cache()
+    assert blocks.count() <= 90 * 3
+    found = jaccard_join._compared(blocks, 2, 70, blocked=True).collect()
+    degrees = Counter()
+    for r in found:
+        degrees[r.one] += r.links or 0
+    near = lambda a, b: 100 * len(a & b) >= 70 * len(a | b)
+    wanted = {f"n{i}": sum(near(a, b) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)}
+    assert +degrees == +Counter(wanted) and max(wanted.values()) > 2
+
+
+@pytest.mark.parametrize("keep", [checkpointed, lambda df: written(df, "kept")])
+def test_kept_rows_leave_no_shuffle_files(spark, monkeypatch, keep):
+    modes = []
+    monkeypatch.setattr(type(spark.conf), "set", _noting(type(spark.conf).set, modes))
+    before = spark.conf.get(CLEANUP, None)
+    kept = keep(spark.range(100).repartition(3))
+    assert kept.count() == kept.count() == 100
+    assert modes[0] == (CLEANUP, "true") and spark.conf.get(CLEANUP, None) == before
+
+
+def _noting(put, noted):
+    return lambda conf, key, value: (noted.append((key, value)), put(conf, key, value))[1]
