@@ -20,8 +20,8 @@ from logframe.functions.text import WORD_BREAK, query_words
 FOLDERS = 64
 PARTS = 4
 
-# Words that are sorted together; a longer text is alone.
-SLICE_WORDS = 2_000_000
+# Words that are sorted together, of some hundred bytes each on the way; a longer text is alone.
+SLICE_WORDS = 250_000
 
 
 def _folder(word: Column, folders: int) -> Column:

@@ -4,10 +4,13 @@ import datetime as dt
 import random
 import re
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 import logframe as lf
+from logframe.operators import postings as postings_module
 from logframe.functions.times import parse_time
 from registered.queries import table
 from tests.test_plans import executed
@@ -176,3 +179,17 @@ def test_a_search_opens_the_folders_of_its_words(texts):
     one = lf.search_postings(postings, "gamma", folders=5)
     one.collect()
     assert read_files(one)[0] <= 2  # one folder, in two parts at most
+
+
+def test_postings_group_few_words_at_a_time(monkeypatch):
+    sizes, grouped = [], postings_module._grouped
+
+    def spy(batch, folders):
+        sizes.append(int(pc.sum(batch["words"].value_lengths()).as_py()))
+        return grouped(batch, folders)
+
+    monkeypatch.setattr(postings_module, "_grouped", spy)
+    words = pa.array([[f"w{i % 50}" for i in range(1000)]] * 900)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(900)), words], ["doc", "words"])
+    rows = sum(out.num_rows for out in postings_module._runs(4)([batch]))
+    assert sum(sizes) == 900_000 and max(sizes) <= 250_000 and rows == 900 * 4
