@@ -241,3 +241,31 @@ def test_long_texts_in_blocks(monkeypatch):
     whole = network.scores(hashes, places)
     monkeypatch.setattr(toxicity, "BLOCK_WORDS", 7)
     assert np.allclose(network.scores(hashes, places), whole)
+
+
+def test_runs_take_few_bytes_and_no_shuffle_file_stays(spark, tmp_path):
+    # 12 bytes a run and 24 for each that others begin with were more disk than the texts allow.
+    draw = random.Random(5)
+    rows = [(i, " ".join(f"w{draw.randrange(3000)}" for _ in range(300))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tidied, frames = [], kneser_ney.tidy
+    try:
+        kneser_ney.tidy = lambda session: tidied.append(1) or frames(session)
+        model = kneser_ney.train(docs, folder=f"file:{tmp_path}", order=3)
+    finally:
+        kneser_ney.tidy = frames
+    runs = sum(table.rows for table in model.tables)
+    assert runs > 100_000 and len(tidied) == 5
+    assert sum(file.stat().st_size for file in tmp_path.iterdir()) < 12 * runs
+
+
+def test_packed_tables():
+    draw = np.random.default_rng(3)
+    for width in (11, 40, 64):
+        numbers = np.unique(draw.integers(0, (1 << width) - 1, 900, dtype=np.uint64, endpoint=True))
+        spread = kneser_ney.spread(numbers, width)
+        assert len(set(spread.tolist())) == len(numbers) and int(spread.max()) < 1 << width
+        assert (kneser_ney.gather(spread, width) == numbers).all()
+        counts = np.where(numbers % 7 == 0, 1 << 40, numbers % 300 + 1).astype(np.int64)
+        held = kneser_ney._unpack(kneser_ney._pack([numbers, counts]), len(numbers), 2)
+        assert (held[0] == numbers).all() and (held[1].view(np.int64) == counts).all()
