@@ -255,7 +255,10 @@ def _by_rare_shingles(members: DataFrame, words: int, percent: int) -> DataFrame
 
     Two linking sets of at least n shingles share all but few, so whatever the
     order, they share one of the first ``n - ceil(n * percent / 100) + 1`` of
-    each. Rare shingles come first: a passage that many documents share is in
+    each. Of the smaller it is even one of the first
+    ``n - ceil(n * 2 * percent / (100 + percent)) + 1``, since the intersection is at
+    least ``percent / (100 + percent)`` of both sizes together: only there a shingle
+    joins sets. Rare shingles come first: a passage that many documents share is in
     hardly any document's first ones, and joins nothing. How often shingles
     occur is counted in CELLS cells over all sets; where shingles share a cell that
     costs comparisons, never a link. Sets go on alone where nothing is
@@ -265,13 +268,19 @@ def _by_rare_shingles(members: DataFrame, words: int, percent: int) -> DataFrame
     told = members.withColumn("place", F.xxhash64("region", "node"))
     rare = checkpointed(
         told.select("region", "place", "text")
-        .mapInArrow(_rare_shingles(words, percent, held), "region string, place bigint, item bigint")
-        .select("place", F.xxhash64("region", "item").alias("key"))
+        .mapInArrow(
+            _rare_shingles(words, percent, held), "region string, place bigint, item bigint, early boolean"
+        )
+        .select("place", F.xxhash64("region", "item").alias("key"), "early")
     )
     meeting = (
         rare.groupBy("key")
-        .agg(F.min("place").alias("first"), F.max("place").alias("last"))
-        .filter("first != last")
+        .agg(
+            F.min(F.when(F.col("early"), F.col("place"))).alias("first"),
+            F.min("place").alias("least"),
+            F.max("place").alias("last"),
+        )
+        .filter("least != last and first is not null")
         .select("key", "first")
     )
     edges = rare.join(meeting, "key").filter("place != first").select("place", "first").distinct()
@@ -321,24 +330,29 @@ def _cell_counts(words: int):
 
 
 def _rare_shingles(words: int, percent: int, held: Broadcast[np.ndarray]):
-    """Each set's rarest shingles, as many as two linking sets cannot both do without."""
+    """Each set's rarest shingles, as many as two linking sets cannot both do without.
+
+    Those that it cannot do without as the smaller of the two are early.
+    """
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, sets in _sets(batch.column("text"), words):
-                firsts = []
+                firsts, early = [], []
                 for items in sets:
                     n = len(items)
                     order = np.lexsort((items, held.value[_cell(items)]))
                     firsts.append(items[order[: n - -(-n * percent // 100) + 1]])
+                    early.append(np.arange(len(firsts[-1])) <= n - -(-n * 2 * percent // (100 + percent)))
                 owner = pa.array(np.repeat(np.arange(low, high), [len(own) for own in firsts]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("region").take(owner),
                         batch.column("place").take(owner),
                         pa.array(np.concatenate(firsts).view(np.int64)),
+                        pa.array(np.concatenate(early)),
                     ],
-                    ["region", "place", "item"],
+                    ["region", "place", "item", "early"],
                 )
 
     return rare

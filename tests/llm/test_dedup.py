@@ -7,6 +7,7 @@ import string
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logframe.llm import jaccard_join
@@ -213,3 +214,38 @@ def test_kept_rows_leave_no_shuffle_files(spark, monkeypatch, keep):
 
 def _noting(put, noted):
     return lambda conf, key, value: (noted.append((key, value)), put(conf, key, value))[1]
+
+
+def test_late_shingles_join_no_sets(spark):
+    # Two sets of 20, of which 3 are early: their own. What they share comes after.
+    common = [f"c{i}" for i in range(16)]
+    texts = [" ".join([f"{name}{i}" for i in range(3)] + ["both"] + common) for name in ("u", "v")]
+    texts += [" ".join([f"d{n}x{i}" for i in range(19)] + [common[n % 16]]) for n in range(32)]
+    rows = [("r", f"n{n}", True, 20, text) for n, text in enumerate(texts)]
+    kinds = "region string, node string, home boolean, n_shingles bigint, text string"
+    assert jaccard_join._by_rare_shingles(spark.createDataFrame(rows, kinds), 1, 80).collect() == []
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linking_sets_share_an_early_shingle(percent):
+    class Held:
+        value = np.zeros(jaccard_join.CELLS, np.int64)
+
+    draw = random.Random(percent)
+    texts = []
+    for n in range(120):
+        own = [f"w{n // 4}x{i}" for i in range(8 + n // 4)]
+        for _ in range(draw.randrange(5)):
+            own.pop(draw.randrange(len(own)))
+        texts.append(" ".join(own))
+    batch = pa.RecordBatch.from_pydict({"region": ["r"] * 120, "place": list(range(120)), "text": texts})
+    found = pa.Table.from_batches(jaccard_join._rare_shingles(1, percent, Held)(iter([batch]))).to_pylist()
+    early = [{r["item"] for r in found if r["place"] == i and r["early"]} for i in range(120)]
+    every = [{r["item"] for r in found if r["place"] == i} for i in range(120)]
+    sets, linked = [set(text.split()) for text in texts], 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j and len(a) <= len(b) and 100 * len(a & b) >= percent * len(a | b):
+                linked += 1
+                assert early[i] & every[j]
+    assert linked > 50 and sum(map(len, early)) < sum(map(len, every))
