@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,8 @@ def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> np.ndarray:
     table = np.zeros((blocks, WORDS), dtype=np.int64)
     for i in range(WORDS):
         table[rows["block"].to_numpy(), i] = rows[f"w{i}"].to_numpy()
+    del rows
+    pa.default_memory_pool().release_unused()
     return table.view(np.uint64)
 
 

@@ -34,6 +34,13 @@ SLACK = 1e-9
 # How often shingles occur is counted in so many cells: it orders them, and no
 # result depends on the order.
 CELLS = 1 << 20
+# Bits of a sketch at most, sets of one group that are compared pair by pair, and at a time.
+SKETCH_BITS = 1 << 16
+FEW_SETS = 16
+PAIRS = 1 << 18
+# Larger groups, or those with more bytes of sketches, are joined without looking at sketches.
+GROUP_SETS = 1 << 16
+GROUP_BYTES = 64 << 20
 
 ROW_KEY = ["row_hash", "row_id", "no_id", "row_text"]
 
@@ -67,8 +74,10 @@ def jaccard_components(
     any pivot than x. Pivots alone cannot cut a corpus, though: nearly all of
     it lies at distance 1 from any of them. So the first regions are made of
     agreement (``class_keys``): sets that may link share a class of shingles,
-    and those that share one, directly or by others, are a region. Passages that
-    many documents share may chain regions into large ones; these are divided
+    and those that share one, and whose sketches differ in no more bits than
+    linking sets can, are a region, directly or by others. Without the sketches
+    agreements by chance, ever more with more documents, would chain a corpus into
+    one region. Large regions are divided
     once more by agreement on a rare shingle. Inside, distances differ.
     ``region_links`` cuts what is large still by pivots into
     Voronoi cells, copies the sets whose distance is in the window of another
@@ -91,21 +100,10 @@ def jaccard_components(
         rows.mapInArrow(
             _describe(words, percent, held),
             "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, "
-            "keys array<bigint>",
+            "keys array<bigint>, sketch binary",
         )
     )
-    met = sets.filter("n_shingles > 0").select(F.explode("keys").alias("key"), "set_a")
-    meeting = (
-        met.groupBy("key")
-        .agg(F.min("set_a").alias("first"), F.max("set_a").alias("last"))
-        .filter("first != last")
-        .select("key", "first")
-    )
-    regions = components(
-        met.join(meeting, "key").filter("set_a != first").select("set_a", "first").distinct(),
-        "set_a",
-        "first",
-    ).select(F.col("node").alias("set_a"), F.col("root").alias("region"))
+    regions = components(_near(sets, percent)).select(F.col("node").alias("set_a"), F.col("root").alias("region"))
     # One row of each set in a region brings its text, which is what regions are
     # sent: a third of the bytes of its shingles' hashes.
     chosen = checkpointed(
@@ -159,6 +157,36 @@ def jaccard_components(
     )
 
 
+def _near(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that share a key and may link by their sketches, enough to connect all such: one, other.
+
+    Near copies share many keys, mostly with the same other sets: of keys
+    whose sets are the same one is enough. Its sets are brought together with
+    their sketches, which are about a thirtieth of the texts.
+    """
+    met = sets.filter("size(keys) > 0").select(F.explode("keys").alias("key"), "set_a")
+    # Which sets a key has, by their number and sums that cannot overflow.
+    half = F.lit(0xFFFFFFFF)
+    own = [F.count(F.lit(1)), F.sum(F.col("set_a").bitwiseAND(half)), F.sum(F.shiftrightunsigned("set_a", 32))]
+    names = ["first", "last", "n", "low", "high"]
+    ends = [F.min("set_a"), F.max("set_a")]
+    shared = (
+        met.groupBy("key")
+        .agg(*[value.alias(name) for name, value in zip(names, ends + own)])
+        .filter("first != last")
+        .select("key", F.xxhash64(*names).alias("group"))
+    )
+    groups = met.join(shared, "key").select("group", "set_a").distinct()
+    sketches = sets.filter("size(keys) > 0").select("set_a", "n_shingles", "sketch").distinct()
+    return (
+        groups.join(sketches, "set_a")
+        .select("group", "set_a", "n_shingles", "sketch")
+        .repartition("group")
+        .sortWithinPartitions("group", "n_shingles")
+        .mapInArrow(_close_pairs(percent), "one bigint, other bigint")
+    )
+
+
 def row_key(doc_id: str, text_hash: str) -> list[Column]:
     """A row's id, also one that is NULL, and text, and a hash of both."""
     return [
@@ -485,6 +513,138 @@ def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, list[np.ndar
         yield low, high, [np.unique(items[a:b]) for a, b in zip(places[:-1], places[1:])]
 
 
+def sketch(items: np.ndarray) -> bytes:
+    """Whether an odd number of a set's items fall into each of a power of two of cells, as bits.
+
+    Every bit in which two sketches differ has an item that only one of the sets has:
+    they differ in no more bits than the sets in items. The longer of two is folded to
+    the other's length, half onto half. One and a half bits an item or more, so sets
+    that have little in common differ in far more bits than linking ones may.
+    """
+    bits = min(SKETCH_BITS, max(64, 1 << (3 * len(items) // 2 - 1).bit_length()))
+    odd = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+class _Sketches:
+    """Sets of some groups with their sketches, to be compared many pairs at a time."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.percent = percent
+        self.sizes = table.column("n_shingles").to_numpy()
+        column = table.column("sketch").combine_chunks()
+        _, places, values = column.buffers()
+        ends = np.frombuffer(places, dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        data = np.frombuffer(values, dtype=np.uint8)
+        self.words = np.diff(ends) // 8
+        self.at, self.rows = {}, {}
+        for size in np.unique(self.words):
+            own = np.flatnonzero(self.words == size)
+            found = data[ends[own][:, None] + np.arange(8 * size)].view(np.uint64)
+            while size:  # also folded for the sets of shorter sketches that they may link with
+                at = self.at.setdefault(size, np.zeros(len(table), np.int64))
+                before = self.rows.get(size, np.zeros((0, size), np.uint64))
+                at[own] = np.arange(len(before), len(before) + len(own))
+                self.rows[size] = np.concatenate([before, found])
+                size //= 2
+                if size * 64 * 100 < self.sizes[own].min() * percent:
+                    break
+                found = found[:, :size] ^ found[:, size:]
+
+    def close(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Whether sets may link, by sizes and sketches: never false for two that do."""
+        a, b = self.sizes[one], self.sizes[other]
+        found = 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
+        words = np.minimum(self.words[one], self.words[other])
+        for size in np.unique(words[found]):
+            own = np.flatnonzero(found & (words == size))
+            at, rows = self.at[size], self.rows[size]
+            step = max(1, PAIRS * 16 // int(size))
+            for low in range(0, len(own), step):
+                part = own[low : low + step]
+                apart = np.bitwise_count(rows[at[one[part]]] ^ rows[at[other[part]]]).sum(axis=1, dtype=np.int64)
+                found[part] = (100 + self.percent) * apart <= (100 - self.percent) * (a[part] + b[part])
+        return found
+
+    def all_pairs(self, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of groups of n sets each, every set that close pairs lead to an earlier one from, and the first such."""
+        x, y = np.triu_indices(n, 1)
+        near = np.zeros((len(starts), n, n), dtype=bool)
+        near[:, x, y] = self.close((starts[:, None] + x).ravel(), (starts[:, None] + y).ravel()).reshape(len(starts), -1)
+        near |= near.transpose(0, 2, 1) | np.eye(n, dtype=bool)
+        before, least = None, np.broadcast_to(np.arange(n), (len(starts), n))
+        while before is None or (least != before).any():
+            before, least = least, np.where(near, least[:, None, :], n).min(axis=2)
+        nr, own = np.nonzero(least < np.arange(n))
+        return starts[nr] + own, starts[nr] + least[nr, own]
+
+    def spread(self, left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Close pairs of one group, in order of size, that connect what any connect: each set is reached once."""
+        todo: list[int] = []
+        while len(left):
+            if not todo:
+                todo, left = [int(left[0])], left[1:]
+            x = todo.pop()
+            sizes, own = self.sizes[left], int(self.sizes[x])
+            low = np.searchsorted(sizes, -(-own * self.percent // 100))
+            high = np.searchsorted(sizes, own * 100 // self.percent, side="right")
+            some = left[low:high]
+            near = self.close(np.full(len(some), x), some)
+            if near.any():
+                yield np.full(np.count_nonzero(near), x), some[near]
+                todo.extend(some[near].tolist())
+                left = np.concatenate([left[:low], some[~near], left[high:]])
+
+
+def _close_pairs(percent: int):
+    """Of sets sorted by group, pairs that connect those that may link; a group that is too large is joined whole."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        group, nodes = table.column("group").to_numpy(), table.column("set_a").to_numpy()
+        known = _Sketches(table, percent)
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1])
+        sizes = np.diff(np.append(starts, len(group)))
+        found = [known.all_pairs(starts[sizes == n], n) for n in range(2, FEW_SETS + 1) if (sizes == n).any()]
+        for start, n in zip(starts[sizes > FEW_SETS], sizes[sizes > FEW_SETS]):
+            found.extend(known.spread(np.arange(start, start + n)))
+        none = np.zeros(0, np.int64)
+        one = nodes[np.concatenate([none, *[x for x, _ in found]])]
+        other = nodes[np.concatenate([none, *[y for _, y in found]])]
+        met = np.unique(np.stack([np.minimum(one, other), np.maximum(one, other)], axis=1), axis=0)
+        return _pair_rows(met[:, 0], met[:, 1])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, whole, hub = None, None, None  # rows of the last group; the one joined whole, and its first set
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if whole is not None:
+                rest = int(np.searchsorted(table.column("group").to_numpy(), whole, side="right"))
+                nodes = table.column("set_a").to_numpy()[:rest]
+                yield _pair_rows(np.full(rest, hub), nodes)
+                table = table.slice(rest)
+                if not len(table):
+                    continue
+                whole = None
+            held = table if held is None else pa.concat_tables([held, table])
+            group = held.column("group").to_numpy()
+            cut = int(np.searchsorted(group, group[-1]))
+            if cut:
+                yield pairs(held.slice(0, cut))
+                held = held.slice(cut)
+            if len(held) > GROUP_SETS or held.nbytes > GROUP_BYTES:
+                nodes = held.column("set_a").to_numpy()
+                whole, hub, held = group[-1], nodes[0], None
+                yield _pair_rows(np.full(len(nodes), hub), nodes)
+        if held is not None:
+            yield pairs(held)
+
+    return close
+
+
+def _pair_rows(one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], ["one", "other"])
+
+
 def _keys(words: int, percent: int):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -499,7 +659,7 @@ def _keys(words: int, percent: int):
 
 
 def _describe(words: int, percent: int, held: Broadcast[np.ndarray]):
-    """Each text's set, and its keys as far as they may be in the filter ``held``."""
+    """Each text's set, its keys as far as they may be in the filter ``held``, and its sketch if it has such."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -512,6 +672,7 @@ def _describe(words: int, percent: int, held: Broadcast[np.ndarray]):
                 owner = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
                 flat = np.concatenate(keys)
                 stays = possible(held.value, flat)
+                met = np.bincount(owner[stays], minlength=len(keys)) > 0
                 ends = np.searchsorted(owner[stays], np.arange(len(keys) + 1)).astype(np.int32)
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
@@ -522,8 +683,9 @@ def _describe(words: int, percent: int, held: Broadcast[np.ndarray]):
                         pa.array(np.array(first, dtype=np.uint64).view(np.int64)),
                         pa.array(np.array(second, dtype=np.uint64).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[stays].view(np.int64))),
+                        pa.array([sketch(own) if some else None for own, some in zip(sets, met)], pa.binary()),
                     ],
-                    ["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "keys"],
+                    ["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "keys", "sketch"],
                 )
 
     return describe

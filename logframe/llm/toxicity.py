@@ -310,6 +310,8 @@ def train(
     n1, n0 = toxic.sum(), (1 - toxic).sum()
     fair = np.where(toxic == 1, max(1.0, 0.5 * n0 / n1), 1.0)
     fit(network, words, toxic, fair, s)
+    del sample, lists, flat, words  # the driver keeps nothing of them, nor the memory
+    pa.default_memory_pool().release_unused()
 
     all_rows, own_rows = _binned(rows.filter(learn & check), known.filter(check), network, s.language_rows)
     raw, held, count = all_rows

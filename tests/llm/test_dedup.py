@@ -249,3 +249,73 @@ def test_linking_sets_share_an_early_shingle(percent):
                 linked += 1
                 assert early[i] & every[j]
     assert linked > 50 and sum(map(len, early)) < sum(map(len, every))
+
+
+def _near_sets(rng, percent, n_groups):
+    """Distinct random sets, by group: some nearly the same, some half the same, some unlike."""
+    groups = []
+    for _ in range(n_groups):
+        base = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 400)), dtype=np.uint64))
+        own = []
+        for _ in range(int(rng.integers(2, 60))):
+            change = len(base) * (100 - percent) / 100 * rng.choice([0.1, 0.5, 1.0, 4.0])
+            stays = base[rng.permutation(len(base))[: max(1, len(base) - int(change))]]
+            own.append(np.unique(np.concatenate([stays, rng.integers(0, 1 << 63, int(change / 2), dtype=np.uint64)])))
+        groups.append(own)
+    return groups
+
+
+def _links(a, b, percent):
+    both = len(np.intersect1d(a, b))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+@pytest.mark.parametrize("percent,most", [(50, 1 << 16), (80, 1 << 16), (90, 30)])
+def test_sketches_connect_what_links(monkeypatch, percent, most):
+    monkeypatch.setattr(jaccard_join, "GROUP_SETS", most)
+    rows, groups = [], _near_sets(np.random.default_rng(percent), percent, 40)
+    for g, own in enumerate(groups):
+        sets = sorted(own, key=len)
+        rows += [(g * 7 - 90, g * 100 + i, len(x), jaccard_join.sketch(x)) for i, x in enumerate(sets)]
+        groups[g] = sets
+    kinds = [("group", pa.int64()), ("set_a", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary())]
+    table = pa.table([pa.array(c, k) for c, (_, k) in zip(zip(*rows), kinds)], names=[n for n, _ in kinds])
+    found = pa.Table.from_batches(jaccard_join._close_pairs(percent)(iter(table.to_batches(max_chunksize=23))))
+    root = {n: n for n in range(100 * len(groups))}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in found.to_pylist():
+        assert r["one"] // 100 == r["other"] // 100
+        root[find(r["one"])] = find(r["other"])
+    linked = 0
+    for g, sets in enumerate(groups):
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if _links(a, sets[j], percent):
+                    linked += 1
+                    assert find(g * 100 + i) == find(g * 100 + j)
+    assert linked > 100 and len({find(g * 100 + i) for g, x in enumerate(groups) for i in range(len(x))}) > len(groups)
+
+
+def test_sets_that_agree_by_chance_are_no_region(spark, monkeypatch):
+    """Half of each text is a passage that all have: class keys agree by chance, but nothing may link."""
+    seen, links = [], jaccard_join.region_links
+
+    def spy(members, words, percent, region_sets):
+        seen.append(members.count())
+        return links(members, words, percent, region_sets)
+
+    monkeypatch.setattr(jaccard_join, "region_links", spy)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(n, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(40)])) for n in range(400)]
+    rows += [(1000, rows[0][1] + " more"), (1001, rows[0][1] + " other")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = jaccard_components(docs, words=2, percent=80).collect()
+    found = Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in found)
+    assert found == Counter(brute_jaccard(rows, 2, 80))
+    assert seen == [3]
