@@ -34,7 +34,7 @@ SLACK = 1e-9
 # How often shingles occur is counted in so many cells: it orders them, and no
 # result depends on the order.
 CELLS = 1 << 20
-# Bits of a sketch at most, sets of one group that are compared pair by pair, and at a time.
+# Bits of a sketch at most, sets of a group whose pairs are all compared, and pairs at a time, of long sketches fewer.
 SKETCH_BITS = 1 << 16
 FEW_SETS = 16
 PAIRS = 1 << 18
@@ -162,7 +162,7 @@ def _near(sets: DataFrame, percent: int) -> DataFrame:
 
     Near copies share many keys, mostly with the same other sets: of keys
     whose sets are the same one is enough. Its sets are brought together with
-    their sketches, which are about a thirtieth of the texts.
+    their sketches, which take less than three bits a shingle, 64 at least.
     """
     met = sets.filter("size(keys) > 0").select(F.explode("keys").alias("key"), "set_a")
     # Which sets a key has, by their number and sums that cannot overflow.
